@@ -31,6 +31,7 @@ def local_session(cores: str = "*", memory: str = "16g", partitions: int = 8) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("linkweft")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
