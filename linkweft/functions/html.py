@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from linkweft.functions.text import decode_entities
+from linkweft.plans.once import let
 
 _SKIP = r"!--(?:.*?--!?>|.*)|![^>]*+>|\?[^>]*+>"
 _BODY = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
@@ -58,27 +59,36 @@ def _unquote(value: Column) -> Column:
     return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of the first attribute of that name, NULL if absent."""
+def raw_attribute(tag: Column, name: str) -> Column:
+    """Value of the first attribute of that name as written, NULL if absent."""
     text = _attribute_text(tag)
     names = F.transform(F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
     values = F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(2))
     at = F.array_position(names, name)
     value = F.when(at > 0, F.get(values, (at - 1).cast("int")))
     # most tags lack the attribute, and a plain search says so at once
-    return F.when(F.contains(F.lower(tag), F.lit(name)), decode_entities(_unquote(value)))
+    return F.when(F.contains(F.lower(tag), F.lit(name)), _unquote(value))
 
 
 def attributes(tag: Column) -> Column:
     """All attributes as a map; the first of a repeated name counts."""
-    text = _attribute_text(tag)
-    names = F.transform(F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
-    values = F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(2))
-    pairs = F.transform(
-        F.arrays_zip(names.alias("name"), values.alias("value")),
-        lambda p: F.struct(p["name"].alias("name"), decode_entities(_unquote(p["value"])).alias("value")),
+
+    def pairs(text: Column) -> Column:
+        names = F.transform(F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
+        values = F.regexp_extract_all(text, F.lit(ATTRIBUTE), F.lit(2))
+        return let(names, lambda n: _first_pairs(n, values))
+
+    return let(_attribute_text(tag), pairs)
+
+
+def _first_pairs(names: Column, values: Column) -> Column:
+    """Map of names to decoded values."""
+    zipped = F.zip_with(
+        names,
+        values,
+        lambda n, v: F.struct(n.alias("name"), decode_entities(_unquote(v)).alias("value")),
     )
-    first = F.filter(pairs, lambda p, i: F.array_position(names, p["name"]) == i + 1)
+    first = F.filter(zipped, lambda p, i: F.array_position(names, p["name"]) == i + 1)
     return F.map_from_entries(first)
 
 
@@ -101,13 +111,11 @@ def tokens(html: Column) -> Column:
         lambda t: ~F.rlike(t, F.lit(r"^<[!?]")),
     )
 
-    def expand(t: Column) -> Column:
-        head = start_tag(t)
+    def markup(t: Column, head: Column) -> Column:
         name = tag_name(t)
         content = F.substr(t, F.length(head) + 1)
         return (
-            F.when(~_is_markup(t), F.array(_token("value", decode_entities(t), none)))
-            .when(F.startswith(t, F.lit("</")), F.array(_token("etag", name, none)))
+            F.when(F.startswith(t, F.lit("</")), F.array(_token("etag", name, none)))
             .when(
                 F.length(t) > F.length(head),
                 F.array(_token("stag", name, head), _token("value", content, none)),
@@ -118,6 +126,10 @@ def tokens(html: Column) -> Column:
             .otherwise(F.array(_token("stag", name, t)))
         )
 
+    def expand(t: Column) -> Column:
+        text = F.array(_token("value", decode_entities(t), none))
+        return F.when(~_is_markup(t), text).otherwise(let(start_tag(t), lambda h: markup(t, h)))
+
     return F.flatten(F.transform(found, expand))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from linkweft.functions.url import percent_decode, percent_encode
+from linkweft.plans.once import let
 
 # Fixed values of the crawl rules.
 DEFAULT_DELAY = 5
@@ -39,6 +40,15 @@ def robots_lines(text: Column) -> Column:
     return F.filter(parsed, lambda r: r["value"].isNotNull())
 
 
+def _starts(rows: Column) -> Column:
+    """Indexes of the agent lines which follow no other agent line."""
+    is_agent = F.transform(rows, lambda r: r["key"] == "user-agent")
+    follows = F.concat(F.array(F.lit(False)), F.slice(is_agent, F.lit(1), F.size(rows) - 1))
+    marked = F.zip_with(is_agent, follows, lambda now, before: now & ~before)
+    places = F.transform(marked, lambda first, i: F.when(first, i))
+    return F.when(F.size(rows) > 0, F.filter(places, lambda p: p.isNotNull()))
+
+
 def _slices(rows: Column, starts: Column) -> Column:
     """Cut `rows` into one array per start index."""
 
@@ -60,23 +70,16 @@ def robots_group(text: Column) -> Column:
     at least one rule line.  The first group with an empty agent comes before
     the first one with `*`.
     """
-    rows = F.filter(robots_lines(text), lambda r: r["key"].isin(*GROUP_KEYS))
+    lines = F.filter(robots_lines(text), lambda r: r["key"].isin(*GROUP_KEYS))
+    cut = let(lines, lambda rows: let(_starts(rows), lambda starts: _slices(rows, starts)))
 
-    def begins(row: Column, at: Column) -> Column:
-        before = F.get(rows, at - 1)["key"]
-        return (row["key"] == "user-agent") & (before.isNull() | (before != "user-agent"))
+    def choose(slices: Column) -> Column:
+        nameless = F.filter(slices, lambda g: _has_agent(g, "") & ~_has_agent(g, "*"))
+        general = F.filter(slices, lambda g: _has_agent(g, "*"))
+        return F.coalesce(F.get(nameless, F.lit(0)), F.get(general, F.lit(0)))
 
-    flags = F.transform(
-        rows, lambda r, i: F.struct(begins(r, i).alias("first"), i.alias("at"))
-    )
-    starts = F.transform(F.filter(flags, lambda f: f["first"]), lambda f: f["at"])
-    groups = F.filter(
-        _slices(rows, starts),
-        lambda g: F.exists(g, lambda r: r["key"] != "user-agent"),
-    )
-    nameless = F.filter(groups, lambda g: _has_agent(g, "") & ~_has_agent(g, "*"))
-    general = F.filter(groups, lambda g: _has_agent(g, "*"))
-    return F.coalesce(F.get(nameless, F.lit(0)), F.get(general, F.lit(0)))
+    groups = F.filter(cut, lambda g: F.exists(g, lambda r: r["key"] != "user-agent"))
+    return let(groups, choose)
 
 
 def robots_rules(text: Column) -> Column:
@@ -101,7 +104,7 @@ def robots_delay(text: Column, default: int = DEFAULT_DELAY) -> Column:
         robots_group(text),
         lambda r: (r["key"] == "crawl-delay") & F.rlike(r["value"], F.lit("^[0-9]+$")),
     )
-    last = F.get(delays, F.size(delays) - 1)["value"]
+    last = F.try_element_at(delays, F.lit(-1))["value"]
     return F.coalesce(last.try_cast("int"), F.lit(default))
 
 
@@ -122,6 +125,10 @@ def robots_path(url: Column) -> Column:
 
 def allowed_by(rules: Column, url: Column) -> Column:
     """Decision of the first rule whose prefix fits; allowed if none does."""
-    path = robots_path(url)
-    fitting = F.filter(rules, lambda r: F.startswith(path, r["prefix"]))
-    return F.coalesce(F.get(fitting, F.lit(0))["allow"], F.lit(True))
+    return let(
+        robots_path(url),
+        lambda path: F.coalesce(
+            F.get(F.filter(rules, lambda r: F.startswith(path, r["prefix"])), F.lit(0))["allow"],
+            F.lit(True),
+        ),
+    )

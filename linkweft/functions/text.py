@@ -8,76 +8,76 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkweft.plans.once import let
+
 
 def content_hash(text: Column) -> Column:
     """SHA-256 of the UTF-8 text in hex."""
     return F.sha2(text, 256)
 
 
-def _entity_names() -> tuple[Column, str]:
-    """Name → text as a map column, and a pattern of names valid without `;`."""
-    table = {name.rstrip(";"): text for name, text in html5.items()}
-    bare = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
-    return F.from_json(F.lit(json.dumps(table)), "map<string,string>"), "|".join(bare)
-
-
 def _code_point(code: Column) -> Column:
     """Text of a numeric reference, with the HTML rules for invalid codes."""
-    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     cp1252 = {n: bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0)}
-    low = F.create_map(*[F.lit(x) for n, c in cp1252.items() if c for x in (n, c)])
-    control = (
+    low = "".join(cp1252[n] or chr(n) for n in range(0x80, 0xA0))
+    noncharacter = (
         code.between(0x1, 0x8)
         | code.between(0xE, 0x1F)
-        | code.between(0x7F, 0x9F)
         | code.between(0xFDD0, 0xFDEF)
-        | (code == 0xB)
+        | code.isin(0xB, 0x7F)
         | (F.pmod(code, F.lit(0x10000)) >= 0xFFFE)
     )
-    mapped = F.try_element_at(low, code.cast("int"))
-    lone = code.isin(0x81, 0x8D, 0x8F, 0x90, 0x9D)
     return (
-        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("�"))
-        .when(mapped.isNotNull(), mapped)
-        .when(control & ~lone, F.lit(""))
-        .otherwise(plain)
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\uFFFD"))
+        .when(code.between(0x80, 0x9F), F.substr(F.lit(low), (code - 0x7F).cast("int"), F.lit(1)))
+        .when(noncharacter, F.lit(""))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     )
 
 
+def _number(digits: Column) -> Column:
+    """Code of `38` or `x26`; anything too long is beyond Unicode."""
+    base16 = F.rlike(digits, F.lit("^[xX]"))
+    plain = F.regexp_replace(digits, "^[xX]?0*", "")
+    padded = F.concat(F.lit("0"), plain)
+    value = F.when(base16, F.conv(padded, 16, 10)).otherwise(padded).cast("long")
+    return F.when(F.length(plain) > 8, F.lit(0x110000)).otherwise(value)
+
+
 def decode_entities(text: Column) -> Column:
-    """Replace HTML character references, named and numeric, by their text."""
-    names, bare = _entity_names()
-
-    def piece(part: Column) -> Column:
-        number = F.regexp_extract(part, r"^#([0-9]+|[xX][0-9A-Fa-f]+);?", 1)
-        width = F.length(F.regexp_extract(part, r"^#(?:[0-9]+|[xX][0-9A-Fa-f]+);?", 0))
-        digits = F.regexp_replace(number, r"^([xX]?)0+(?=[0-9A-Fa-f])", "$1")
-        value = F.when(
-            F.rlike(digits, F.lit("^[xX]")),
-            F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(
-                F.conv(F.substr(digits, F.lit(2)), 16, 10).cast("long")
-            ),
-        ).otherwise(
-            F.when(F.length(digits) > 9, F.lit(0x110000)).otherwise(F.try_to_number(digits, F.lit("999999999")).cast("long"))
-        )
-        name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-        named = F.when(name != "", F.try_element_at(names, name))
-        short = F.regexp_extract(part, f"^({bare})", 1)
+    """Replace HTML character references, named and numeric, by their text.
+
+    The names are the HTML5 table of the Python library; a name listed there
+    without `;` also counts as the longest start of a longer word.
+    """
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    bare = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+
+    def piece(part: Column, table: Column) -> Column:
+        number = F.regexp_extract(part, r"^&#([0-9]+|[xX][0-9A-Fa-f]+);?", 1)
+        rest = F.regexp_replace(part, r"^&#(?:[0-9]+|[xX][0-9A-Fa-f]+);?", "")
+        name = F.regexp_extract(part, r"^&([A-Za-z][A-Za-z0-9]*;)", 1)
+        short = F.regexp_extract(part, f"^&({bare})", 1)
+
+        def replaced(key: Column) -> Column:
+            return F.concat(F.try_element_at(table, key), F.substr(part, F.length(key) + 2))
+
         return (
-            F.when(number != "", F.concat(_code_point(value), F.substr(part, width + 1)))
-            .when(named.isNotNull(), F.concat(named, F.substr(part, F.length(name) + 2)))
+            F.when(F.startswith(part, F.lit("&amp;")), F.concat(F.lit("&"), F.substr(part, F.lit(6))))
+            .when(
+                F.startswith(part, F.lit("&#")) & (number != ""),
+                F.concat(let(_number(number), _code_point), rest),
+            )
             .when(
-                short != "",
-                F.concat(F.try_element_at(names, short), F.substr(part, F.length(short) + 1)),
+                F.rlike(part, F.lit("^&[A-Za-z]")),
+                F.coalesce(replaced(name), replaced(short), part),
             )
-            .otherwise(F.concat(F.lit("&"), part))
+            .otherwise(part)
         )
 
-    parts = F.split(text, "&", -1)
-    tail = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), piece)
-    return F.when(
-        F.contains(text, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
-    ).otherwise(text)
+    parts = F.split(text, "(?=&)", -1)
+    decoded = let(names, lambda table: F.transform(parts, lambda part: piece(part, table)))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(decoded, "")).otherwise(text)
 
 
 def strip(text: Column) -> Column:

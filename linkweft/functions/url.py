@@ -7,6 +7,8 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkweft.plans.once import let
+
 # Fixed values of the crawl rules.
 SCOPE = "gov.si"
 FALLBACK_URL = "http://gov.si/"
@@ -35,40 +37,49 @@ def _clean(url: Column) -> Column:
     return F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
 
 
-def _part(url: Column, group: int) -> Column:
-    return F.regexp_extract(_clean(url), SPLIT, group)
+def url_parts(url: Column) -> Column:
+    """STRUCT<scheme, host, path, params, query> of a URL, read in one match.
+
+    Scheme and host in lower case, the host without port, user info and brackets;
+    `params` is the `;` part of the last path segment.  All NULL without a host.
+    """
+    # newlines are gone after cleaning, so they can stand between the parts
+    split = F.split(F.regexp_replace(_clean(url), SPLIT, "$1\n$2\n$3\n$4"), "\n", -1)
+
+    def cut(parts: Column) -> Column:
+        scheme = F.lower(F.get(parts, F.lit(0)))
+        host = F.translate(F.lower(F.get(parts, F.lit(1))), "[]", "")
+        full = F.get(parts, F.lit(2))
+        with_params = scheme.isin(*PARAM_SCHEMES) & F.contains(full, F.lit(";"))
+        return F.when(
+            host != "",
+            F.struct(
+                scheme.alias("scheme"),
+                host.alias("host"),
+                F.when(with_params, F.regexp_extract(full, PATH, 1)).otherwise(full).alias("path"),
+                F.when(with_params, F.regexp_extract(full, PATH, 2)).otherwise("").alias("params"),
+                F.get(parts, F.lit(3)).alias("query"),
+            ),
+        )
+
+    return let(split, cut)
+
+
+def fold_scheme(scheme: Column) -> Column:
+    return F.when(scheme == "https", F.lit("http")).otherwise(scheme)
 
 
 def url_scheme(url: Column) -> Column:
     """Scheme in lower case, https taken as http."""
-    scheme = F.lower(_part(url, 1))
-    return F.when(scheme == "https", F.lit("http")).otherwise(scheme)
+    return fold_scheme(F.lower(F.regexp_extract(_clean(url), SPLIT, 1)))
 
 
 def url_host(url: Column) -> Column:
     """Host in lower case without port, user info and brackets; NULL if missing."""
-    host = F.translate(F.lower(_part(url, 2)), "[]", "")
+    host = F.translate(F.lower(F.regexp_extract(_clean(url), SPLIT, 2)), "[]", "")
     return F.when(host != "", host)
 
 
-def _has_params(url: Column) -> Column:
-    return F.lower(_part(url, 1)).isin(*PARAM_SCHEMES)
-
-
-def url_path(url: Column) -> Column:
-    full = _part(url, 3)
-    return F.when(_has_params(url), F.regexp_extract(full, PATH, 1)).otherwise(full)
-
-
-def url_params(url: Column) -> Column:
-    """The `;` part of the last path segment, as written, or an empty string."""
-    return F.when(_has_params(url), F.regexp_extract(_part(url, 3), PATH, 2)).otherwise("")
-
-
-def url_query(url: Column) -> Column:
-    return _part(url, 4)
-
-
 def sort_params(params: Column) -> Column:
     """Lower case, members sorted, each after its own `;`."""
     members = F.array_sort(F.split(F.lower(params), ";", -1))
@@ -110,15 +121,19 @@ def canonical_url(url: Column, fallback: str = FALLBACK_URL) -> Column:
     dropped; params and query in lower case with sorted members; the whole
     percent-encoded.  A URL without a host gives `fallback`.
     """
-    whole = F.concat(
-        url_scheme(url),
-        F.lit("://"),
-        url_host(url),
-        url_path(url),
-        sort_params(url_params(url)),
-        sort_query(url_query(url)),
-    )
-    return F.when(url.isNotNull(), F.coalesce(percent_encode(whole), F.lit(fallback)))
+
+    def whole(parts: Column) -> Column:
+        return F.concat(
+            fold_scheme(parts["scheme"]),
+            F.lit("://"),
+            parts["host"],
+            parts["path"],
+            sort_params(parts["params"]),
+            sort_query(parts["query"]),
+        )
+
+    encoded = percent_encode(let(url_parts(url), whole))
+    return F.when(url.isNotNull(), F.coalesce(encoded, F.lit(fallback)))
 
 
 def in_scope(host: Column, scope: str = SCOPE) -> Column:
@@ -143,9 +158,12 @@ def resolve_link(
     target = F.when(on_host, F.concat(F.lit("http://"), page_host, link)).when(
         F.startswith(link, F.lit("http")), link
     )
-    canonical = canonical_url(target, fallback)
-    host = F.when(on_host, page_host).otherwise(url_host(canonical))
-    return F.when(in_scope(host, scope), canonical)
+
+    def scoped(canonical: Column) -> Column:
+        host = F.when(on_host, page_host).otherwise(url_host(canonical))
+        return F.when(in_scope(host, scope), canonical)
+
+    return let(canonical_url(target, fallback), scoped)
 
 
 def url_fits(url: Column, limit: int = MAX_URL_LENGTH) -> Column:

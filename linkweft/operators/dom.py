@@ -226,10 +226,9 @@ def _step_test(tag: str, predicates: str) -> Column:
         if text.isdigit():
             test = test & (F.col("nth") == int(text))
         elif equal:
-            value = H.attribute(F.col("source"), equal[1])
-            test = test & F.coalesce(value == equal[2], F.lit(False))
+            test = test & F.coalesce(F.col("_attrs")[equal[1]] == equal[2], F.lit(False))
         elif holds:
-            value = H.attribute(F.col("source"), holds[1])
+            value = F.col("_attrs")[holds[1]]
             test = test & F.coalesce(F.contains(value, F.lit(holds[2])), F.lit(False))
         else:
             raise ValueError(f"unsupported predicate: [{text}]")
@@ -271,7 +270,9 @@ def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...]
         F.col("after_tag").isNotNull(),
         F.lag("_marks").over(Window.partitionBy("page_id").orderBy("node_id")),
     )
-    nodes = with_parents(page_structure(pages, keep)).withColumn("_marks", marks)
+    nodes = with_parents(page_structure(pages, keep))
+    nodes = nodes.withColumn("_attrs", H.attributes(F.col("source")))
+    nodes = nodes.withColumn("_marks", marks).drop("_attrs", "source")
     nodes = nodes.withColumn("_unclosed", unclosed)
     nodes = with_chain(nodes, F.col("_marks"), "_chain")
     chain = F.concat(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkweft.functions import html as H
+from linkweft.functions.text import decode_entities
 from linkweft.functions.url import (
     FALLBACK_URL,
     SCOPE,
@@ -18,6 +19,7 @@ from linkweft.functions.url import (
     resolve_link,
     url_host,
 )
+from linkweft.plans.once import compute_once, let
 
 # Attribute which holds the target, and rank in link order, per kind of link.
 LINK_KINDS = ("onclick", "area", "link", "a")
@@ -40,36 +42,41 @@ def onclick_target(script: Column) -> Column:
     return F.when(moves & F.rlike(script, F.lit(r"(?s)^[^']*'[^']*'")), quoted)
 
 
-def _link_candidates(html: Column) -> Column:
-    """ARRAY<STRUCT<kind, rank, pos, link>> of a page, in link order."""
+def _link_values(html: Column) -> Column:
+    """ARRAY<STRUCT<kind, rank, pos, value>>: attributes of a page which may hold a link."""
     wanted = r"(?is)^<(?:a|area|link)[\s/>]|\sonclick\s*="
     tags = F.filter(H.opening_tags(html), lambda t: F.rlike(t, F.lit(wanted)))
 
     def found(tag: Column, pos: Column) -> Column:
-        def one(kind: Column, rank: Column, link: Column) -> Column:
+        def one(kind: Column, rank: Column, value: Column) -> Column:
             return F.struct(
-                kind.alias("kind"), rank.alias("rank"), pos.alias("pos"), link.alias("link")
+                kind.alias("kind"), rank.alias("rank"), pos.alias("pos"), value.alias("value")
             )
 
         name = H.tag_name(tag)
+        rank = F.array_position(F.array(*map(F.lit, LINK_KINDS)), name).cast("int")
         return F.array(
-            one(F.lit("onclick"), F.lit(1), onclick_target(H.attribute(tag, "onclick"))),
-            one(
-                name,
-                F.array_position(F.array(*map(F.lit, LINK_KINDS)), name).cast("int"),
-                F.when(name.isin("a", "area", "link"), H.attribute(tag, "href")),
-            ),
+            one(F.lit("onclick"), F.lit(1), H.raw_attribute(tag, "onclick")),
+            one(name, rank, F.when(rank > 1, H.raw_attribute(tag, "href"))),
         )
 
-    return F.filter(F.flatten(F.transform(tags, found)), lambda c: c["link"].isNotNull())
+    return F.filter(F.flatten(F.transform(tags, found)), lambda c: c["value"].isNotNull())
 
 
-def page_hrefs(pages: DataFrame, kinds: tuple[str, ...] = LINK_KINDS) -> DataFrame:
-    """(page_id, kind, pos, link): links as written; `pos` counts the link tags of a page."""
-    links = F.filter(_link_candidates(F.col("html")), lambda c: c["kind"].isin(*kinds))
-    return pages.select("page_id", F.explode(links).alias("c")).select(
-        "page_id", "c.kind", "c.pos", "c.link"
-    )
+def page_hrefs(
+    pages: DataFrame, kinds: tuple[str, ...] = LINK_KINDS, keep: tuple[str | Column, ...] = ()
+) -> DataFrame:
+    """(page_id, keep, kind, rank, pos, link): links as written, references decoded.
+
+    `pos` counts the link tags of a page, `rank` the kinds in the order in which
+    they are taken up.
+    """
+    values = F.filter(_link_values(F.col("html")), lambda c: c["kind"].isin(*kinds))
+    rows = pages.select("page_id", *keep, F.explode(values).alias("_c"))
+    kind, value = F.col("_c.kind"), decode_entities(F.col("_c.value"))
+    link = let(value, lambda v: F.when(kind == "onclick", onclick_target(v)).otherwise(v))
+    rows = compute_once(rows.select("*", "_c.kind", "_c.rank", "_c.pos"), {"link": link})
+    return rows.where(F.col("link").isNotNull()).drop("_c")
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
@@ -100,17 +107,10 @@ def page_links(
     a page: onclick, area, link, a; by position within a kind.  The page host is
     taken from `url`, or from the column named by `host`.
     """
-    page_host = F.col(host) if host else url_host(F.col("url"))
-    candidates = pages.select(
-        "page_id", page_host.alias("page_host"), F.explode(_link_candidates(F.col("html"))).alias("c")
-    )
-    resolved = candidates.select(
-        "page_id",
-        resolve_link(
-            F.col("c.link"), F.col("page_host"), F.col("c.kind") == "link", scope, fallback
-        ).alias("url"),
-        (F.col("c.rank").cast("long") * F.lit(1 << 32) + F.col("c.pos")).alias("at"),
-    )
+    page_host = (F.col(host) if host else url_host(F.col("url"))).alias("page_host")
+    url = resolve_link(F.col("link"), F.col("page_host"), F.col("kind") == "link", scope, fallback)
+    at = F.col("rank").cast("long") * F.lit(1 << 32) + F.col("pos")
+    resolved = compute_once(page_hrefs(pages, keep=(page_host,)), {"url": url, "at": at})
     return (
         resolved.where(F.col("url").isNotNull())
         .groupBy("page_id", "url")
@@ -128,7 +128,7 @@ def page_images(pages: DataFrame) -> DataFrame:
     tags = F.filter(
         H.opening_tags(F.col("html")), lambda t: F.rlike(t, F.lit(r"(?is)^<img[\s/>]"))
     )
-    sources = F.transform(tags, lambda t: H.attribute(t, "src"))
+    sources = F.transform(tags, lambda t: decode_entities(H.raw_attribute(t, "src")))
     images = pages.select("page_id", F.posexplode(sources).alias("pos", "filename"))
     return images.where(image_fits(F.col("filename"))).select(
         "page_id", "pos", "filename", ending(F.col("filename")).alias("content_type")

@@ -132,22 +132,24 @@ def tokens(source: str, key: str = "page_id", html: str = "html") -> str:
     raw = f"regexp_matches(t, '{RAW_PARTS}')"
     name = "lower(regexp_extract(t, '^</?([A-Za-z][^\\s/>]*)', 1))"
     content = f"regexp_extract(t, '{RAW_PARTS}', 2)"
+    open_tag = f"{{'kind': 'stag', 'value': {name}, 'source': t}}"
+    open_raw = f"{{'kind': 'stag', 'value': {name}, 'source': regexp_extract(t, '{RAW_PARTS}', 1)}}"
+    close = f"{{'kind': 'etag', 'value': {name}, 'source': ''}}"
     return f"""
-    select {key}, pos - 1 as pos, item.kind as kind, item.value as value
+    select {key}, pos - 1 as pos, item.kind as kind, item.value as value, item.source as source
     from (
       select {key}, unnest(items) as item, unnest(generate_series(1, len(items))) as pos
       from (
         select {key}, flatten(list_transform(
           list_filter(regexp_extract_all({html}, '{TOKENS}'), lambda x: not starts_with(x, '<!')),
           lambda t: case
-            when {raw} and {content} = '' then [{{'kind': 'stag', 'value': {name}}}, {{'kind': 'etag', 'value': {name}}}]
-            when {raw} then [{{'kind': 'stag', 'value': {name}}}, {{'kind': 'value', 'value': {content}}},
-                             {{'kind': 'etag', 'value': {name}}}]
-            when starts_with(t, '</') then [{{'kind': 'etag', 'value': {name}}}]
+            when {raw} and {content} = '' then [{open_raw}, {close}]
+            when {raw} then [{open_raw}, {{'kind': 'value', 'value': {content}, 'source': ''}}, {close}]
+            when starts_with(t, '</') then [{close}]
             when regexp_matches(t, '^<[A-Za-z]') and ends_with(t, '/>') then
-              [{{'kind': 'stag', 'value': {name}}}, {{'kind': 'etag', 'value': {name}}}]
-            when regexp_matches(t, '^<[A-Za-z]') then [{{'kind': 'stag', 'value': {name}}}]
-            else [{{'kind': 'value', 'value': {decode('t')}}}] end)) as items
+              [{open_tag}, {close}]
+            when regexp_matches(t, '^<[A-Za-z]') then [{open_tag}]
+            else [{{'kind': 'value', 'value': {decode('t')}, 'source': ''}}] end)) as items
         from {source}))"""
 
 
@@ -162,6 +164,69 @@ LINKS = f"""
     from tags where name in ('a', 'area', 'link') and {attribute('tag', 'href')} is not null"""
 
 
+def nodes(source: str = "pages", html: str = "html") -> str:
+    """CTEs ending in `nodes`: (page_id, node_id, parent_id, kind, tag, text, source, nests,
+    level, nth, path, own_path, after_tag); `path` of a text is that of its element."""
+    return f"""
+    toks as ({tokens(source, "page_id", html)}),
+    tag_counts as (
+      select page_id, value as tag, count(*) filter (kind = 'stag') = count(*) filter (kind = 'etag')
+        and value not in ('html', 'head', 'body') as nests
+      from toks where kind <> 'value' group by page_id, value),
+    flagged as (
+      select t.*, coalesce(c.nests, false) as nests
+      from toks t left join tag_counts c on c.page_id = t.page_id and c.tag = t.value and t.kind <> 'value'),
+    levelled as (
+      select *, cast(sum(case when not nests then 0 when kind = 'stag' then 1 else -1 end)
+          over (partition by page_id order by pos) as int) as level,
+        lag(case when kind = 'stag' and not nests and value not in ('html', 'head', 'body', 'area', 'base',
+          'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'source', 'track', 'wbr') then value end)
+          over (partition by page_id order by pos) as before
+      from flagged),
+    plain as (
+      select page_id, pos as node_id, case kind when 'stag' then 'element' else 'text' end as kind,
+        case kind when 'stag' then value end as tag, case kind when 'value' then value end as text,
+        source, nests, level, case kind when 'value' then before end as after_tag,
+        level - cast(nests as int) as ask
+      from levelled where kind <> 'etag'),
+    hung as (
+      select n.*, p.node_id as parent_id
+      from plain n asof left join (select page_id, node_id, level from plain where nests) p
+        on p.page_id = n.page_id and p.level = n.ask and n.node_id > p.node_id),
+    placed as (
+      select *, row_number() over (partition by page_id, parent_id, tag order by node_id) as nth from hung),
+    recursive_paths as (
+      with recursive walk(page_id, node_id, path) as (
+        select page_id, node_id, '/' || tag || '[' || nth || ']' from placed
+        where parent_id is null and nests
+        union all
+        select c.page_id, c.node_id, w.path || '/' || c.tag || '[' || c.nth || ']'
+        from walk w join placed c on c.page_id = w.page_id and c.parent_id = w.node_id and c.nests)
+      select * from walk),
+    nodes as (
+      select c.*, case when c.nests then o.path else coalesce(u.path, '') end as path
+      from placed c left join recursive_paths o on o.page_id = c.page_id and o.node_id = c.node_id and c.nests
+      left join recursive_paths u on u.page_id = c.page_id and u.node_id = c.parent_id)"""
+
+
+def groups(source: str) -> str:
+    """CTEs ending in `counted`: one row per (grp, path) as in `group_paths`."""
+    return rf"""{nodes(source)},
+    keyed as (
+      select g.host as grp, n.*, case when nests then '' else '/' || coalesce(tag, '#text') end as own
+      from nodes n join {source} g on g.page_id = n.page_id),
+    paths as (
+      select grp, regexp_replace(path, '\[\d+\]', '', 'g') || own as path, min(kind) as kind,
+        count(*) as nodes, count(*) filter (nth = 1) as parents_with, cast(max(nth) as int) as most,
+        min(node_id) as first_pos, min(text) as low_text, max(text) as high_text
+      from keyed group by all),
+    counted as (
+      select p.*, coalesce(u.nodes, case when regexp_replace(p.path, '/[^/]*$', '') = '' then g.pages end) as parents
+      from paths p
+      left join paths u on u.grp = p.grp and u.kind = 'element' and u.path = regexp_replace(p.path, '/[^/]*$', '')
+      left join (select host, count(*) as pages from {source} group by host) g on g.host = p.grp)"""
+
+
 # --- robots ----------------------------------------------------------------------
 def robots(source: str = "d_site") -> str:
     """CTEs ending in `rows`: lines (id, domain, no, key, value) of the group for `*`."""

@@ -196,7 +196,7 @@ PRODUCT_HTML = f"""
   || '<table><tbody><tr><td><table><tbody><tr><td>List:</td><td><s>' || list_price || '</s></td></tr>' || {_LF}
   || '<tr><td>Price:</td><td><span class="big"><b>' || price || '</b></span></td></tr>' || {_LF}
   || '<tr><td>Save:</td><td><span>' || saving || ' ' || percent || '</span></td></tr></tbody></table></td>' || {_LF}
-  || '<td><span class="normal">' || content || '<br>' || {_ANCHOR} || '<b>more</b></a></span></td></tr></tbody></table>'
+  || '<td><span class="normal">' || content || '<br>' || {_ANCHOR} || '<span class="tiny"><b>more</b></span></a></span></td></tr></tbody></table>'
   || '</td></tr>'
 """
 SQL["d_product_page"] = f"""
@@ -255,6 +255,16 @@ select doc_id as id, 'http://' || source || '.example.com/' || lang || '/' || ca
 from {documents}
 """
 
+# captures of stored pages; a third have the same content, low priority pages have none
+SQL["d_capture"] = f"""
+select url, case when o_custkey % 3 = 0 then '<p>same</p>' else
+    '<a href="http://' || host || '/new/' || cast(o_custkey as string) || '">n</a>'
+    || '<a href="/f/' || cast(id - 1 as string) || '">f</a><a href="http://elsewhere.si/">e</a>'
+    || '<img src="/i/' || cast(o_custkey as string) || '.png"><img src="/i/x.gif">' end as html
+from (select p.*, o_custkey from ({SQL["d_page"]}) p join {{orders}} on o_orderkey = id) c
+where priority <> '5-LOW'
+"""
+
 # lists whose items are in order: (Spark, DuckDB)
 _JOIN_ITEMS = (
     "array_join(transform(array_sort(collect_list(struct(record_no, item))), x -> x.item), '')",

@@ -14,7 +14,7 @@ from linkweft.queries.registry import query
 SCOPE = "example."
 
 
-@query("html_tokens", f"select * from ({S.tokens('pages')})")
+@query("html_tokens", f"select page_id, cast(pos as int) as pos, kind, value from ({S.tokens('pages')})")
 def html_tokens(spark, sf):
     return P.html_tokens(table(spark, sf, "pages"))
 

@@ -135,18 +135,23 @@ def load_html_files(spark, sf):
 @query(
     "reset_store",
     f"""{with_inputs(*ALL)}
-    select 'before' as state, (select count(*) from d_page) as pages, (select count(*) from d_site) as sites,
-      (select count(*) from d_link) as links
-    union all select 'after', 4, 1, 0""",
+    select 'before' as state, 'page' as table_name, count(*) as rows from d_page
+    union all select 'before', 'site', count(*) from d_site
+    union all select 'before', 'link', count(*) from d_link
+    union all from (values ('after', 'page', 4), ('after', 'site', 1), ('after', 'link', 0))""",
 )
 def reset_store(spark, sf):
     root = work_dir(spark, "store")
 
     def counts(state: str) -> DataFrame:
         store = ST.read_store(spark, root)
-        rows = {n: store[n].agg(F.count(F.lit(1)).alias(f"{n}s")) for n in ("page", "site", "link")}
-        return (
-            rows["page"].crossJoin(rows["site"]).crossJoin(rows["link"]).withColumn("state", F.lit(state))
+        return L._union(
+            [
+                store[n].agg(F.count(F.lit(1)).alias("rows")).select(
+                    F.lit(state).alias("state"), F.lit(n).alias("table_name"), "rows"
+                )
+                for n in ("page", "site", "link")
+            ]
         )
 
     ST.save_round(derived_store(spark, sf), root, 0)
@@ -163,7 +168,7 @@ def reset_store(spark, sf):
 )
 def url_to_page(spark, sf):
     rows = derived(spark, sf, "d_found").select("seen_at", "tie", "url")
-    return L.url_to_page(rows, _page(spark, sf), ["seen_at", "tie"], hot_rows=2000)
+    return L.url_to_page(rows, _page(spark, sf), ["seen_at", "tie"])
 
 
 @query(
@@ -172,7 +177,7 @@ def url_to_page(spark, sf):
     select p.id, p.host, s.id as site_id from d_page p left join d_site s on s.domain = p.host""",
 )
 def page_to_site(spark, sf):
-    return L.page_to_site(_page(spark, sf), derived(spark, sf, "d_site"), hot_rows=500)
+    return L.page_to_site(_page(spark, sf), derived(spark, sf, "d_site"))
 
 
 @query(
@@ -182,7 +187,7 @@ def page_to_site(spark, sf):
     from d_page""",
 )
 def hash_exists(spark, sf):
-    return L.hash_exists(_page(spark, sf), hot_rows=500)
+    return L.hash_exists(_page(spark, sf))
 
 
 _DOCS = "with h as (select doc_id as id, sha256(text) as hash_code from documents)"
@@ -210,27 +215,29 @@ def duplicate_of(spark, sf):
     where first < id""",
 )
 def duplicate_links(spark, sf):
-    return L.duplicate_links(_page(spark, sf), hot_rows=500)
+    return L.duplicate_links(_page(spark, sf))
 
 
 _FREE = """
+    busy as (
+      select distinct 'h' || (case when c_custkey % 3 = 0 then 0 else c_custkey end) || '.example.com' as host
+      from customer where c_mktsegment = 'BUILDING' and c_acctbal > 0),
     free as (
       select id, url, host from d_page
-      where page_type_code = 'FRONTIER' and priority <> '1-URGENT' and host not in (
-        select 'h' || (case when c_custkey % 3 = 0 then 0 else c_custkey end) || '.example.com'
-        from customer where c_mktsegment = 'BUILDING' and c_custkey > 0 and c_custkey % 3 > 0))"""
+      where page_type_code = 'FRONTIER' and priority <> '1-URGENT' and host not in (select host from busy))"""
 
 
 def _available(spark, sf) -> DataFrame:
-    """Frontier without urgent orders (in flight) and without some busy hosts."""
+    """Frontier without urgent orders (in flight) and without the hosts of some customers."""
     page = _page(spark, sf)
     frontier = page.where(SC.is_waiting()).select("id", "url", "host")
     in_flight = page.where(F.col("priority") == "1-URGENT").select("url")
-    key = F.col("c_custkey")
-    customers = table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING")
-    home = F.when(key % 3 != 0, key)
+    customers = table(spark, sf, "customer").where(
+        (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 0)
+    )
+    home = F.when(F.col("c_custkey") % 3 == 0, 0).otherwise(F.col("c_custkey"))
     busy = customers.select(F.concat(F.lit("h"), home, F.lit(".example.com")).alias("busy_key"))
-    return L.frontier_available(frontier, in_flight, busy.dropna(), hot_rows=500)
+    return L.frontier_available(frontier, in_flight, busy)
 
 
 @query(
@@ -514,5 +521,5 @@ def next_per_host(spark, sf):
 )
 def fetch_schedule(spark, sf):
     frontier = _page(spark, sf).where(SC.is_waiting()).select("id", "url")
-    delays = robots_allowed(frontier, derived(spark, sf, "d_site"), ["id"], hot_rows=500)
-    return A.fetch_schedule(delays, chunk_ids=1000)
+    delays = robots_allowed(frontier, derived(spark, sf, "d_site"), ["id"])
+    return A.fetch_schedule(delays)

@@ -35,21 +35,22 @@ def canonical_url(spark, sf):
 @query(
     "url_parts",
     _urls(
-        f"lower({S.part('url', 1)}) as scheme, {S.host('url')} as host, {S.path('url')} as path, "
-        f"{S.params('url')} as params, {S.query('url')} as query"
+        ", ".join(
+            f"case when {S.host('url')} is not null then {text} end as {name}"
+            for name, text in (
+                ("scheme", f"lower({S.part('url', 1)})"),
+                ("host", S.host("url")),
+                ("path", S.path("url")),
+                ("params", S.params("url")),
+                ("query", S.query("url")),
+            )
+        )
     ),
 )
 def url_parts(spark, sf):
-    url = F.col("url")
     return derived(spark, sf, "d_url").select(
-        "page_id",
-        "variant",
-        F.lower(U._part(url, 1)).alias("scheme"),
-        U.url_host(url).alias("host"),
-        U.url_path(url).alias("path"),
-        U.url_params(url).alias("params"),
-        U.url_query(url).alias("query"),
-    )
+        "page_id", "variant", U.url_parts(F.col("url")).alias("p")
+    ).select("page_id", "variant", "p.*")
 
 
 @query("url_scheme_fold", _urls(f"{S.scheme('url')} as scheme"))
@@ -66,17 +67,17 @@ def url_host(spark, sf):
     )
 
 
-@query("url_params_sort", _urls(f"{S.sort_params(S.params('url'))} as params"))
+@query("url_params_sort", _urls(f"case when {S.host('url')} is not null then {S.sort_params(S.params('url'))} end as params"))
 def url_params_sort(spark, sf):
     return derived(spark, sf, "d_url").select(
-        "page_id", "variant", U.sort_params(U.url_params(F.col("url"))).alias("params")
+        "page_id", "variant", U.sort_params(U.url_parts(F.col("url"))["params"]).alias("params")
     )
 
 
-@query("url_query_sort", _urls(f"{S.sort_query(S.query('url'))} as query"))
+@query("url_query_sort", _urls(f"case when {S.host('url')} is not null then {S.sort_query(S.query('url'))} end as query"))
 def url_query_sort(spark, sf):
     return derived(spark, sf, "d_url").select(
-        "page_id", "variant", U.sort_query(U.url_query(F.col("url"))).alias("query")
+        "page_id", "variant", U.sort_query(U.url_parts(F.col("url"))["query"]).alias("query")
     )
 
 
