@@ -26,7 +26,12 @@ ATTRIBUTE = r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?"""
 
 
 def _is_markup(token: Column) -> Column:
-    return F.rlike(token, F.lit("^</?[A-Za-z]"))
+    """Whether a token is a tag; a lone `<` is text."""
+    return F.startswith(token, F.lit("<")) & (F.length(token) > 1)
+
+
+def _is_skipped(token: Column) -> Column:
+    return F.startswith(token, F.lit("<!")) | F.startswith(token, F.lit("<?"))
 
 
 def opening_tags(html: Column) -> Column:
@@ -38,7 +43,8 @@ def opening_tags(html: Column) -> Column:
 
 def start_tag(token: Column) -> Column:
     """The start tag at the head of a token which may carry raw content."""
-    raw = F.rlike(token, F.lit(r"(?i)^<(?:script|style)[\s/>]"))
+    may_be = F.startswith(token, F.lit("<s")) | F.startswith(token, F.lit("<S"))
+    raw = may_be & F.rlike(token, F.lit(r"(?i)^<(?:script|style)[\s/>]"))
     return F.when(raw, F.regexp_extract(token, OPENING, 0)).otherwise(token)
 
 
@@ -98,6 +104,37 @@ def _token(kind: str, value: Column, source: Column) -> Column:
     )
 
 
+def _markup_parts(token: Column, head: Column) -> Column:
+    none = F.lit(None).cast("string")
+    name = tag_name(token)
+    content = F.substr(token, F.length(head) + 1)
+    return (
+        F.when(F.startswith(token, F.lit("</")), F.array(_token("etag", name, none)))
+        .when(
+            F.length(token) > F.length(head),
+            F.array(_token("stag", name, head), _token("value", content, none)),
+        )
+        .when(
+            closes_itself(token),
+            F.array(_token("stag", name, token), _token("etag", name, none)),
+        )
+        .otherwise(F.array(_token("stag", name, token)))
+    )
+
+
+def token_parts(token: Column) -> Column:
+    """The tokens, one or two, of a piece of a page as an array."""
+    text = F.array(_token("value", decode_entities(token), F.lit(None).cast("string")))
+    markup = let(start_tag(token), lambda head: _markup_parts(token, head))
+    return F.when(_is_markup(token), markup).otherwise(text)
+
+
+def pieces(html: Column) -> Column:
+    """Source of the tags and texts of a page in order."""
+    found = F.regexp_extract_all(html, F.lit(TOKENS), F.lit(0))
+    return F.filter(found, lambda t: ~_is_skipped(t))
+
+
 def tokens(html: Column) -> Column:
     """ARRAY<STRUCT<kind, value, source>> of stag / etag / value in page order.
 
@@ -105,32 +142,7 @@ def tokens(html: Column) -> Column:
     written.  A self-closing tag counts as start and end; script and style
     content is one text token, not decoded.
     """
-    none = F.lit(None).cast("string")
-    found = F.filter(
-        F.regexp_extract_all(html, F.lit(TOKENS), F.lit(0)),
-        lambda t: ~F.rlike(t, F.lit(r"^<[!?]")),
-    )
-
-    def markup(t: Column, head: Column) -> Column:
-        name = tag_name(t)
-        content = F.substr(t, F.length(head) + 1)
-        return (
-            F.when(F.startswith(t, F.lit("</")), F.array(_token("etag", name, none)))
-            .when(
-                F.length(t) > F.length(head),
-                F.array(_token("stag", name, head), _token("value", content, none)),
-            )
-            .when(
-                closes_itself(t), F.array(_token("stag", name, t), _token("etag", name, none))
-            )
-            .otherwise(F.array(_token("stag", name, t)))
-        )
-
-    def expand(t: Column) -> Column:
-        text = F.array(_token("value", decode_entities(t), none))
-        return F.when(~_is_markup(t), text).otherwise(let(start_tag(t), lambda h: markup(t, h)))
-
-    return F.flatten(F.transform(found, expand))
+    return F.flatten(F.transform(pieces(html), token_parts))
 
 
 def bare_tokens(html: Column) -> Column:

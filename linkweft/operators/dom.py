@@ -23,10 +23,6 @@ from linkweft.functions import patterns as P
 from linkweft.functions.text import before_break, join_paragraphs, second_word, split_saving, strip
 from linkweft.operators.records import ARTICLE_FIELDS, BOOK_FIELDS, PRODUCT_FIELDS
 
-# Levels whose last element is kept as a window column; deeper pages take one more
-# block of levels each.
-BLOCK = 32
-
 FRAME_TAGS = ("html", "head", "body")
 # HTML elements which have no end tag.
 VOID_TAGS = (
@@ -37,26 +33,38 @@ VOID_TAGS = (
 OPTIONAL_STEPS = (*FRAME_TAGS, "tbody")
 
 
-def page_structure(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def page_structure(
+    pages: DataFrame, keep: tuple[str, ...] = (), extra: dict[str, Column] | None = None
+) -> DataFrame:
     """Elements and texts of pages with their level, end tags left out.
 
-    (page_id, keep, node_id, kind, tag, text, source, nests, level, after_tag):
-    `level` counts the open elements, the node itself included if it nests;
-    `after_tag` is the unpaired start tag right before a text.
+    (page_id, keep, node_id, seq, kind, tag, text, nests, level, after_tag, extra):
+    `seq` numbers the nodes of a page, `level` counts the open elements, the node
+    itself included if it nests; `after_tag` is the unpaired start tag right before
+    a text.  `extra` columns are made from `tag` and `source`, the start tag as
+    written, which is not kept.
     """
+    extra = extra or {}
+    pieces = pages.select("page_id", *keep, "html").repartition("page_id").select(
+        "page_id", *keep, F.posexplode(H.pieces(F.col("html"))).alias("piece_no", "piece")
+    )
     found = (
-        pages.select("page_id", *keep, "html")
-        .repartition("page_id")
-        .select("page_id", *keep, F.posexplode(H.tokens(F.col("html"))).alias("node_id", "t"))
-        .select("page_id", *keep, "node_id", "t.kind", "t.value", "t.source")
+        pieces.select(
+            "page_id", *keep, "piece_no", F.posexplode(H.token_parts(F.col("piece"))).alias("part", "t")
+        )
+        .select("page_id", *keep, "piece_no", "part", "t.kind", "t.value", "t.source")
         .withColumn("tag", F.when(F.col("kind") != "value", F.col("value")))
+        .withColumns(extra)
     )
+    if "source" not in extra:
+        found = found.drop("source")
     same_tag = Window.partitionBy("page_id", "tag")
     paired = F.count_if(F.col("kind") == "stag").over(same_tag) == F.count_if(
         F.col("kind") == "etag"
     ).over(same_tag)
     nests = F.col("tag").isNotNull() & paired & ~F.col("tag").isin(*FRAME_TAGS)
-    in_order = Window.partitionBy("page_id").orderBy("node_id")
+    in_order = Window.partitionBy("page_id").orderBy("piece_no", "part")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     step = F.when(~F.col("nests"), 0).when(F.col("kind") == "stag", 1).otherwise(-1)
     open_tag = F.when(
         (F.col("kind") == "stag") & ~F.col("nests") & ~F.col("tag").isin(*FRAME_TAGS, *VOID_TAGS),
@@ -64,26 +72,34 @@ def page_structure(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
     return (
         found.withColumn("nests", F.coalesce(nests, F.lit(False)))
-        .withColumn("level", F.sum(step).over(in_order.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
-        .withColumn("after_tag", F.lag(open_tag).over(in_order))
+        .withColumns(
+            {
+                "level": F.sum(step).over(so_far).cast("int"),
+                "node_id": (F.row_number().over(in_order) - 1).cast("int"),
+                "seq": F.count_if(F.col("kind") != "etag").over(so_far).cast("int"),
+                "after_tag": F.lag(open_tag).over(in_order),
+            }
+        )
         .where(F.col("kind") != "etag")
         .select(
             "page_id",
             *keep,
             "node_id",
+            "seq",
             F.when(F.col("kind") == "stag", "element").otherwise("text").alias("kind"),
             "tag",
             F.when(F.col("kind") == "value", F.col("value")).alias("text"),
-            "source",
             "nests",
             "level",
             F.when(F.col("kind") == "value", F.col("after_tag")).alias("after_tag"),
+            *extra,
         )
     )
 
 
 def with_parents(nodes: DataFrame) -> DataFrame:
-    """Add `parent_id` and `nth`, the place among siblings of the same tag.
+    """Add the element around a node as `parent` (its `seq`) and `parent_id`, and
+    `nth`, the place among siblings of the same tag.
 
     The parent is the last nesting element one level up: each node asks at that
     level, each nesting element opens its own.
@@ -95,87 +111,82 @@ def with_parents(nodes: DataFrame) -> DataFrame:
     roles = F.when(F.col("nests"), F.array(asks, opens)).otherwise(F.array(asks))
     at_level = (
         Window.partitionBy("page_id", "r.at")
-        .orderBy("node_id")
+        .orderBy("seq")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    parent = F.last(F.when(F.col("r.opens"), F.col("node_id")), ignorenulls=True).over(at_level)
-    siblings = Window.partitionBy("page_id", "parent_id", "tag").orderBy("node_id")
+    opened = F.when(F.col("r.opens"), F.struct("seq", "node_id"))
+    parent = F.last(opened, ignorenulls=True).over(at_level)
+    siblings = Window.partitionBy("page_id", "parent", "tag").orderBy("seq")
     return (
         nodes.withColumn("r", F.explode(roles))
-        .withColumn("parent_id", parent)
+        .withColumn("p", parent)
         .where(~F.col("r.opens"))
-        .drop("r")
+        .select("*", F.col("p.seq").alias("parent"), F.col("p.node_id").alias("parent_id"))
+        .drop("r", "p")
         .withColumn("nth", F.row_number().over(siblings))
     )
 
 
-def with_chain(nodes: DataFrame, step: Column, out: str, block: int = BLOCK) -> DataFrame:
+def with_chain(
+    nodes: DataFrame, step: Column, out: str, through_unclosed: bool = False
+) -> DataFrame:
     """Add the steps of all elements around a node, outermost first, as one text.
 
     A nesting element's own step is the last of its chain; other nodes get the
-    chain of the element around them.  In pages of properly nested elements the
-    element around a node at some level is the last one of that level before it,
-    so one window column per level holds the chain.  Levels are handled in blocks:
-    a node sees the levels of its block, and the chains of the blocks above hang on
-    the element that heads the block.
-    """
-    level = F.col("level")
-    deep = F.col("nests") & (level > 0) & (F.pmod(level, F.lit(block)) == 0)
-    own_block = F.floor((F.greatest(level, F.lit(1)) - 1) / block).cast("int")
+    chain of the element around them, and with `through_unclosed` a text right
+    after an unpaired start tag gets that tag's step too.
 
-    def role(number: Column, depth: Column, head: bool) -> Column:
-        return F.struct(
-            number.alias("block"), depth.cast("int").alias("depth"), F.lit(head).alias("head")
-        )
-
-    own = role(own_block, level - own_block * block, False)
-    heads = role((level / block).cast("int"), F.lit(0), True)
-    roles = F.when(deep, F.array(own, heads)).otherwise(F.array(own))
-
-    in_block = (
-        Window.partitionBy("page_id", "_r.block")
-        .orderBy("node_id")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    The nodes of a page meet in one array, in which each knows the place of its
+    parent.  Each round doubles the number of ancestors a chain covers, so the
+    number of rounds is the logarithm of the depth, whatever that is.
+    """
+    columns = [c for c in nodes.columns if c not in ("page_id", "seq")]
+    row = F.struct("seq", *columns, step.alias("_step"))
+    packed = nodes.groupBy("page_id").agg(
+        F.array_sort(F.collect_list(row)).alias("_nodes"), F.max("level").alias("_depth")
+    )
+    start = F.transform(
+        "_nodes",
+        lambda n: F.struct(
+            F.when(n["nests"], n["_step"]).otherwise("").alias("chain"), n["parent"].alias("up")
+        ),
     )
 
-    def last_at(depth: int, value: Column) -> Column:
-        here = F.col("nests") & (F.col("_r.depth") == depth)
-        return F.last(F.when(here, value), ignorenulls=True).over(in_block)
-
-    steps = F.array(*[last_at(d, F.col("_step")) for d in range(1, block + 1)])
-    chained = (
-        nodes.withColumn("_step", step)
-        .withColumn("_r", F.explode(roles))
-        .withColumns({"_steps": steps, "_head": last_at(0, F.col("node_id"))})
-        .withColumn(
-            "_part",
-            F.array_join(F.slice("_steps", F.lit(1), F.greatest(F.col("_r.depth"), F.lit(0))), ""),
+    def climb(known: Column, _: Column) -> Column:
+        def longer(node: Column) -> Column:
+            above = F.get(known, node["up"] - 1)
+            return F.when(node["up"].isNull(), node).otherwise(
+                F.struct(
+                    F.concat(above["chain"], node["chain"]).alias("chain"),
+                    above["up"].alias("up"),
+                )
+            )
+
+        return F.transform(known, longer)
+
+    rounds = F.ceil(F.log2(F.greatest(F.col("_depth"), F.lit(1)) + 1)).cast("int")
+    chains = F.aggregate(F.sequence(F.lit(1), rounds), start, climb)
+    if through_unclosed:
+        chains = F.transform(
+            chains,
+            lambda c, i: F.struct(
+                F.when(
+                    F.col("_nodes")[i]["after_tag"].isNotNull(),
+                    F.concat(c["chain"], F.get(F.col("_nodes"), i - 1)["_step"]),
+                )
+                .otherwise(c["chain"])
+                .alias("chain")
+            ),
         )
-        .drop("_steps")
+    both = packed.withColumn("_chains", chains).select(
+        "page_id", F.inline(F.arrays_zip("_nodes", "_chains"))
     )
-    bearer = F.when(
-        deep & ~F.col("_r.head"),
-        F.struct("node_id", F.col("_part").alias("chain"), F.col("_head").alias("head")),
+    return both.select(
+        "page_id",
+        "_nodes.seq",
+        *[F.col(f"_nodes.{c}").alias(c) for c in columns],
+        F.col("_chains.chain").alias(out),
     )
-    above = chained.withColumn(
-        "_bearers", F.collect_list(bearer).over(Window.partitionBy("page_id"))
-    ).where(~F.col("_r.head"))
-
-    def climb(state: Column, _: Column) -> Column:
-        found = F.get(
-            F.filter(F.col("_bearers"), lambda b: b["node_id"] == state["at"]), F.lit(0)
-        )
-        return F.struct(
-            F.concat(F.coalesce(found["chain"], F.lit("")), state["chain"]).alias("chain"),
-            found["head"].alias("at"),
-        )
-
-    start = F.struct(F.col("_part").alias("chain"), F.col("_head").alias("at"))
-    whole = F.when(
-        F.col("_r.block") > 0,
-        F.aggregate(F.sequence(F.lit(1), F.col("_r.block")), start, climb)["chain"],
-    ).otherwise(F.col("_part"))
-    return above.withColumn(out, whole).drop("_step", "_r", "_head", "_part", "_bearers")
 
 
 def own_step(chain: Column, step: Column) -> Column:
@@ -187,10 +198,13 @@ def dom_nodes(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The node table of pages.
 
     (page_id, keep, node_id, parent_id, kind, tag, nth, level, path, attrs,
-    after_tag, text); a path looks like `/div[1]/a[2]`.
+    after_tag, text); a path looks like `/div[1]/a[2]`, and that of a text is the
+    path of the element around it.
     """
     step = F.concat(F.lit("/"), F.col("tag"), F.lit("["), F.col("nth"), F.lit("]"))
-    nodes = with_chain(with_parents(page_structure(pages, keep)), step, "path")
+    written = {"source": F.col("source")}
+    nodes = with_parents(page_structure(pages, keep, written))
+    nodes = with_chain(nodes, step, "path")
     return nodes.select(
         "page_id",
         *keep,
@@ -215,24 +229,25 @@ def _path_steps(path: str) -> list[tuple[str, str, str]]:
     return re.findall(step, path)
 
 
-def _step_test(tag: str, predicates: str) -> Column:
-    """Whether an element fits the tag and predicates of a step."""
-    test = F.col("kind") == "element"
+def _step_test(tag: str, predicates: str) -> tuple[Column, int | None]:
+    """Whether a start tag fits a step, and the place among siblings it asks for."""
+    test = F.col("kind") == "stag"
+    place = None
     if tag != "*":
         test = test & (F.col("tag") == tag)
     for text in re.findall(r"\[([^\]]*)\]", predicates):
         equal = re.fullmatch(r'@([\w-]+)\s*=\s*["\'](.*)["\']', text)
         holds = re.fullmatch(r'contains\(@([\w-]+),\s*["\'](.*)["\']\)', text)
         if text.isdigit():
-            test = test & (F.col("nth") == int(text))
+            place = int(text)
         elif equal:
-            test = test & F.coalesce(F.col("_attrs")[equal[1]] == equal[2], F.lit(False))
+            test = test & F.coalesce(F.col("attrs")[equal[1]] == equal[2], F.lit(False))
         elif holds:
-            value = F.col("_attrs")[holds[1]]
+            value = F.col("attrs")[holds[1]]
             test = test & F.coalesce(F.contains(value, F.lit(holds[2])), F.lit(False))
         else:
             raise ValueError(f"unsupported predicate: [{text}]")
-    return test
+    return test, place
 
 
 def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -243,9 +258,9 @@ def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...]
     pattern over that chain.
     """
     tests: list[tuple[str, str]] = []
-    patterns: dict[str, tuple[str, bool]] = {}
+    patterns: dict[str, tuple[str, str, bool]] = {}
     for name, path in paths.items():
-        pattern, wants_text = "^", False
+        pattern, mark, wants_text = "^", "", False
         for axis, tag, predicates in _path_steps(path):
             gap = "(?:/[^/]*)*" if axis == "//" else ""
             if tag == "text()":
@@ -256,29 +271,35 @@ def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...]
             mark = chr(0xE000 + tests.index((tag, predicates)))
             part = f"{gap}/[^/]*{mark}[^/]*"
             pattern += f"(?:{part})?" if tag in OPTIONAL_STEPS and not predicates else part
-        patterns[name] = (pattern + "$", wants_text)
-
-    marks = F.concat(
-        F.lit("/"),
-        *[
-            F.when(_step_test(*test), F.lit(chr(0xE000 + i))).otherwise("")
-            for i, test in enumerate(tests)
-        ],
-    )
-    # an unclosed element has no level of its own: its text carries its marks
-    unclosed = F.when(
-        F.col("after_tag").isNotNull(),
-        F.lag("_marks").over(Window.partitionBy("page_id").orderBy("node_id")),
-    )
-    nodes = with_parents(page_structure(pages, keep))
-    nodes = nodes.withColumn("_attrs", H.attributes(F.col("source")))
-    nodes = nodes.withColumn("_marks", marks).drop("_attrs", "source")
-    nodes = nodes.withColumn("_unclosed", unclosed)
-    nodes = with_chain(nodes, F.col("_marks"), "_chain")
-    chain = F.concat(
-        own_step(F.col("_chain"), F.col("_marks")), F.coalesce("_unclosed", F.lit(""))
-    )
-    nodes = nodes.withColumn("_chain", chain)
+        patterns[name] = (pattern + "$", "" if gap and wants_text else mark, wants_text)
+
+    def marked(test: Column, number: int) -> Column:
+        return F.when(test, F.lit(chr(0xE000 + number))).otherwise("")
+
+    fits = [_step_test(*test) for test in tests]
+    by_tag = F.concat(F.lit(""), *[marked(test, i) for i, (test, _) in enumerate(fits)])
+    extra = {"marks": by_tag}
+    if any("@" in predicates for _, predicates in tests):
+        extra = {"attrs": H.attributes(F.col("source")), **extra}
+
+    # marks of steps which ask for another place among the siblings are taken off
+    marks = F.col("marks")
+    for number, (_, place) in enumerate(fits):
+        if place is not None:
+            gone = F.replace(marks, F.lit(chr(0xE000 + number)), F.lit(""))
+            marks = F.when(F.col("nth") == place, marks).otherwise(gone)
+    step = F.concat(F.lit("/"), marks)
+    nodes = with_parents(page_structure(pages, keep, extra).drop("attrs"))
+    nodes = nodes.withColumn("step", step).drop("marks", "nth", "parent_id")
+    nodes = with_chain(nodes, F.col("step"), "chain", through_unclosed=True)
+    nodes = nodes.withColumn("chain", own_step(F.col("chain"), F.col("step")))
+    nodes = nodes.withColumn("last", F.substring_index("chain", "/", -1))
+
+    def selected(pattern: str, mark: str, wants_text: bool) -> Column:
+        # the last step decides most nodes before the pattern is tried
+        kind = F.col("kind") == ("text" if wants_text else "element")
+        return kind & F.contains("last", F.lit(mark)) & F.rlike("chain", F.lit(pattern))
+
     return nodes.select(
         "page_id",
         *keep,
@@ -286,13 +307,7 @@ def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...]
         "kind",
         "tag",
         "text",
-        *[
-            (
-                (F.col("kind") == ("text" if text else "element"))
-                & F.rlike("_chain", F.lit(pattern))
-            ).alias(f"is_{name}")
-            for name, (pattern, text) in patterns.items()
-        ],
+        *[selected(*p).alias(f"is_{name}") for name, p in patterns.items()],
     )
 
 
