@@ -68,7 +68,7 @@ def crawl_round(
     in_flight: DataFrame | None = None,
     busy: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    stage: Stage = lambda name, df: df,
+    stage: Stage | None = None,
 ) -> Store:
     """One turn for every page of the frontier; returns the rows of the round.
 
@@ -77,9 +77,11 @@ def crawl_round(
     `link`, `image`, `page_data` the new rows.  `keep_unreached` leaves pages
     without capture in the frontier, as a stream of captures needs it.  Rows whose
     URL is in `in_flight`, or whose host is in `busy`, wait for the next round.
-    `stage` may write a step which several results need and give back what it wrote.
+    Steps which several results need are written by `stage`, below the shared folder
+    unless it says otherwise, so that no result computes them again.
     """
     page, site = store["page"], store["site"]
+    stage = stage or written_stage(page.sparkSession, work_dir(page.sparkSession, "stage"))
     waiting = is_waiting()
     frontier, settled = page.where(waiting), page.where(~waiting)
     taken = frontier
