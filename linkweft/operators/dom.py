@@ -13,6 +13,7 @@ same paths as a whole one.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,10 +128,9 @@ def with_parents(nodes: DataFrame) -> DataFrame:
     )
 
 
-def with_chain(
-    nodes: DataFrame, step: Column, out: str, through_unclosed: bool = False
-) -> DataFrame:
-    """Add the steps of all elements around a node, outermost first, as one text.
+def page_chains(nodes: DataFrame, step: Column, through_unclosed: bool = False) -> DataFrame:
+    """(page_id, nodes, chains): the nodes of a page in order, and of each the steps
+    of all elements around it, outermost first, as one text.
 
     A nesting element's own step is the last of its chain; other nodes get the
     chain of the element around them, and with `through_unclosed` a text right
@@ -178,14 +178,19 @@ def with_chain(
                 .alias("chain")
             ),
         )
-    both = packed.withColumn("_chains", chains).select(
-        "page_id", F.inline(F.arrays_zip("_nodes", "_chains"))
+    return packed.select(
+        "page_id", F.col("_nodes").alias("nodes"), chains.alias("chains")
     )
+
+
+def with_chain(nodes: DataFrame, step: Column, out: str) -> DataFrame:
+    """Nodes with their chain of steps as the column `out`; see `page_chains`."""
+    columns = [c for c in nodes.columns if c != "page_id"]
+    both = page_chains(nodes, step).select("page_id", F.inline(F.arrays_zip("nodes", "chains")))
     return both.select(
         "page_id",
-        "_nodes.seq",
-        *[F.col(f"_nodes.{c}").alias(c) for c in columns],
-        F.col("_chains.chain").alias(out),
+        *[F.col(f"nodes.{c}").alias(c) for c in columns],
+        F.col("chains.chain").alias(out),
     )
 
 
@@ -250,8 +255,10 @@ def _step_test(tag: str, predicates: str) -> tuple[Column, int | None]:
     return test, place
 
 
-def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Nodes of pages with one BOOLEAN column `is_<name>` per path.
+def _marked_pages(
+    pages: DataFrame, paths: dict[str, str]
+) -> tuple[DataFrame, dict[str, Callable[[Column], Column]]]:
+    """(page_id, nodes) of pages, and per path a test for such a node.
 
     All paths are evaluated in one pass.  Every step test of every path has a mark;
     a node's chain holds the marks of the elements around it, and a path is a
@@ -265,13 +272,16 @@ def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...]
             gap = "(?:/[^/]*)*" if axis == "//" else ""
             if tag == "text()":
                 pattern, wants_text = pattern + gap, True
+                mark = "" if gap else mark
                 continue
             if (tag, predicates) not in tests:
                 tests.append((tag, predicates))
             mark = chr(0xE000 + tests.index((tag, predicates)))
             part = f"{gap}/[^/]*{mark}[^/]*"
-            pattern += f"(?:{part})?" if tag in OPTIONAL_STEPS and not predicates else part
-        patterns[name] = (pattern + "$", "" if gap and wants_text else mark, wants_text)
+            optional = tag in OPTIONAL_STEPS and not predicates
+            pattern += f"(?:{part})?" if optional else part
+            mark = "" if optional else mark
+        patterns[name] = (pattern + "$", mark, wants_text)
 
     def marked(test: Column, number: int) -> Column:
         return F.when(test, F.lit(chr(0xE000 + number))).otherwise("")
@@ -288,47 +298,49 @@ def path_matches(pages: DataFrame, paths: dict[str, str], keep: tuple[str, ...]
         if place is not None:
             gone = F.replace(marks, F.lit(chr(0xE000 + number)), F.lit(""))
             marks = F.when(F.col("nth") == place, marks).otherwise(gone)
-    step = F.concat(F.lit("/"), marks)
-    nodes = with_parents(page_structure(pages, keep, extra).drop("attrs"))
-    nodes = nodes.withColumn("step", step).drop("marks", "nth", "parent_id")
-    nodes = with_chain(nodes, F.col("step"), "chain", through_unclosed=True)
-    nodes = nodes.withColumn("chain", own_step(F.col("chain"), F.col("step")))
-    nodes = nodes.withColumn("last", F.substring_index("chain", "/", -1))
-
-    def selected(pattern: str, mark: str, wants_text: bool) -> Column:
-        # the last step decides most nodes before the pattern is tried
-        kind = F.col("kind") == ("text" if wants_text else "element")
-        return kind & F.contains("last", F.lit(mark)) & F.rlike("chain", F.lit(pattern))
+    nodes = with_parents(page_structure(pages, extra=extra).drop("attrs"))
+    nodes = nodes.withColumn("step", F.concat(F.lit("/"), marks)).drop("marks", "nth", "parent_id")
 
-    return nodes.select(
-        "page_id",
-        *keep,
-        "node_id",
-        "kind",
-        "tag",
-        "text",
-        *[selected(*p).alias(f"is_{name}") for name, p in patterns.items()],
-    )
+    def whole(node: Column, chain: Column) -> Column:
+        nested = node["nests"] | node["tag"].isNull()
+        own = F.when(nested, chain["chain"]).otherwise(F.concat(chain["chain"], node["step"]))
+        kept = [node[k].alias(k) for k in ("node_id", "kind", "tag", "text")]
+        return F.struct(*kept, own.alias("chain"))
+
+    arrays = page_chains(nodes, F.col("step"), through_unclosed=True)
+    arrays = arrays.select("page_id", F.zip_with("nodes", "chains", whole).alias("nodes"))
+
+    def test_of(pattern: str, mark: str, wants_text: bool) -> Callable[[Column], Column]:
+        def selected(node: Column) -> Column:
+            # the last step decides most nodes before the pattern is tried
+            last = F.substring_index(node["chain"], "/", -1)
+            kind = node["kind"] == ("text" if wants_text else "element")
+            return kind & F.contains(last, F.lit(mark)) & F.rlike(node["chain"], F.lit(pattern))
+
+        return selected
+
+    return arrays, {name: test_of(*p) for name, p in patterns.items()}
 
 
 def path_select(pages: DataFrame, path: str) -> DataFrame:
     """(page_id, match_no, node_id, tag, text) of the nodes a path selects."""
-    hits = path_matches(pages, {"hit": path}).where(F.col("is_hit"))
-    in_page = Window.partitionBy("page_id").orderBy("node_id")
+    marked, selected = _marked_pages(pages, {"hit": path})
+    hits = marked.select(
+        "page_id", F.posexplode(F.filter("nodes", selected["hit"])).alias("at", "n")
+    )
     return hits.select(
-        "page_id", F.row_number().over(in_page).alias("match_no"), "node_id", "tag", "text"
+        "page_id", (F.col("at") + 1).alias("match_no"), "n.node_id", "n.tag", "n.text"
     )
 
 
 def path_lists(pages: DataFrame, paths: dict[str, str]) -> DataFrame:
     """(page_id, one ARRAY<STRING> per path): selected texts in page order."""
-
-    def texts(name: str) -> Column:
-        hit = F.when(F.col(f"is_{name}"), F.struct("node_id", "text"))
-        ordered = F.array_sort(F.collect_list(hit))
-        return F.transform(ordered, lambda h: h["text"]).alias(name)
-
-    return path_matches(pages, paths).groupBy("page_id").agg(*[texts(n) for n in paths])
+    marked, selected = _marked_pages(pages, paths)
+    lists = [
+        F.transform(F.filter("nodes", test), lambda n: n["text"]).alias(name)
+        for name, test in selected.items()
+    ]
+    return marked.select("page_id", *lists)
 
 
 def _zip_lists(lists: DataFrame, fields: dict[str, Column], lead: str) -> DataFrame:
