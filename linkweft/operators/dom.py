@@ -13,6 +13,7 @@ same paths as a whole one.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ from linkweft.functions import html as H
 from linkweft.functions import patterns as P
 from linkweft.functions.text import before_break, join_paragraphs, second_word, split_saving, strip
 from linkweft.operators.records import ARTICLE_FIELDS, BOOK_FIELDS, PRODUCT_FIELDS
+from linkweft.plans.once import let
 
 FRAME_TAGS = ("html", "head", "body")
 # HTML elements which have no end tag.
@@ -145,10 +147,12 @@ def page_chains(nodes: DataFrame, step: Column, through_unclosed: bool = False)
     packed = nodes.groupBy("page_id").agg(
         F.array_sort(F.collect_list(row)).alias("_nodes"), F.max("level").alias("_depth")
     )
+    # only nesting elements climb; the others look at the element around them
     start = F.transform(
         "_nodes",
         lambda n: F.struct(
-            F.when(n["nests"], n["_step"]).otherwise("").alias("chain"), n["parent"].alias("up")
+            F.when(n["nests"], n["_step"]).otherwise("").alias("chain"),
+            F.when(n["nests"], n["parent"]).alias("up"),
         ),
     )
 
@@ -165,19 +169,22 @@ def page_chains(nodes: DataFrame, step: Column, through_unclosed: bool = False)
         return F.transform(known, longer)
 
     rounds = F.ceil(F.log2(F.greatest(F.col("_depth"), F.lit(1)) + 1)).cast("int")
-    chains = F.aggregate(F.sequence(F.lit(1), rounds), start, climb)
-    if through_unclosed:
-        chains = F.transform(
-            chains,
-            lambda c, i: F.struct(
-                F.when(
-                    F.col("_nodes")[i]["after_tag"].isNotNull(),
-                    F.concat(c["chain"], F.get(F.col("_nodes"), i - 1)["_step"]),
+    climbed = F.aggregate(F.sequence(F.lit(1), rounds), start, climb)
+
+    def chain_of(known: Column) -> Column:
+        def chain(node: Column, at: Column) -> Column:
+            around = F.coalesce(F.get(known, node["parent"] - 1)["chain"], F.lit(""))
+            if through_unclosed:
+                before = F.get(F.col("_nodes"), at - 1)["_step"]
+                around = F.when(node["after_tag"].isNull(), around).otherwise(
+                    F.concat(around, before)
                 )
-                .otherwise(c["chain"])
-                .alias("chain")
-            ),
-        )
+            own = F.when(node["nests"], F.get(known, at)["chain"]).otherwise(around)
+            return F.struct(own.alias("chain"))
+
+        return F.transform("_nodes", chain)
+
+    chains = let(climbed, chain_of)
     return packed.select(
         "page_id", F.col("_nodes").alias("nodes"), chains.alias("chains")
     )
@@ -234,6 +241,12 @@ def _path_steps(path: str) -> list[tuple[str, str, str]]:
     return re.findall(step, path)
 
 
+def _mark(number: int) -> str:
+    """A character that stands for a step test: letters and digits, then private ones."""
+    short = string.ascii_letters + string.digits
+    return short[number] if number < len(short) else chr(0xE000 + number)
+
+
 def _step_test(tag: str, predicates: str) -> tuple[Column, int | None]:
     """Whether a start tag fits a step, and the place among siblings it asks for."""
     test = F.col("kind") == "stag"
@@ -276,7 +289,7 @@ def _marked_pages(
                 continue
             if (tag, predicates) not in tests:
                 tests.append((tag, predicates))
-            mark = chr(0xE000 + tests.index((tag, predicates)))
+            mark = _mark(tests.index((tag, predicates)))
             part = f"{gap}/[^/]*{mark}[^/]*"
             optional = tag in OPTIONAL_STEPS and not predicates
             pattern += f"(?:{part})?" if optional else part
@@ -284,7 +297,7 @@ def _marked_pages(
         patterns[name] = (pattern + "$", mark, wants_text)
 
     def marked(test: Column, number: int) -> Column:
-        return F.when(test, F.lit(chr(0xE000 + number))).otherwise("")
+        return F.when(test, F.lit(_mark(number))).otherwise("")
 
     fits = [_step_test(*test) for test in tests]
     by_tag = F.concat(F.lit(""), *[marked(test, i) for i, (test, _) in enumerate(fits)])
@@ -296,7 +309,7 @@ def _marked_pages(
     marks = F.col("marks")
     for number, (_, place) in enumerate(fits):
         if place is not None:
-            gone = F.replace(marks, F.lit(chr(0xE000 + number)), F.lit(""))
+            gone = F.replace(marks, F.lit(_mark(number)), F.lit(""))
             marks = F.when(F.col("nth") == place, marks).otherwise(gone)
     nodes = with_parents(page_structure(pages, extra=extra).drop("attrs"))
     nodes = nodes.withColumn("step", F.concat(F.lit("/"), marks)).drop("marks", "nth", "parent_id")

@@ -110,6 +110,6 @@ def enum_usage(pages: DataFrame) -> DataFrame:
     counted = pages.groupBy(F.col("page_type_code").alias("code")).agg(
         F.count(F.lit(1)).alias("pages")
     )
-    return F.broadcast(types).join(counted, "code", "left").select(
+    return types.join(counted, "code", "left").select(
         "code", F.coalesce("pages", F.lit(0)).cast("long").alias("pages")
     )
