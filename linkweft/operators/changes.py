@@ -146,16 +146,17 @@ def apply_fetch(
     Site by host, type by ending and hash, status 200.  The content to store is
     `captured_html`, or nothing for a binary page.
     """
+    # the site is looked up before the content joins, so hosts are counted on keys only
+    hosts = page.select("id", "url", url_host(F.col("url")).alias("domain"))
+    placed = skew_lookup(hosts, first_sites(site), "domain", ["id"], hot_rows=hot_rows)
     fetched = (
-        page.select("id", "url")
+        placed.select("id", "url", "site_id")
         .join(captures.select("url", F.col("html").alias("captured_html")), "url")
         .withColumn("hash_code", content_hash(F.col("captured_html")))
-        .withColumn("domain", url_host(F.col("url")))
     )
     classed = seen_hashes(fetched, settled, hot_rows)
-    placed = skew_lookup(classed, first_sites(site), "domain", ["id"], hot_rows=hot_rows)
     kind = page_class(F.col("url"), F.col("seen_before"))
-    return placed.select(
+    return classed.select(
         "id",
         "site_id",
         kind.alias("page_type_code"),
