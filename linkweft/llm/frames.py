@@ -2,14 +2,39 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import linkweft
 from linkweft.plans.session import shared_dir
 
+SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application.
+
+    Workers of a cluster need not have it installed; Spark hands the file out.
+    """
+    context = spark.sparkContext
+    if context.applicationId in SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(linkweft.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="linkweft-"), "linkweft.zip")
+    with zipfile.ZipFile(target, "w") as packed:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                packed.write(path, os.path.join("linkweft", os.path.relpath(path, top)))
+    context.addPyFile(target)
+    SHIPPED.add(context.applicationId)
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of `df` written as Parquet below the shared folder, and read again.

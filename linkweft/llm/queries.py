@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweft.llm.frames import table
+from linkweft.llm import quality_nbsvm, quality_rules
+from linkweft.llm.frames import ship, table, unseen
 from linkweft.llm.substring import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,16 +17,39 @@ CHECKS: dict[str, str] = {}
 
 def query(name: str, check: str | None = None):
     def register(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if check is not None:
             CHECKS[name] = check
-        return function
+        return run
 
     return register
 
 
+def _held_out():
+    return unseen(F.col("doc_id")).alias("held_out")
+
+
+@query("op1_quality_nbsvm")
+def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_nbsvm.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_nbsvm.score(docs, model)
+    return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op7_substring_dedup")
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = remove_repeats(docs)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.apply_rules(docs, model).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "score")
