@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkweft.llm import quality_nbsvm, quality_rules
 from linkweft.llm.frames import ship, table, unseen
+from linkweft.llm.packing import pack_documents
 from linkweft.llm.substring import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +42,14 @@ def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op7_substring_dedup")
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
