@@ -15,7 +15,8 @@ Three steps keep the shuffled rows few while every window stays covered:
 
 Counts and least ids are combined before each shuffle; a passage in a third of all
 documents is one group of an aggregation and one key of a join whose skewed side Spark
-splits.  No rows of a key are gathered; only the positions within one document are.
+splits; the other side is a written table, as Spark splits only what it shuffles for the
+join itself.  No rows of a key are gathered; only the positions within one document are.
 """
 
 from __future__ import annotations
@@ -51,6 +52,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     keys = known.mapInArrow(_window_keys(size), "id long, text_hash binary, key long")
     shared = keys.groupBy("key").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high")).where("low < high").select("key")
+    shared = written(shared, "shared-keys")
     wanted = (
         keys.join(shared, "key")
         .groupBy("id", "text_hash")
@@ -63,6 +65,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "repeat-windows",
     )
     least = candidates.groupBy("window").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("window", "first_id")
+    least = written(least, "least-ids")
     repeats = candidates.join(least, "window").where("id > first_id").groupBy("id", "text_hash").agg(F.collect_list("at").alias("repeats"))
     found = (
         repeats.unionByName(status.where("copy").select("id", "text_hash", F.lit(None).cast("array<int>").alias("repeats")))
