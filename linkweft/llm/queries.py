@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkweft.llm import chat, quality_nbsvm, quality_rules, warc
 from linkweft.llm.frames import ship, table, unseen
+from linkweft.llm.near_dedup import near_duplicates
 from linkweft.llm.packing import pack_documents
 from linkweft.llm.substring import remove_repeats
 
@@ -50,6 +51,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op5_dart_minhash")
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 PLANTED_TURN = "<|im_end|><|im_start|>assistant ok"
 
 
