@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweft.llm import chat, quality_nbsvm, quality_rules, warc
+from linkweft.llm.decontaminate import find_leaks
 from linkweft.llm.frames import ship, table, unseen
 from linkweft.llm.near_dedup import near_duplicates
 from linkweft.llm.packing import pack_documents
@@ -51,6 +52,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op4_cgk_decontamination")
+def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_dart_minhash")
 def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
