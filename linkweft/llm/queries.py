@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweft.llm import chat, quality_nbsvm, quality_rules, warc
+from linkweft.llm import chat, quality_nbsvm, quality_rules, toxicity, warc
 from linkweft.llm.decontaminate import find_leaks
 from linkweft.llm.frames import ship, table, unseen
 from linkweft.llm.near_dedup import near_duplicates
@@ -106,6 +106,14 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op8_toxicity_trees")
+def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
