@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweft.llm import words as W
@@ -83,12 +83,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose id names their class: one document of each group.
 
-    Rows with a null id stay if no row with an id is in their class.  Repeated rows with
-    the id that names the class stay as they are only once.
+    Rows with a null id stay if no row with an id is in their class.  Rows with the same id
+    and text are kept once.
     """
     classes = near_duplicates(docs, id_col, text_col)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.dropDuplicates().join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = written(classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids")
+    same_id = F.col(f"`{id_col}`").cast("long")
+    copy = Window.partitionBy(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))).orderBy(F.lit(0))
+    return docs.join(kept, same_id.eqNullSafe(F.col("_kept_id")), "left_semi").withColumn("_copy_no", F.row_number().over(copy)).where("_copy_no = 1").drop("_copy_no")
 
 
 def _compared(rows: DataFrame, sketches: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame] | None:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweft.llm import chat, quality_nbsvm, quality_rules, toxicity, warc
+import corpus_pipeline
+from linkweft.llm import chat, html_text, quality_nbsvm, quality_rules, toxicity, warc
 from linkweft.llm.decontaminate import find_leaks
 from linkweft.llm.frames import ship, table, unseen
 from linkweft.llm.near_dedup import near_duplicates
@@ -52,6 +53,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_html_tag_ratio")
+def op3_html_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op4_cgk_decontamination")
 def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -136,3 +143,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, folder = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.resolved(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
