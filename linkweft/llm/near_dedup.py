@@ -83,14 +83,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose id names their class: one document of each group.
 
-    Rows with a null id stay if no row with an id is in their class.  Rows with the same id
-    and text are kept once.
+    Rows with the same id and text are kept once.  Rows with a null id all stay, as no
+    decision can name them.
     """
     classes = near_duplicates(docs, id_col, text_col)
-    kept = written(classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids")
-    same_id = F.col(f"`{id_col}`").cast("long")
-    copy = Window.partitionBy(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))).orderBy(F.lit(0))
-    return docs.join(kept, same_id.eqNullSafe(F.col("_kept_id")), "left_semi").withColumn("_copy_no", F.row_number().over(copy)).where("_copy_no = 1").drop("_copy_no")
+    kept = written(classes.where("doc_id = class_id").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids")
+    own_id = F.col(f"`{id_col}`")
+    copy = Window.partitionBy(own_id, F.xxhash64(F.col(f"`{text_col}`"))).orderBy(F.lit(0))
+    named = docs.join(kept, own_id.cast("long") == F.col("_kept_id"), "left_semi").withColumn("_copy_no", F.row_number().over(copy))
+    return named.where("_copy_no = 1").drop("_copy_no").unionByName(docs.where(own_id.isNull()))
 
 
 def _compared(rows: DataFrame, sketches: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame] | None:
