@@ -23,7 +23,7 @@ from linkweft.sources.schema import NO_TEXT, conform
 
 
 def next_id(table: DataFrame, key: str = "id") -> int:
-    """Highest id in use, 0 for an empty table; read from column statistics."""
+    """Highest id in use, 0 for an empty table; a job that scans the id column."""
     return table.agg(F.max(key)).first()[0] or 0
 
 

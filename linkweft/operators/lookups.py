@@ -40,18 +40,19 @@ def hash_groups(captures: DataFrame) -> DataFrame:
 
     Combined before the shuffle, so copies of one text meet as counts.
     """
-    ids = captures.groupBy("hash_code").agg(
-        F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")
+    return (
+        captures.where("hash_code <> ''")
+        .groupBy("hash_code")
+        .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     )
-    return ids.where(F.col("hash_code").isNotNull() & (F.col("hash_code") != ""))
 
 
 def hash_exists(captures: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(id, hash_code, seen_before): whether an earlier row has the same hash."""
-    keyed = captures.select("id", "hash_code")
-    found = skew_lookup(
-        keyed, hash_groups(keyed), "hash_code", ["id"], count_col="copies", hot_rows=hot_rows
-    )
+    # rows without content have the empty hash: as NULL they are spread over all tasks
+    keyed = captures.select("id", "hash_code", F.nullif("hash_code", F.lit("")).alias("key"))
+    groups = hash_groups(keyed).withColumnRenamed("hash_code", "key")
+    found = skew_lookup(keyed, groups, "key", ["id"], count_col="copies", hot_rows=hot_rows)
     earlier = F.coalesce(F.col("first_id") < F.col("id"), F.lit(False))
     return found.select("id", "hash_code", earlier.alias("seen_before"))
 
@@ -61,7 +62,7 @@ def duplicate_of(captures: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     The original is the earliest row.
     """
-    keyed = captures.select("id", "hash_code")
+    keyed = captures.select("id", "hash_code").where("hash_code <> ''")
     found = skew_lookup(
         keyed,
         hash_groups(keyed).where(F.col("copies") > 1),
@@ -93,18 +94,23 @@ def with_politeness_key(rows: DataFrame, host_ip: DataFrame | None) -> DataFrame
 
 def frontier_available(
     frontier: DataFrame,
-    in_flight: DataFrame,
-    busy: DataFrame,
+    in_flight: DataFrame | None,
+    busy: DataFrame | None,
     host_ip: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Frontier rows whose `url` is not in flight and whose host is not busy.
 
-    `busy` has one column `busy_key`.
+    `busy` has one column `busy_key`: addresses where `host_ip` knows the host, else
+    hosts.  None stands for an empty table.
     """
     columns = [*frontier.columns, "busy_key"]
-    free = frontier.join(in_flight.select("url"), "url", "left_anti")
+    free = frontier
+    if in_flight is not None:
+        free = frontier.join(in_flight.select("url"), "url", "left_anti")
     keyed = with_politeness_key(free, host_ip)
+    if busy is None:
+        return keyed.select(*columns)
     blocked = busy.select("busy_key").distinct()
     found = skew_lookup(keyed, blocked, "busy_key", ["url"], hot_rows=hot_rows)
     return found.where(~F.col("_matched")).select(*columns)
@@ -121,12 +127,14 @@ def fk_violations(store: Store) -> DataFrame:
         values = (
             store[child]
             .where(F.col(column).isNotNull())
-            .groupBy(F.col(column).cast("string").alias("value"))
+            .groupBy(F.col(column).alias("value"))
             .agg(F.count(F.lit(1)).alias("child_rows"))
         )
-        parents = store[parent].select(F.col(key).cast("string").alias("value"))
+        parents = store[parent].select(F.col(key).alias("value"))
         return values.join(parents, "value", "left_anti").select(
-            F.lit(f"{child}.{column}").alias("constraint_name"), "value", "child_rows"
+            F.lit(f"{child}.{column}").alias("constraint_name"),
+            F.col("value").cast("string").alias("value"),
+            "child_rows",
         )
 
     present = [r for r in REFERENCES if r[0] in store and r[2] in store]

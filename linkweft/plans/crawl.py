@@ -67,6 +67,7 @@ def crawl_round(
     keep_unreached: bool = False,
     in_flight: DataFrame | None = None,
     busy: DataFrame | None = None,
+    host_ip: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     stage: Stage | None = None,
 ) -> Store:
@@ -75,8 +76,10 @@ def crawl_round(
     `captures` has (url, html), one row per URL.  In the result `page` holds the
     rows that left the frontier and the whole new frontier, `site` all sites, and
     `link`, `image`, `page_data` the new rows.  `keep_unreached` leaves pages
-    without capture in the frontier, as a stream of captures needs it.  Rows whose
-    URL is in `in_flight`, or whose host is in `busy`, wait for the next round.
+    without capture in the frontier, as a stream of captures needs it; then only the
+    frontier rows that have a capture are looked at.  Rows whose URL is in `in_flight`,
+    or whose host (or its address by `host_ip`) is in `busy`, wait for the next round;
+    each of the two may be given alone.
     Steps which several results need are written by `stage`, below the shared folder
     unless it says otherwise, so that no result computes them again.
     """
@@ -85,8 +88,10 @@ def crawl_round(
     waiting = is_waiting()
     frontier, settled = page.where(waiting), page.where(~waiting)
     taken = frontier
-    if in_flight is not None and busy is not None:
-        taken = frontier_available(frontier, in_flight, busy, hot_rows=hot_rows).drop("busy_key")
+    if keep_unreached:
+        taken = taken.join(captures.select("url"), "url", "left_semi").select(*frontier.columns)
+    if in_flight is not None or busy is not None:
+        taken = frontier_available(taken, in_flight, busy, host_ip, hot_rows).drop("busy_key")
     outcomes = stage("outcomes", frontier_outcomes(taken, site, captures, hot_rows))
 
     to_fetch = outcomes.where(F.col("status") == 200)
@@ -158,39 +163,49 @@ def seed_crawl(spark: SparkSession, urls: DataFrame, now: Column) -> Store:
     return {**store, "page": changes.add_frontier(found, store["page"], now, base=0)}
 
 
+class Crawled(dict):
+    """The tables of a crawl; `finished` tells whether its frontier is empty."""
+
+    finished: bool
+
+
 def crawl_rounds(
     spark: SparkSession,
     captures: DataFrame,
     now: Column,
     root: str | None = None,
     seeds: DataFrame | None = None,
-    max_rounds: int = 10,
+    max_rounds: int | None = None,
     page_budget: int | None = None,
     **options,
-) -> Store:
-    """Rounds until the frontier is empty, or the rounds or pages are used up.
+) -> Crawled:
+    """Rounds until the frontier is empty, unless a budget of rounds or pages is given.
 
     Each round is written below `root` before the next one reads it, so plans stay
     short and a lost executor costs at most one round.  An interrupted run goes on
-    from its last complete round.
+    from its last complete round.  A crawl that a budget ended, or whose remaining
+    frontier rows all wait (`busy`, `in_flight`), is not `finished`.
     """
     root = root or work_dir(spark, "crawl")
     if rounds(spark, root) is None:
         start = seed_store(spark) if seeds is None else seed_crawl(spark, seeds, now)
         save_round(start, root, 0)
-    first, done = rounds(spark, root)
-    for number in range(done + 1, done + 1 + max_rounds):
-        store = read_store(spark, root)
-        waiting = is_waiting()
+    first, number = rounds(spark, root)
+    last = None if max_rounds is None else number + max_rounds
+    waiting, before = is_waiting(), None
+    while True:
+        store = Crawled(read_store(spark, root))
         counts = store["page"].agg(
             F.count_if(waiting).alias("frontier"), F.count_if(~waiting).alias("pages")
         ).first()
-        if counts["frontier"] == 0 or (page_budget and counts["pages"] >= page_budget):
-            break
+        store.finished = counts["frontier"] == 0
+        used_up = number == last or bool(page_budget and counts["pages"] >= page_budget)
+        if store.finished or used_up or counts == before:
+            return store
+        before, number = counts, number + 1
         stage = written_stage(spark, f"{root}/stage/round={number}")
         delta = crawl_round(store, captures, now, stage=stage, **options)
         save_round(delta, root, number, first)
-    return read_store(spark, root)
 
 
 EXTRACTORS: dict[tuple[str, str], Callable[[DataFrame], DataFrame]] = {

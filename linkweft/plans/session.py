@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,20 +43,25 @@ def local_session(cores: str = "*", memory: str = "16g", partitions: int = 8) ->
     return spark
 
 
+# Folder of each local application that has no setting; driver and executors are one process there.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where the setting is missing and the
-    master is local, because then driver and executors are one process.
+    Without the setting a local session, which is one process, gets a folder of its own;
+    on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="linkweft-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="linkweft-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # A key is hot from this many rows on.  A table of N rows has at most
-# N / HOT_ROWS hot keys, which bounds what `skew_lookup` broadcasts: 10^12 rows
-# give at most 10^6 keys and nothing but keys is broadcast.
+# N / HOT_ROWS hot keys, which bounds what `skew_lookup` broadcasts: of each hot key
+# a 64-bit hash and a number, so 10^12 rows give at most 10^6 rows of 12 bytes.
 HOT_ROWS = 1_000_000
 
 # Ids numbered by one task in `number_rows`.
@@ -35,8 +35,9 @@ def skew_lookup(
     A key with n left rows gets ceil(n / hot_rows) copies of its lookup row, and
     its left rows are spread over the copies by a hash of `spread_by`; so no task
     has to take much more than `hot_rows` rows of one key, and all copies together
-    are at most two per `hot_rows` left rows.  Only the hot keys and their numbers
-    of copies are broadcast, never the payload.  Rows without a key are spread too.
+    are at most two per `hot_rows` left rows.  Only hashes of the hot keys and their
+    numbers of copies are broadcast, never keys or payload; keys which share a hash get
+    the same number of copies on both sides.  Rows without a key are spread too.
 
     `count_col` names a right column which already holds the number of left rows
     per key; without it the keys of `left` are counted first.  The result has the
@@ -49,19 +50,26 @@ def skew_lookup(
         right = right.join(counts, on)
     else:
         counts = right
+    hashed = F.xxhash64(F.lit(on), F.col(on))
     copies = F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int")
-    hot = counts.where(F.col(count_col) > hot_rows).select(on, copies.alias("_copies"))
-    last_copy = F.greatest(copies - 1, F.lit(0))
-    spread = right.select(
+    hot = F.broadcast(
+        counts.where(F.col(count_col) > hot_rows)
+        .groupBy(hashed.alias("_hot"))
+        .agg(F.max(copies).alias("_copies"))
+    )
+
+    def with_copies(side: DataFrame) -> DataFrame:
+        joined = side.withColumn("_hash", hashed).join(hot, F.col("_hash") == F.col("_hot"), "left")
+        return joined.withColumn("_copies", F.coalesce("_copies", F.lit(1))).drop("_hash", "_hot")
+
+    spread = with_copies(right.select(on, *payload)).select(
         on,
         *payload,
         F.lit(True).alias("_matched"),
-        F.explode(F.sequence(F.lit(0), last_copy)).alias("_salt"),
-    )
-    copies_here = F.when(F.col(on).isNull(), F.lit(4096)).otherwise(
-        F.coalesce("_copies", F.lit(1))
+        F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_salt"),
     )
-    salted = left.join(F.broadcast(hot), on, "left").withColumn(
+    copies_here = F.when(F.col(on).isNull(), F.lit(4096)).otherwise(F.col("_copies"))
+    salted = with_copies(left).withColumn(
         "_salt", F.pmod(F.xxhash64(*spread_by), copies_here).cast("int")
     )
     return salted.join(spread, [on, "_salt"], "left").select(

@@ -134,7 +134,7 @@ def crawl_rounds(spark, sf):
     captures = derived(spark, sf, "d_rich").withColumn("url", canonical_url(F.col("url")))
     captures = captures.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
     store = C.crawl_rounds(
-        spark, captures, now(), seeds=_seeds(spark, sf), max_rounds=3, scope=SCOPE
+        spark, captures, now(), seeds=_seeds(spark, sf), scope=SCOPE
     )
     return _counts(store)
 

@@ -199,14 +199,26 @@ PRODUCT_HTML = f"""
   || '<td><span class="normal">' || content || '<br>' || {_ANCHOR} || '<span class="tiny"><b>more</b></span></a></span></td></tr></tbody></table>'
   || '</td></tr>'
 """
-SQL["d_product_page"] = f"""
+
+
+def _product_pages(item: str) -> str:
+    return f"""
 select page_id, '<html><body>{_CELL_HEAD}' || list_html || '{_CELL_TAIL}</body></html>' as html, page_id % 10 as grp
 from (
   select page_id, {{join_items}} as list_html
-  from (select page_id, record_no, {PRODUCT_HTML} as item from ({SQL["d_product"]}) p) i
+  from (select page_id, record_no, {item} as item from ({SQL["d_product"]}) p) i
   group by page_id) g
 """
 
+
+SQL["d_product_page"] = _product_pages(PRODUCT_HTML)
+
+# the same lists with links to other pages inside the contents
+CONTENT_LINK = "'<br><a href=\"/size\">sizes</a> second part<br><a href=\"/d2.cgi?PROD_ID=1\">other</a> end'"
+SQL["d_linked_product_page"] = _product_pages(
+    PRODUCT_HTML.replace("|| content ||", f"|| content || {CONTENT_LINK} ||")
+)
+
 # one article per document, whole text as content
 _ESCAPED = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 _BODY = f"replace({_ESCAPED.format('text')}, {_LF}, ' ')"

@@ -8,7 +8,7 @@ from linkweft.operators import dom as D
 from linkweft.operators import records as R
 from linkweft.plans.crawl import extract_all as extract
 from linkweft.queries import checksql as S
-from linkweft.queries.inputs import derived, table, with_inputs
+from linkweft.queries.inputs import CONTENT_LINK, derived, table, with_inputs
 from linkweft.queries.registry import query
 from linkweft.sources.store import records_to_json as to_json
 
@@ -39,11 +39,11 @@ def record_ordinal(spark, sf):
     """select page_id, cast(n as int) as record_no, links[n] as Link, tags[n] as Tag from (
       select page_id, links, tags, unnest(generate_series(1, len(links))) as n
       from (select page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) as links,
-        regexp_extract_all(html, '</([a-z0-9]+)>', 1)[1:4] as tags from pages))""",
+        regexp_extract_all(html, '</([a-z0-9]+)>', 1) as tags from pages))""",
 )
 def zip_fields(spark, sf):
     links = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    tags = F.slice(F.regexp_extract_all("html", F.lit("</([a-z0-9]+)>"), F.lit(1)), 1, 4)
+    tags = F.regexp_extract_all("html", F.lit("</([a-z0-9]+)>"), F.lit(1))
     return R.zip_fields(table(spark, sf, "pages"), {"Link": links, "Tag": tags}, "Link")
 
 
@@ -107,16 +107,16 @@ def article_path(spark, sf):
 _PRODUCT = (
     f"{with_inputs('d_product')} select page_id, cast(record_no as int) as record_no, title as Title, "
     "list_price as ListPrice, price as Price, saving as Saving, percent as SavingPercent, "
-    "content as Content from d_product"
+    "{0} as Content from d_product"
 )
 
 
-@query("product_regex", _PRODUCT)
+@query("product_regex", _PRODUCT.format(f"content || {CONTENT_LINK}"))
 def product_regex(spark, sf):
-    return R.product_regex(derived(spark, sf, "d_product_page"))
+    return R.product_regex(derived(spark, sf, "d_linked_product_page"))
 
 
-@query("product_path", _PRODUCT)
+@query("product_path", _PRODUCT.format("content"))
 def product_path(spark, sf):
     return D.product_path(derived(spark, sf, "d_product_page"))
 

@@ -25,6 +25,10 @@ from linkweft.sources.schema import (
 )
 
 
+# Columns of the marker of a round.
+MARKER = "first_round int, source string, batch long"
+
+
 def scan_pages(page: DataFrame) -> DataFrame:
     """All pages taken from the frontier, by id."""
     return page.where(~is_waiting()).orderBy("id")
@@ -105,9 +109,18 @@ def reset_store(spark: SparkSession, root: str, urls: tuple[str, ...] = SEED_URL
     save_round(seed_store(spark, urls), root, number, first=number)
 
 
-def save_round(delta: Store, root: str, number: int, first: int = 0) -> None:
+def save_round(
+    delta: Store,
+    root: str,
+    number: int,
+    first: int = 0,
+    source: str | None = None,
+    batch: int | None = None,
+) -> None:
     """Write the rows of one round; writing a round again replaces it.
 
+    A round that a stream made keeps the stream's id and the batch it took up.
+
     `page` holds rows of every state: those still in the frontier make the new
     frontier version, the others are settled and appended.  The round counts for
     readers once its marker is written, which is the last step.
@@ -121,20 +134,36 @@ def save_round(delta: Store, root: str, number: int, first: int = 0) -> None:
     }
     for table, rows in parts.items():
         rows.write.mode("overwrite").parquet(f"{root}/{table}/round={number}")
-    marker = spark.createDataFrame([(first,)], "first_round int").coalesce(1)
+    marker = spark.createDataFrame([(first, source, batch)], MARKER).coalesce(1)
     marker.write.mode("overwrite").parquet(f"{root}/done/round={number}")
 
 
+def _markers(spark: SparkSession, root: str) -> DataFrame | None:
+    """The markers of complete rounds, None where no round was ever written."""
+    try:
+        return spark.read.schema(f"{MARKER}, round int").parquet(f"{root}/done")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def rounds(spark: SparkSession, root: str) -> tuple[int, int] | None:
     """First and last complete round of a store, None for a folder without one."""
-    try:
-        done = spark.read.schema("first_round int, round int").parquet(f"{root}/done")
-    except AnalysisException:
+    done = _markers(spark, root)
+    if done is None:
         return None
     row = done.agg(F.max_by("first_round", "round"), F.max("round")).first()
     return None if row[1] is None else (row[0], row[1])
 
 
+def batch_is_done(spark: SparkSession, root: str, source: str, batch: int) -> bool:
+    """Whether some complete round has taken up this batch of this stream."""
+    done = _markers(spark, root)
+    taken = (F.col("source") == source) & (F.col("batch") == batch)
+    return done is not None and not done.where(taken).isEmpty()
+
+
 def read_store(spark: SparkSession, root: str) -> Store:
     """The tables as of the last complete round."""
     first, last = rounds(spark, root)

@@ -10,7 +10,7 @@ from linkweft.functions.url import canonical_url
 from linkweft.operators import changes
 from linkweft.plans.crawl import crawl_round, written_stage
 from linkweft.sources.schema import Store, is_waiting
-from linkweft.sources.store import read_store, rounds, save_round, seed_store
+from linkweft.sources.store import batch_is_done, read_store, rounds, save_round, seed_store
 
 CAPTURE_COLUMNS = "page_id bigint, url string, html string"
 
@@ -36,36 +36,55 @@ def queue_captures(store: Store, captures: DataFrame, now: Column) -> Store:
     return {**store, "page": store["page"].unionByName(new)}
 
 
-def ingest_batch(root: str, now: Column, **options):
+def stream_id(spark: SparkSession) -> str:
+    """Id of the stream whose batch is being run; it lasts as long as its checkpoint."""
+    found = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("a batch of captures has to be run by a stream, or be given a source")
+    return found
+
+
+def ingest_batch(root: str, now: Column, source: str | None = None, **options):
     """Function for `foreachBatch` which adds a batch of captures to a stored crawl.
 
-    Batch n is written as round n + 1, so a batch that is run again after a failure
-    replaces its own round and nothing is counted twice.
+    A batch becomes the next round of the store, whoever wrote the rounds before.  The
+    round keeps the stream's id and the number of the batch, so a batch that is run again
+    after a failure is told from a new one: it is left out if its round is complete, and
+    replaces the round if not.  `source` names the stream, by default its own id.
+    One writer at a time may add rounds.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        number = batch_id + 1
-        first, last = rounds(spark, root)
-        if last >= number:
+        name = source or stream_id(spark)
+        if batch_is_done(spark, root, name, batch_id):
             return
+        first, last = rounds(spark, root)
+        number = last + 1
         store = read_store(spark, root)
         urls = batch.withColumn("url", canonical_url(F.col("url")))
-        captures = urls.groupBy("url").agg(
-            F.min_by("html", "page_id").alias("html"), F.min("page_id").alias("page_id")
-        )
         stage = written_stage(spark, f"{root}/stage/round={number}")
-        captures = stage("captures", captures)
+        captures = stage("captures", first_captures(urls))
         queued = queue_captures(store, captures, now)
         queued["page"] = stage("queued", queued["page"].where(is_waiting())).unionByName(
             queued["page"].where(~is_waiting())
         )
         delta = crawl_round(queued, captures, now, keep_unreached=True, stage=stage, **options)
-        save_round(delta, root, number, first)
+        save_round(delta, root, number, first, name, batch_id)
 
     return run
 
 
+def first_captures(captures: DataFrame) -> DataFrame:
+    """(url, html, page_id): of each URL the capture of least page_id, chosen on keys."""
+    chosen = captures.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    return (
+        captures.select("url", "html", "page_id")
+        .join(chosen, ["url", "page_id"])
+        .dropDuplicates(["url", "page_id"])
+    )
+
+
 def ingest_stream(
     captures: DataFrame, root: str, now: Column, checkpoint: str | None = None, **options
 ) -> StreamingQuery:

@@ -115,6 +115,87 @@ def test_stream_in_two_drops_equals_one_batch(spark):
     assert edges(streamed) == edges(batch)
 
 
+def _drop(spark, folder, urls, first_id):
+    rows = [(first_id + k, u, f"text of {u}") for k, u in enumerate(urls)]
+    captures = spark.createDataFrame(rows, ingest.CAPTURE_COLUMNS)
+    captures.coalesce(1).write.mode("append").parquet(folder)
+
+
+def _fetched(spark, root):
+    page = ST.read_store(spark, root)["page"]
+    return sorted(r.url for r in page.where("http_status_code = 200").collect())
+
+
+def test_stream_adds_to_a_store_with_rounds(spark):
+    folder, root = tempfile.mkdtemp(prefix="run-"), f"{tempfile.mkdtemp(prefix='run-')}/store"
+    captures = spark.createDataFrame(CAPTURES, "url string, html string")
+    crawl.crawl_rounds(spark, captures, now(), root=root)
+    before = _fetched(spark, root)
+
+    def run(checkpoint):
+        stream = ingest.read_captures(spark, folder, files_per_batch=1)
+        ingest.ingest_stream(stream, root, now(), checkpoint).awaitTermination()
+
+    _drop(spark, folder, ["http://gov.si/s1", "http://gov.si/s2"], 100)
+    run(f"{root}/one")
+    assert _fetched(spark, root) == sorted([*before, "http://gov.si/s1", "http://gov.si/s2"])
+    # another stream with its own batch 0, and the first one again with a later batch
+    _drop(spark, folder, ["http://gov.si/s3"], 200)
+    run(f"{root}/two")
+    run(f"{root}/one")
+    streamed = [f"http://gov.si/s{k}" for k in (1, 2, 3)]
+    assert _fetched(spark, root) == sorted([*before, *streamed])
+    # after a reset the store is empty and takes up what comes next
+    ST.reset_store(spark, root)
+    _drop(spark, folder, ["http://gov.si/s4"], 300)
+    run(f"{root}/one")
+    assert _fetched(spark, root) == ["http://gov.si/s4"]
+    # a batch crawl goes on after a stream
+    store = crawl.crawl_rounds(spark, captures, now(), root=root)
+    assert store.finished and "http://gov.si/x" in _fetched(spark, root)
+
+
+def test_a_batch_that_is_run_twice_counts_once(spark):
+    root = f"{tempfile.mkdtemp(prefix='run-')}/store"
+    ST.save_round(ST.seed_store(spark, ()), root, 0)
+    batch = spark.createDataFrame([(1, "http://a.gov.si/", "x"), (2, "http://a.gov.si/", "y")], ingest.CAPTURE_COLUMNS)
+    run = ingest.ingest_batch(root, now(), source="s")
+    run(batch, 0)
+    run(batch, 0)
+    assert ST.rounds(spark, root) == (0, 1)
+    assert _fetched(spark, root) == ["http://a.gov.si/"]
+    run(batch.selectExpr("page_id + 5 as page_id", "'http://b.gov.si/' as url", "html"), 1)
+    assert ST.rounds(spark, root) == (0, 2)
+    assert _fetched(spark, root) == ["http://a.gov.si/", "http://b.gov.si/"]
+
+
+def test_budget_is_told_from_an_empty_frontier(spark):
+    chain = [(f"http://gov.si/{k}", f'<a href="/{k + 1}">n</a>') for k in range(3)]
+    captures = spark.createDataFrame(chain, "url string, html string")
+    seeds = captures.where("url = 'http://gov.si/0'").selectExpr("url", "1 as seen_at")
+    root = f"{tempfile.mkdtemp(prefix='run-')}/store"
+    store = crawl.crawl_rounds(spark, captures, now(), root=root, seeds=seeds, max_rounds=1)
+    assert not store.finished
+    store = crawl.crawl_rounds(spark, captures, now(), root=root, seeds=seeds)
+    assert store.finished and store["page"].count() == 4
+
+
+def test_busy_or_in_flight_alone(spark):
+    store = ST.seed_store(spark, ("http://a.gov.si/p", "http://b.gov.si/q"))
+    captures = spark.createDataFrame([("http://a.gov.si/p", "x"), ("http://b.gov.si/q", "y")], "url string, html string")
+
+    def waiting(**options):
+        page = crawl.crawl_round(store, captures, now(), **options)["page"]
+        return rows(page.where("page_type_code = 'FRONTIER'").select("url"))
+
+    in_flight = spark.createDataFrame([("http://a.gov.si/p",)], "url string")
+    assert waiting(in_flight=in_flight) == [("http://a.gov.si/p",)]
+    assert waiting(busy=spark.createDataFrame([("b.gov.si",)], "busy_key string")) == [("http://b.gov.si/q",)]
+    host_ip = spark.createDataFrame([("a.gov.si", "10.0.0.1"), ("b.gov.si", "10.0.0.2")], "host string, ip string")
+    busy = spark.createDataFrame([("10.0.0.1",)], "busy_key string")
+    assert waiting(busy=busy, host_ip=host_ip) == [("http://a.gov.si/p",)]
+
+
 def test_saved_files_records_and_template(spark):
     from linkweft.operators.template import page_template
 
