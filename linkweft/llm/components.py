@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linkweft.llm.frames import written
@@ -15,25 +15,30 @@ def components(links: DataFrame) -> DataFrame:
     edges are stars; the number of turns grows with the logarithm of the longest path.
     Every step is an aggregation and a join, with its result written to the shared folder.
     """
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent")).distinct(), "edges")
-    state = _state(edges)
+    start = links.where("a <> b").select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent"))
+    edges, state = _written(start)
     while True:
-        both = edges.select(F.col("child").alias("u"), F.col("parent").alias("v")).unionByName(edges.select(F.col("parent").alias("u"), F.col("child").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("child"), F.col("m").alias("parent")).distinct()
-        large = written(large, "large-star")
-        root = written(large.groupBy("child").agg(F.min("parent").alias("m")), "root")
-        moved = large.join(root, "child").where("parent <> m").select(F.col("parent").alias("child"), F.col("m").alias("parent"))
-        edges = written(root.select("child", F.col("m").alias("parent")).unionByName(moved).distinct(), "edges")
-        before, state = state, _state(edges)
+        both = edges.unionByName(edges.select(F.col("parent").alias("child"), F.col("child").alias("parent")))
+        least = written(both.groupBy(F.col("child").alias("u")).agg(F.min("parent").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        # every larger neighbour of a node is hung under the least of its neighbours
+        large = written(
+            both.join(least, F.col("child") == F.col("u")).where("parent > u").select(F.col("parent").alias("child"), F.col("m").alias("parent")),
+            "large-star",
+        )
+        # every smaller neighbour, and the node itself, likewise
+        root = written(large.groupBy(F.col("child").alias("u")).agg(F.min("parent").alias("m")), "root")
+        moved = large.join(root, F.col("child") == F.col("u")).where("parent <> m").select(F.col("parent").alias("child"), F.col("m").alias("parent"))
+        before = state
+        edges, state = _written(root.select(F.col("u").alias("child"), F.col("m").alias("parent")).unionByName(moved))
         if state == before:
             break
-    return edges.select(F.col("child").alias("node"), F.col("parent").alias("label")).unionByName(
-        edges.select(F.col("parent").alias("node"), F.col("parent").alias("label")).distinct()
-    )
+    ends = edges.select(F.col("child").alias("node"), F.col("parent").alias("label")).unionByName(edges.select(F.col("parent").alias("node"), F.col("parent").alias("label")))
+    return ends.distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Tells two sets of edges apart: their number and the sum of their hashes."""
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("child", "parent").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Distinct edges, written; and what tells two sets of them apart: number and sum of hashes."""
+    seen = Observation()
+    counted = edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("child", "parent").cast("decimal(38,0)")).alias("h"))
+    out = written(counted, "edges")
+    return out, (seen.get["n"], seen.get["h"])

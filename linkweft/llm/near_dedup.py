@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from linkweft.llm import words as W
 from linkweft.llm.components import components
-from linkweft.llm.frames import without, written
+from linkweft.llm.frames import written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -52,11 +52,10 @@ _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate([[1.0], np.arange(
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, class_id, n_links): the class of every row, named by its least doc_id.
+    """(doc_id, class_id): the class of every row, named by its least doc_id.
 
     Two texts are linked if the weighted or the plain Jaccard similarity of their
-    shingles is 0.8 or more; classes are the components of the links, and n_links counts
-    those links that were needed to find them.  Words are runs between ASCII white
+    shingles is 0.8 or more; classes are the components of the links.  Words are runs between ASCII white
     space, unchanged; a text of one to four words is one shingle.  Null and empty texts
     are equal to each other.  Rows with a null id are in a class with equal texts only, or,
     where no row of the class has an id, in a class named null.  Rows with equal ids are
@@ -64,20 +63,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     sketches = written(rows.mapInArrow(_sketches, "id long, node binary, signature binary, bands array<long>"), "sketches")
-    nodes = sketches.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    nodes = written(nodes, "nodes")
-    compared = _compared(rows, sketches, nodes)
-    if compared is None:
-        labels = nodes.select("node", F.col("node").alias("label"), F.lit(0).cast("long").alias("n_links"))
-    else:
-        found, links = compared
-        ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-        labels = nodes.join(found, "node", "left").join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    # the least id of a node, with what was made of its text; a null id only if there is no other
+    named = F.struct(F.col("id").isNull().alias("unnamed"), "id", "signature", "bands")
+    nodes = written(sketches.groupBy("node").agg(F.min(named).alias("x")).select("node", "x.id", "x.signature", "x.bands"), "nodes")
+    found = _labels(rows, nodes)
+    labels = nodes.select("node", "id")
+    labels = labels.withColumn("label", F.col("node")) if found is None else labels.join(found, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
     labels = written(labels, "labels")
-    named = written(labels.join(nodes, "node").groupBy("label").agg(F.min("id").alias("class_id")), "class-ids")
-    classes = labels.join(named, "label").select("node", "class_id", "n_links")
-    classes = written(classes, "classes")
-    return sketches.select(F.col("id").alias("doc_id"), "node").join(classes, "node").select("doc_id", "class_id", "n_links")
+    class_ids = written(labels.groupBy("label").agg(F.min("id").alias("class_id")), "class-ids")
+    classes = written(labels.join(class_ids, "label").select("node", "class_id"), "classes")
+    return sketches.select(F.col("id").alias("doc_id"), "node").join(classes, "node").select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,29 +89,32 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return named.where("_copy_no = 1").drop("_copy_no").unionByName(docs.where(own_id.isNull()))
 
 
-def _compared(rows: DataFrame, sketches: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame] | None:
-    """Labels of linked nodes and the links, or None if no bucket has two nodes."""
-    once = sketches.where("id is not null").join(nodes.select(F.col("node").alias("n"), F.col("id").alias("i")), (F.col("node") == F.col("n")) & (F.col("id") == F.col("i"))).select("node", "signature", "bands")
-    buckets = once.dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
+def _labels(rows: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """(node, label) of linked nodes, or None without links.
+
+    Each step is written, so that no later one repeats it, and tables of few rows are
+    small enough for Spark to join them without a shuffle.
+    """
+    buckets = nodes.where("id is not null").select("node", F.explode("bands").alias("bucket"))
     shared = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared-buckets")
     members = written(buckets.join(shared, "bucket"), "bucket-members")
     if members.isEmpty():
         return None
     central = written(members.groupBy("node").agg(F.sum("size").alias("neighbours")), "neighbours")
-    contents = _contents(rows, nodes.join(central, "node").select("node", "id"), once.select("node", "signature"))
-    leaders = written(members.join(central, "node").groupBy("bucket").agg(F.max(F.struct("neighbours", "node"))["node"].alias("leader")), "leaders")
-    pairs = written(members.join(leaders, "bucket").where("node <> leader").select("leader", "node").distinct(), "leader-pairs")
-
-    sizes = written(pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / RIGHT_BLOCK).cast("int").alias("parts")), "leader-sizes")
-    right = pairs.join(sizes, "leader").select(F.col("leader").alias("place"), F.lit(0).alias("left_part"), F.pmod(F.hash("node"), F.col("parts")).alias("right_part"), "node", F.col("node").alias("label"))
-    left = sizes.select(F.col("leader").alias("place"), F.lit(0).alias("left_part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("right_part"), F.col("leader").alias("node"), F.col("leader").alias("label"))
+    contents = _contents(rows, nodes.join(central, "node").select("node", "id", "signature"))
+
+    # in each bucket all nodes meet the one with the most neighbours
+    most = F.max(F.struct("neighbours", "node"))
+    leaders = written(members.join(central, "node").groupBy("bucket").agg(most.alias("x")).select("bucket", F.col("x.node").alias("leader"), F.ceil(F.col("x.neighbours") / RIGHT_BLOCK).cast("int").alias("parts")), "leaders")
+    pairs = members.join(leaders, "bucket").where("node <> leader").select("leader", "parts", "node").distinct()
+    right = pairs.select(F.col("leader").alias("place"), F.lit(0).alias("left_part"), F.pmod(F.hash("node"), F.col("parts")).alias("right_part"), "node", F.col("node").alias("label"))
+    left = leaders.select("leader", "parts").distinct().select(F.col("leader").alias("place"), F.lit(0).alias("left_part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("right_part"), F.col("leader").alias("node"), F.col("leader").alias("label"))
     links = written(_compare(left, right, contents), "leader-links")
-    if links.isEmpty():
-        found = central.select("node", F.col("node").alias("label"))
-    else:
-        found = components(links)
+    first = None if links.isEmpty() else written(components(links), "first-labels")
 
-    labelled = members.join(found, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    # buckets that hold several components: all pairs of nodes from different ones, in blocks
+    labelled = members.select("bucket", "node")
+    labelled = labelled.withColumn("label", F.col("node")) if first is None else labelled.join(first, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     labelled = written(labelled, "labelled-members")
     parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
@@ -129,37 +127,45 @@ def _compared(rows: DataFrame, sketches: DataFrame, nodes: DataFrame) -> tuple[D
         ),
         "mixed-buckets",
     )
-    here = labelled.join(mixed, "bucket").withColumn("place", F.col("bucket").cast("string").cast("binary"))
+    here = written(labelled.join(mixed, "bucket").withColumn("place", F.col("bucket").cast("string").cast("binary")), "mixed-members")
     left = here.where("label <> main").select("place", F.pmod(F.hash("node"), F.col("left_parts")).alias("left_part"), F.explode(F.sequence(F.lit(0), F.col("right_parts") - 1)).alias("right_part"), "node", "label")
     right = here.select("place", F.explode(F.sequence(F.lit(0), F.col("left_parts") - 1)).alias("left_part"), F.pmod(F.hash("node"), F.col("right_parts")).alias("right_part"), "node", "label")
-    more = written(_compare(left, right, contents), "block-links")
-    everything = written(links.unionByName(more).distinct(), "links")
-    if everything.isEmpty():
-        return None
-    return (found if more.isEmpty() else components(everything)), everything
-
-
-def _contents(rows: DataFrame, wanted: DataFrame, signatures: DataFrame) -> DataFrame:
+    more = written(_compare(left, right, contents, "label"), "block-links")
+    if more.isEmpty():
+        return first
+    # these links join whole components
+    second = written(components(more), "second-labels")
+    if first is None:
+        return second
+    joined = second.select(F.col("node").alias("label"), F.col("label").alias("joined"))
+    alone = second.join(first.select(F.col("label").alias("node")).distinct(), "node", "left_anti")
+    return first.join(joined, "label", "left").select("node", F.coalesce("joined", "label").alias("label")).unionByName(alone)
+
+
+def _contents(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, signature, first, more): the shingles of every node that is in a shared bucket."""
-    texts = rows.join(wanted.withColumnRenamed("id", "wanted_id"), F.col("id") == F.col("wanted_id")).select("node", "text")
-    made = texts.mapInArrow(_shingle_sets, "node binary, first binary, more binary").dropDuplicates(["node"])
-    return written(made.join(signatures.dropDuplicates(["node"]), "node"), "shingle-sets")
+    texts = rows.join(wanted.withColumnRenamed("id", "wanted_id"), F.col("id") == F.col("wanted_id")).select("node", "signature", "text")
+    return written(texts.mapInArrow(_shingle_sets, "node binary, signature binary, first binary, more binary"), "shingle-sets")
 
 
-def _compare(left: DataFrame, right: DataFrame, contents: DataFrame) -> DataFrame:
-    """(a, b) of linked nodes with different labels on the two sides of a block."""
+def _compare(left: DataFrame, right: DataFrame, contents: DataFrame, ends: str = "node") -> DataFrame:
+    """(a, b) of linked nodes with different labels on the two sides of a block, or of their labels."""
     keys = ["place", "left_part", "right_part"]
     columns = [*keys, "node", "label", "signature", "first", "more"]
     # toDF renews the columns: both sides come from the same tables.
     sides = [side.join(contents, "node").select(*columns).toDF(*columns) for side in (left, right)]
-    return sides[0].groupBy(*keys).cogroup(sides[1].groupBy(*keys)).applyInArrow(_links, "a binary, b binary").distinct()
 
+    def links(one: pa.Table, other: pa.Table) -> pa.Table:
+        return _links(one, other, ends)
+
+    return sides[0].groupBy(*keys).cogroup(sides[1].groupBy(*keys)).applyInArrow(links, "a binary, b binary")
 
-def _links(left: pa.Table, right: pa.Table) -> pa.Table:
+
+def _links(left: pa.Table, right: pa.Table, ends: str) -> pa.Table:
     pairs = []
     if left.num_rows and right.num_rows:
         marks = [np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(-1, COORDINATES) for t in (left, right)]
-        names = [t.column("node").to_pylist() for t in (left, right)]
+        names = [t.column(ends).to_pylist() for t in (left, right)]
         labels = [t.column("label").to_pylist() for t in (left, right)]
         shingles = [[[np.frombuffer(x, np.uint64) for x in t.column(c).to_pylist()] for c in ("first", "more")] for t in (left, right)]
         for i, own in enumerate(labels[0]):
@@ -286,12 +292,6 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for d, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
             if _node_of(values[a:b]) == batch.column("node")[d].as_py():
                 _, units, unit = _units(owner[a:b], values[a:b], counts[a:b])
-                rows.append((batch.column("node")[d].as_py(), values[a:b].tobytes(), np.sort(units[unit > 0]).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in range(3)], ["node", "first", "more"])
-
+                rows.append((batch.column("node")[d].as_py(), batch.column("signature")[d].as_py(), values[a:b].tobytes(), np.sort(units[unit > 0]).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in range(4)], ["node", "signature", "first", "more"])
 
-def with_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with class_id and n_links by id; input columns of those names are replaced."""
-    classes = near_duplicates(docs, id_col, text_col).groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
-    kept = without(docs, ["class_id", "n_links"])
-    return kept.join(classes.withColumnRenamed("doc_id", "_id"), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")

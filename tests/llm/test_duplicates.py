@@ -124,6 +124,7 @@ def test_components_of_paths_and_stars(workers):
     found = components(workers.createDataFrame(edges, "a long, b long")).collect()
     labels = {r.node: r.label for r in found}
     assert len(found) == len(labels)
+    assert components(workers.createDataFrame([(1, 1)], "a long, b long")).count() == 0
     assert labels == {k: 0 for k in range(41)} | {100 + k: 100 for k in range(60)} | {300: 300, 301: 300}
 
 
