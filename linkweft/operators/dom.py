@@ -4,10 +4,11 @@ A page is moved once, to the task which holds its `page_id`; tokens are exploded
 there, and every window below is within one page, so nothing is shuffled again.
 Pages are the unit of work: the tree of one page is as long as its text.
 
-Tags whose start and end tags do not pair up on a page (`br`, an unclosed `p`) take
-no part in nesting: they are leaves, and text after them belongs to the element
-around them.  `html`, `head` and `body` never nest, so that a truncated page has the
-same paths as a whole one.
+Start and end tags are paired one by one.  A stray end tag is passed over.  A container
+without its end (`div`, `article`) reaches to the end of the element around it; any other
+unclosed tag (`br`, a `p` without end) is a leaf, and text after it belongs to the element
+around it.  `html`, `head` and `body` never nest, so that a truncated page has the same
+paths as a whole one.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ VOID_TAGS = (
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
     "source", "track", "wbr",
 )
+# Containers which, left open, reach to the end of the element around them.
+CONTAINERS = (
+    "article", "aside", "div", "footer", "form", "header", "main", "nav", "ol", "section",
+    "table", "tbody", "ul",
+)
 # Steps a path may name although the tree lacks the element.
 OPTIONAL_STEPS = (*FRAME_TAGS, "tbody")
 
@@ -61,21 +67,31 @@ def page_structure(
     )
     if "source" not in extra:
         found = found.drop("source")
-    same_tag = Window.partitionBy("page_id", "tag")
-    paired = F.count_if(F.col("kind") == "stag").over(same_tag) == F.count_if(
-        F.col("kind") == "etag"
-    ).over(same_tag)
-    nests = F.col("tag").isNotNull() & paired & ~F.col("tag").isin(*FRAME_TAGS)
+    found = _paired(found)
     in_order = Window.partitionBy("page_id").orderBy("piece_no", "part")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    step = F.when(~F.col("nests"), 0).when(F.col("kind") == "stag", 1).otherwise(-1)
+    step = F.when(F.col("nests"), F.when(F.col("kind") == "stag", 1).otherwise(-1)).otherwise(0)
+    found = found.withColumn("level", F.sum(step).over(so_far))
+    # containers left open are closed by the end of the element around them
+    left_open = F.col("unclosed") & F.col("tag").isin(*CONTAINERS)
+    ends = F.col("nests") & (F.col("kind") == "etag")
+    at_level = Window.partitionBy("page_id", "around").orderBy("piece_no", "part")
+    opened = F.count_if(F.col("left_open")).over(at_level.rowsBetween(Window.unboundedPreceding, 0))
+    closed = F.max(F.when(ends, F.col("opened"))).over(at_level.rowsBetween(Window.unboundedPreceding, -1))
+    found = (
+        found.withColumn("left_open", left_open)
+        .withColumn("around", F.col("level") + F.when(ends, 1).otherwise(0))
+        .withColumn("opened", opened)
+        .withColumn("closes", F.when(ends, F.col("opened") - F.coalesce(closed, F.lit(0))).otherwise(0))
+        .withColumn("nests", F.col("nests") | F.col("left_open"))
+    )
+    step = F.when(~F.col("nests"), 0).when(F.col("kind") == "stag", 1).otherwise(-1 - F.col("closes"))
     open_tag = F.when(
         (F.col("kind") == "stag") & ~F.col("nests") & ~F.col("tag").isin(*FRAME_TAGS, *VOID_TAGS),
         F.col("tag"),
     )
     return (
-        found.withColumn("nests", F.coalesce(nests, F.lit(False)))
-        .withColumns(
+        found.withColumns(
             {
                 "level": F.sum(step).over(so_far).cast("int"),
                 "node_id": (F.row_number().over(in_order) - 1).cast("int"),
@@ -100,6 +116,31 @@ def page_structure(
     )
 
 
+def _paired(tokens: DataFrame) -> DataFrame:
+    """Add `nests`, whether a tag has its partner, and `unclosed`, whether a start tag has none.
+
+    Along the tags of one name the balance counts start tags up and end tags down.  An end
+    tag without a start makes the balance lower than it ever was; after a start tag
+    without an end the balance never comes back to what it was before.
+    """
+    along = Window.partitionBy("page_id", "tag").orderBy("piece_no", "part")
+    back = Window.partitionBy("page_id", "tag").orderBy(F.desc("piece_no"), F.desc("part"))
+    up = F.when(F.col("kind") == "stag", 1).otherwise(-1)
+    start = F.col("kind") == "stag"
+    frame = F.col("tag").isNull() | F.col("tag").isin(*FRAME_TAGS)
+    lowest_before = F.least(F.lit(0), F.coalesce("_low", F.lit(0)))
+    nests = F.when(start, F.col("_low_after") < F.col("_balance")).otherwise(
+        F.col("_balance") >= lowest_before
+    )
+    return (
+        tokens.withColumn("_balance", F.sum(up).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_low", F.min("_balance").over(along.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_low_after", F.min("_balance").over(back.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumns({"nests": ~frame & nests, "unclosed": ~frame & start & ~nests})
+        .drop("_balance", "_low", "_low_after")
+    )
+
+
 def with_parents(nodes: DataFrame) -> DataFrame:
     """Add the element around a node as `parent` (its `seq`) and `parent_id`, and
     `nth`, the place among siblings of the same tag.

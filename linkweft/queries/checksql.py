@@ -169,13 +169,20 @@ def nodes(source: str = "pages", html: str = "html") -> str:
     level, nth, path, own_path, after_tag); `path` of a text is that of its element."""
     return f"""
     toks as ({tokens(source, "page_id", html)}),
-    tag_counts as (
-      select page_id, value as tag, count(*) filter (kind = 'stag') = count(*) filter (kind = 'etag')
-        and value not in ('html', 'head', 'body') as nests
-      from toks where kind <> 'value' group by page_id, value),
+    balanced as (
+      select *, sum(case kind when 'stag' then 1 else -1 end)
+        over (partition by page_id, value order by pos) as balance
+      from toks where kind <> 'value'),
+    paired as (
+      select page_id, pos, value not in ('html', 'head', 'body') and case kind
+        when 'stag' then min(balance) over (partition by page_id, value order by pos
+          rows between current row and unbounded following) < balance
+        else balance >= least(0, coalesce(min(balance) over (partition by page_id, value order by pos
+          rows between unbounded preceding and 1 preceding), 0)) end as nests
+      from balanced),
     flagged as (
       select t.*, coalesce(c.nests, false) as nests
-      from toks t left join tag_counts c on c.page_id = t.page_id and c.tag = t.value and t.kind <> 'value'),
+      from toks t left join paired c on c.page_id = t.page_id and c.pos = t.pos),
     levelled as (
       select *, cast(sum(case when not nests then 0 when kind = 'stag' then 1 else -1 end)
           over (partition by page_id order by pos) as int) as level,

@@ -233,7 +233,8 @@ select doc_id as page_id,
   || '<div class="author-timestamp"><strong>Ana Č ' || lang || '</strong>| '
   || cast(n_chars as string) || '. marec 2020 ob 12:30' || chr(9) || '</div>' || {_LF}
   || '<div class="article-body"><article><p class="Body"></p><p class="Body">' || {_BODY} || {_LF}
-  || '</p></article></div></body></html>' as html
+  || '</p></article></div>' || case doc_id % 4 when 1 then '</div></p>' when 2 then '<div><p>' else '' end
+  || '</body></html>' as html
 from {{documents}}
 """
 SQL["d_article_record"] = f"""

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from linkweft.operators.template import template_lines
 from linkweft.sources.schema import (
     COLUMNS,
     NO_TEXT,
@@ -69,17 +71,33 @@ def write_records(records: DataFrame, folder: str) -> None:
 
 
 def write_template(template: DataFrame, folder: str) -> None:
-    """Text files with one template step per line, a folder per page group."""
+    """Text files of `group<tab>line`, sorted by group and by the order of the template's tree.
+
+    Groups are dealt by range, so a file holds many groups and no task more than its share.
+    """
     (
-        template.repartition("grp")
-        .sortWithinPartitions("grp", "first_pos", "path")
-        .select("grp", F.col("line").alias("value"))
+        template_lines(template)
+        .repartitionByRange("grp", "line_no")
+        .sortWithinPartitions("grp", "line_no")
+        .select(F.concat_ws("\t", "grp", "line").alias("value"))
         .write.mode("overwrite")
-        .partitionBy("grp")
         .text(folder)
     )
 
 
+def read_template(spark: SparkSession, folder: str) -> DataFrame:
+    """(grp, line_no, line) of written templates, numbered as they stand in the files."""
+    files = spark.read.text(folder, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("pos", "text"),
+    )
+    rows = files.where("text <> ''").select(
+        "file", "pos", F.substring_index("text", "\t", 1).alias("grp"), "text"
+    )
+    line_no = F.row_number().over(Window.partitionBy("grp").orderBy("file", "pos"))
+    return rows.select("grp", line_no.alias("line_no"), F.expr("substr(text, length(grp) + 2)").alias("line"))
+
+
 def seed_store(spark: SparkSession, urls: tuple[str, ...] = SEED_URLS) -> Store:
     """Empty tables with one site row and the seed URLs in the frontier."""
     store = empty_store(spark)

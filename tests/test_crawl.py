@@ -207,7 +207,7 @@ def test_saved_files_records_and_template(spark):
     assert rows(pages.select("html")) == [("<p>\nž1</p>",), ("<p>\nž2</p>",)]
     keyed = pages.select(F.xxhash64("path").alias("page_id"), F.lit("g").alias("grp"), "html")
     ST.write_template(page_template(keyed, "grp"), f"{folder}/template")
-    lines = spark.read.text(f"{folder}/template")
-    assert [r.value for r in lines.collect()] == ["<p>", "  #PCDATA"]
+    lines = ST.read_template(spark, f"{folder}/template").orderBy("line_no")
+    assert [(r.grp, r.line) for r in lines.collect()] == [("g", "<p>"), ("g", "  #PCDATA"), ("g", "</p>")]
     records = spark.createDataFrame([("a", None), ("b", "č")], "k string, v string")
     assert rows(ST.records_to_json(records, ["k", "v"])) == [('{"k":"a"}',), ('{"k":"b","v":"č"}',)]

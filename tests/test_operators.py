@@ -112,8 +112,19 @@ def test_group_template(spark):
         ],
         "page_id long, host string, html string",
     )
-    steps = template.page_template(data, "host").orderBy("first_pos", "path").collect()
-    assert [r.line.strip() for r in steps] == ["<ul>", "( <li> )+", "#PCDATA", "( <s> )?", "k"]
+    lines = template.template_lines(template.page_template(data, "host")).orderBy("line_no").collect()
+    assert [r.line for r in lines] == [
+        "<ul>", "  ( <li>", "    #PCDATA", "    ( <s>", "      k", "    </s> )?", "  </li> )+", "</ul>",
+    ]
+
+
+def test_template_is_in_tree_order(spark):
+    data = spark.createDataFrame(
+        [(1, "h", "<div><a>x</a></div><p>y</p>"), (2, "h", "<p>z</p>")],
+        "page_id long, host string, html string",
+    )
+    steps = template.page_template(data, "host").orderBy("order_key").collect()
+    assert [r.path for r in steps] == ["/div", "/div/a", "/div/a/#text", "/p", "/p/#text"]
 
 
 def test_regex_records(spark):
@@ -190,3 +201,33 @@ def test_changes_are_idempotent(spark):
     link = changes.add_link(edges, spark.createDataFrame([], "from_page long, to_page long"))
     assert rows(link) == [(1, 2)]
     assert changes.add_link(edges, link).count() == 0
+
+
+ARTICLE = (
+    '<html><body><header class="article-header"><h1>T</h1></header><div class="author"><div class="author-name">A</div>'
+    '</div><div class="article-body"><article><p>one</p><p> two</p><p>three</p></article></div></body></html>'
+)
+
+
+def test_unpaired_tags_lose_no_field(spark):
+    whole = ("T", "A", ["one", " two", "three"])
+    cases = {
+        1: ARTICLE,
+        2: ARTICLE.replace("</body>", "</div></body>"),
+        3: ARTICLE.replace("<p> two</p>", "<p> two"),
+        4: ARTICLE.replace("</article>", ""),
+        5: ARTICLE.replace("</div></body>", "</body>"),
+        6: ARTICLE.replace("<body>", "<body></div></article></p>"),
+        7: ARTICLE.replace("<article>", "<article><section>"),
+        8: ARTICLE.replace('<div class="article-body">', '<div class="article-body"><div>'),
+    }
+    paths = {
+        "title": "//header/h1/text()",
+        "author": '//div[@class="author"]/div/text()',
+        "content": "//article//p/text()",
+    }
+    data = spark.createDataFrame(list(cases.items()), "page_id long, html string")
+    found = {r.page_id: (r.title[0], r.author[0], r.content) for r in dom.path_lists(data, paths).collect()}
+    assert found == {k: whole for k in cases}
+    inside = dom.path_lists(data, {"content": '//div[@class="article-body"]/article/p/text()'}).collect()
+    assert {r.page_id for r in inside if r.content == whole[2]} == {1, 2, 3, 4, 5, 6}
