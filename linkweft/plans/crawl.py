@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkweft.functions.robots import robots_valid
 from linkweft.functions.url import FALLBACK_URL, SCOPE
 from linkweft.operators import changes, dom, records
 from linkweft.operators.lookups import frontier_available, url_to_page
 from linkweft.operators.pages import page_images, page_links
 from linkweft.operators.robots import robots_allowed
+from linkweft.operators.summaries import next_per_host
 from linkweft.operators.template import page_template
 from linkweft.plans.skew import HOT_ROWS
 from linkweft.plans.session import work_dir
@@ -58,6 +60,19 @@ def frontier_outcomes(
     return checked.join(reached, "url", "left").select("id", "url", "site_id", outcome.alias("status"))
 
 
+def valid_robots(robots: DataFrame) -> DataFrame:
+    """(domain, robots_content, sitemap_content) of fetched texts that are robots rules.
+
+    One row per domain: texts that are some other page count as not fetched.
+    """
+    return (
+        robots.where(robots_valid(F.col("robots_content")))
+        .groupBy("domain")
+        .agg(F.min(F.struct("robots_content", "sitemap_content")).alias("t"))
+        .select("domain", "t.*")
+    )
+
+
 def crawl_round(
     store: Store,
     captures: DataFrame,
@@ -68,6 +83,8 @@ def crawl_round(
     in_flight: DataFrame | None = None,
     busy: DataFrame | None = None,
     host_ip: DataFrame | None = None,
+    robots: DataFrame | None = None,
+    one_per_host: bool = False,
     hot_rows: int = HOT_ROWS,
     stage: Stage | None = None,
 ) -> Store:
@@ -79,7 +96,10 @@ def crawl_round(
     without capture in the frontier, as a stream of captures needs it; then only the
     frontier rows that have a capture are looked at.  Rows whose URL is in `in_flight`,
     or whose host (or its address by `host_ip`) is in `busy`, wait for the next round;
-    each of the two may be given alone.
+    each of the two may be given alone.  `robots` has the fetched texts (domain,
+    robots_content, sitemap_content); the hosts of the frontier become sites with them
+    before their pages are decided.  `one_per_host` takes the earliest row of each host (or
+    address) only, as a polite turn does.
     Steps which several results need are written by `stage`, below the shared folder
     unless it says otherwise, so that no result computes them again.
     """
@@ -90,8 +110,16 @@ def crawl_round(
     taken = frontier
     if keep_unreached:
         taken = taken.join(captures.select("url"), "url", "left_semi").select(*frontier.columns)
-    if in_flight is not None or busy is not None:
-        taken = frontier_available(taken, in_flight, busy, host_ip, hot_rows).drop("busy_key")
+    if in_flight is not None or busy is not None or one_per_host:
+        taken = frontier_available(taken, in_flight, busy, host_ip, hot_rows)
+        if one_per_host:
+            turn = stage("turn", next_per_host(taken).select("id"))
+            taken = taken.join(turn, "id", "left_semi")
+        taken = taken.select(*frontier.columns)
+    if robots is not None:
+        hosts = taken.select("url", F.col("id").alias("seen_at"))
+        known = site.unionByName(changes.add_site(hosts, site))
+        site = stage("robots", changes.set_site_robots(known, valid_robots(robots)))
     outcomes = stage("outcomes", frontier_outcomes(taken, site, captures, hot_rows))
 
     to_fetch = outcomes.where(F.col("status") == 200)

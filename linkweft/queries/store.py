@@ -248,6 +248,28 @@ def frontier_available(spark, sf):
     return _available(spark, sf).drop("host")
 
 
+# sites of even number share an address, of which every fifth is busy
+_ADDRESS = "'10.0.0.' || cast(id % 50 as varchar)"
+
+
+@query(
+    "frontier_by_address",
+    f"""{with_inputs('d_page', 'd_site')},
+    address as (select domain as host, min({_ADDRESS}) as ip from d_site where id % 2 = 0 group by domain),
+    keyed as (
+      select p.id, p.url, coalesce(a.ip, p.host) as busy_key
+      from d_page p left join address a using (host) where page_type_code = 'FRONTIER')
+    select * from keyed where busy_key not in (select {_ADDRESS} from d_site where id % 5 = 0)""",
+)
+def frontier_by_address(spark, sf):
+    site = derived(spark, sf, "d_site")
+    address = F.concat(F.lit("10.0.0."), (F.col("id") % 50).cast("string"))
+    host_ip = site.where("id % 2 = 0").groupBy(F.col("domain").alias("host")).agg(F.min(address).alias("ip"))
+    busy = site.where("id % 5 = 0").select(address.alias("busy_key"))
+    frontier = _page(spark, sf).where(SC.is_waiting()).select("id", "url", "host")
+    return L.frontier_available(frontier, None, busy, host_ip).drop("host")
+
+
 # --- checks ----------------------------------------------------------------------
 def _fk_sql(references) -> str:
     parts = []

@@ -196,6 +196,29 @@ def test_busy_or_in_flight_alone(spark):
     assert waiting(busy=busy, host_ip=host_ip) == [("http://a.gov.si/p",)]
 
 
+def test_robots_texts_and_polite_turns_inside_the_rounds(spark):
+    urls = ["http://a.gov.si/1", "http://a.gov.si/private/2", "http://b.gov.si/3", "http://a.gov.si/4"]
+    captures = spark.createDataFrame([(u, f"text {u}") for u in urls], "url string, html string")
+    seeds = spark.createDataFrame([(u, k) for k, u in enumerate(urls)], "url string, seen_at long")
+    texts = [
+        ("a.gov.si", "User-agent: *\nDisallow: /private\nSitemap: http://a.gov.si/s.xml", "<urlset/>"),
+        ("b.gov.si", "<html>not found</html>", None),
+    ]
+    robots = spark.createDataFrame(texts, "domain string, robots_content string, sitemap_content string")
+    start = crawl.seed_crawl(spark, seeds, now())
+    polite = crawl.crawl_round(start, captures, now(), robots=robots, one_per_host=True)
+    waiting = polite["page"].where("page_type_code = 'FRONTIER'").select("url")
+    assert rows(waiting) == [("http://a.gov.si/4",), ("http://a.gov.si/private/2",)]
+    root = f"{tempfile.mkdtemp(prefix='run-')}/store"
+    store = crawl.crawl_rounds(spark, captures, now(), root=root, seeds=seeds, robots=robots, one_per_host=True)
+    assert store.finished and ST.rounds(spark, root) == (0, 3)
+    status = {r.url: r.http_status_code for r in store["page"].collect()}
+    assert status == {u: 403 if "private" in u else 200 for u in urls}
+    sites = {r.domain: (r.robots_content[:10], r.sitemap_content) for r in store["site"].collect()}
+    assert sites["a.gov.si"] == ("User-agent", "<urlset/>")
+    assert sites["b.gov.si"] == ("NULL", "NULL")
+
+
 def test_saved_files_records_and_template(spark):
     from linkweft.operators.template import page_template
 
