@@ -11,8 +11,10 @@ from linkweft.plans import crawl as C
 from linkweft.plans.session import work_dir
 from linkweft.queries import checksql as S
 from linkweft.queries.inputs import derived, table, with_inputs
+from linkweft.queries.pages import LINKS, PAGE_HOST
 from linkweft.queries.registry import query
 from linkweft.queries.store import derived_store, now
+from linkweft.sources.schema import SEED_SITE
 from linkweft.streaming import ingest as I
 
 SCOPE = "example."
@@ -140,26 +142,66 @@ def crawl_rounds(spark, sf):
 
 
 def _captured(spark, sf) -> DataFrame:
-    """Folder with the pages in two files, as a stream that takes one file a batch."""
+    """The pages in as many files as the session shuffles to, as a stream in two batches.
+
+    Pages of one canonical URL are in one file, so it is the least page_id that counts.
+    """
     folder = work_dir(spark, "captures")
     pages = derived(spark, sf, "d_rich").select("page_id", "url", "html")
-    pages.repartition(2, "page_id").write.parquet(folder)
-    return I.read_captures(spark, folder, files_per_batch=1)
+    files = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pages.repartition(files, canonical_url(F.col("url"))).write.parquet(folder)
+    return I.read_captures(spark, folder, files_per_batch=-(-files // 2))
 
 
 @query(
     "ingest_stream",
-    f"""with hosts as (select distinct {S.host('url')} as h from pages),
-    urls as (select distinct {S.canonical('url')} as url from pages)
-    select 'HTML' as what, count(*) as rows from urls
-    union all select 'site', count(*) + 1 from hosts""",
+    f"""{LINKS},
+    urls as (select min(page_id) as page_id, {S.canonical('url')} as url, min({S.host('url')}) as host from pages group by 2),
+    targets as (
+      select distinct u.url as source, target from (
+        select page_id, {S.resolve('link', PAGE_HOST, "(kind = 'link')", SCOPE)} as target from links) l
+      join urls u using (page_id) where target is not null)
+    select 'page' as table_name, url as key, 'HTML|200' as value from urls
+    union all select distinct 'page', target, 'FRONTIER|0' from targets where target not in (select url from urls)
+    union all select 'link', source, target from targets
+    union all select distinct 'site', host, null from urls
+    union all select 'site', '{SEED_SITE}', null
+    union all select 'image', u.url, src
+      from (select page_id, {S.attribute('tag', 'src')} as src from tags where name = 'img') join urls u using (page_id)
+      where length(src) <= 255 and length(split_part(src, '.', -1)) <= 50
+    union all select 'page_data', url, upper(split_part(url, '.', -1)) from urls
+      where upper(split_part(url, '.', -1)) in ('PDF', 'DOC', 'DOCX', 'PPT', 'PPTX')""",
 )
 def ingest_stream(spark, sf):
     root = work_dir(spark, "stream")
     I.ingest_stream(_captured(spark, sf), root, now(), scope=SCOPE).awaitTermination()
-    store = I.read_store(spark, root)
-    counts = _counts(store).groupBy("what").agg(F.sum("rows").alias("rows"))
-    return counts.where(F.col("what").isin("HTML", "site"))
+    return _by_url(I.read_store(spark, root))
+
+
+def _by_url(store) -> DataFrame:
+    """The rows of a store as (table_name, key, value), pages named by URL instead of id."""
+    page = store["page"]
+
+    def url_of(column: str) -> DataFrame:
+        return page.select(F.col("id").alias(column), F.col("url").alias(f"{column}_url"))
+
+    state = F.concat_ws("|", "page_type_code", "http_status_code")
+    parts = [
+        page.select("url", state),
+        store["link"].join(url_of("from_page"), "from_page").join(url_of("to_page"), "to_page").select(
+            "from_page_url", "to_page_url"
+        ),
+        store["site"].select("domain", F.lit(None).cast("string")),
+        store["image"].join(url_of("page_id"), "page_id").select("page_id_url", "filename"),
+        store["page_data"].join(url_of("page_id"), "page_id").select("page_id_url", "data_type_code"),
+    ]
+    names = ("page", "link", "site", "image", "page_data")
+    return _union(
+        [
+            part.toDF("key", "value").select(F.lit(name).alias("table_name"), "key", "value")
+            for name, part in zip(names, parts)
+        ]
+    )
 
 
 @query(

@@ -19,11 +19,11 @@ def html_tokens(spark, sf):
     return P.html_tokens(table(spark, sf, "pages"))
 
 
-_LINKS = f"{with_inputs('d_rich')}, tags as ({S.tags('d_rich')}), links as ({S.LINKS})"
+LINKS = f"{with_inputs('d_rich')}, tags as ({S.tags('d_rich')}), links as ({S.LINKS})"
 
 
 def _kind(kind: str) -> str:
-    return f"{_LINKS} select page_id, kind, link from links where kind = '{kind}'"
+    return f"{LINKS} select page_id, kind, link from links where kind = '{kind}'"
 
 
 @query("page_anchors", _kind("a"))
@@ -46,13 +46,13 @@ def page_onclick_links(spark, sf):
     return P.page_onclick_links(derived(spark, sf, "d_rich")).select("page_id", "kind", "link")
 
 
-_HOST = "split_part(url, '/', 3)"
+PAGE_HOST = "split_part(url, '/', 3)"
 
 
 @query(
     "page_links",
-    f"""{_LINKS} select distinct page_id, target as url from (
-      select page_id, {S.resolve('link', _HOST, "(kind = 'link')", SCOPE)} as target from links)
+    f"""{LINKS} select distinct page_id, target as url from (
+      select page_id, {S.resolve('link', PAGE_HOST, "(kind = 'link')", SCOPE)} as target from links)
     where target is not null""",
 )
 def page_links(spark, sf):
