@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text worked on at once; a longer text is one slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # Odd multipliers of the hashes (fixed values).
 MIX = np.uint64(0x9E3779B97F4A7C15)
