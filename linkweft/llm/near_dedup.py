@@ -5,11 +5,13 @@ DartMinHash throws darts, placed by hashes alone, into the region of each elemen
 unit of weight by every unit of rank has Poisson(1) darts, each with a coordinate of the
 signature and a rank.  The earliest dart of each coordinate is kept, so two texts agree in
 a coordinate with the probability of their weighted Jaccard similarity, and a text costs
-darts in proportion to the signature plus its length, not to their product.
+darts in proportion to the signature plus its length, not to their product.  A text that
+repeats shingles has a second signature, in which each of them weighs one, and so its
+agreement is the plain Jaccard similarity; of any other text both are the same.
 
-Bands of the signature are joined in Spark:
+Bands of the signatures are joined in Spark:
 
-1.  Texts with the same shingles are one node.
+1.  Texts with the same shingles, each as often, are one node.
 2.  In each band bucket all nodes are compared with one leader, the node with the most
     neighbours, and components of the links are taken.
 3.  Buckets that still span several components compare all pairs of nodes from
@@ -17,8 +19,8 @@ Bands of the signature are joined in Spark:
 
 So every pair of different texts that shares a bucket is either compared or in one class
 already, and no task takes more of a bucket than a block.  Rows grow with the buckets'
-sizes, not with their pairs.  With 24 bands of 5 coordinates a pair at similarity 0.8
-shares a bucket with probability 0.9999.
+sizes, not with their pairs.  With 24 bands of 5 coordinates a pair at similarity 0.8, be
+it the weighted or the plain one, shares a bucket with probability 0.9999.
 """
 
 from __future__ import annotations
@@ -44,6 +46,9 @@ COORDINATES = BANDS * ROWS
 # standard deviations below the similarity, and accidental equality of a byte ignored.
 LEAST_SHARE = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / COORDINATES) ** 0.5
 
+# Bytes of a signature column: the weighted signature, then the plain one if it is another.
+WEIGHTED, PLAIN = slice(0, COORDINATES), slice(-COORDINATES, None)
+
 # Most nodes of a bucket on the two sides of one block.
 LEFT_BLOCK, RIGHT_BLOCK = 256, 4096
 
@@ -59,7 +64,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     space, unchanged; a text of one to four words is one shingle.  Null and empty texts
     are equal to each other.  Rows with a null id are in a class with equal texts only, or,
     where no row of the class has an id, in a class named null.  Rows with equal ids are
-    nodes of their own, unless their shingles are equal.
+    nodes of their own, unless their shingles and the counts of these are equal.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     sketches = written(rows.mapInArrow(_sketches, "id long, node binary, signature binary, bands array<long>"), "sketches")
@@ -164,12 +169,17 @@ def _compare(left: DataFrame, right: DataFrame, contents: DataFrame, ends: str =
 def _links(left: pa.Table, right: pa.Table, ends: str) -> pa.Table:
     pairs = []
     if left.num_rows and right.num_rows:
-        marks = [np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(-1, COORDINATES) for t in (left, right)]
+        signed = [t.column("signature").to_pylist() for t in (left, right)]
+        marks, plain = [[np.frombuffer(b"".join(x[part] for x in side), np.uint8).reshape(-1, COORDINATES) for side in signed] for part in (WEIGHTED, PLAIN)]
+        repeating = [np.array([len(x) > COORDINATES for x in side]) for side in signed]
         names = [t.column(ends).to_pylist() for t in (left, right)]
         labels = [t.column("label").to_pylist() for t in (left, right)]
         shingles = [[[np.frombuffer(x, np.uint64) for x in t.column(c).to_pylist()] for c in ("first", "more")] for t in (left, right)]
         for i, own in enumerate(labels[0]):
             share = (marks[1] == marks[0][i]).mean(axis=1)
+            # without repeats on either side the plain share is the same
+            other = slice(None) if repeating[0][i] else np.flatnonzero(repeating[1])
+            share[other] = np.maximum(share[other], (plain[1][other] == plain[0][i]).mean(axis=1))
             joined = {own}
             for j in np.flatnonzero(share >= LEAST_SHARE):
                 if labels[1][j] not in joined and _similar(shingles[0][0][i], shingles[0][1][i], shingles[1][0][j], shingles[1][1][j]):
@@ -223,8 +233,8 @@ def _units(owner: np.ndarray, values: np.ndarray, counts: np.ndarray) -> tuple[n
     return owner[who], np.where(unit == 0, values[who], W.mix(values[who] + unit.astype(np.uint64) * W.MIX2)), unit
 
 
-def _node_of(values: np.ndarray) -> bytes:
-    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+def _node_of(values: np.ndarray, counts: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes() + counts.astype(np.int64).tobytes(), digest_size=16).digest()
 
 
 def signatures(owner: np.ndarray, units: np.ndarray, n_texts: int, coordinates: int = COORDINATES) -> np.ndarray:
@@ -260,24 +270,37 @@ def signatures(owner: np.ndarray, units: np.ndarray, n_texts: int, coordinates:
     return out
 
 
+def _banded(made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last byte of every coordinate, and the buckets, of each signature."""
+    bands = np.zeros((len(made), BANDS), dtype=np.uint64)
+    for band in range(BANDS):
+        h = np.full(len(made), band + 1, dtype=np.uint64)
+        for row in range(ROWS):
+            h = W.mix(h ^ made[:, band * ROWS + row])
+        bands[:, band] = h
+    return (made & np.uint64(0xFF)).astype(np.uint8), bands.view(np.int64)
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in W.slices(batches, "text"):
         owner, values, counts = shingles(batch.column("text"))
         bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-        node = [_node_of(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        node = [_node_of(values[a:b], counts[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
         full = np.flatnonzero(np.diff(bounds))
-        who, units, _ = _units(np.searchsorted(full, owner), values, counts)
-        made = signatures(who, units, len(full))
-        bands = np.zeros((len(full), BANDS), dtype=np.uint64)
-        for band in range(BANDS):
-            h = np.full(len(full), band + 1, dtype=np.uint64)
-            for row in range(ROWS):
-                h = W.mix(h ^ made[:, band * ROWS + row])
-            bands[:, band] = h
-        marks = (made & np.uint64(0xFF)).astype(np.uint8)
+        place = np.searchsorted(full, owner)
+        who, units, _ = _units(place, values, counts)
+        marks, bands = _banded(signatures(who, units, len(full)))
         signature, band_lists = [None] * batch.num_rows, [[]] * batch.num_rows
         for k, d in enumerate(full):
-            signature[d], band_lists[d] = marks[k].tobytes(), bands[k].view(np.int64)
+            signature[d], band_lists[d] = marks[k].tobytes(), bands[k]
+        # texts that repeat shingles are in the buckets of their plain signature, too
+        repeating = np.unique(place[counts > 1])
+        if len(repeating):
+            own = np.isin(place, repeating)
+            marks, bands = _banded(signatures(np.searchsorted(repeating, place[own]), values[own], len(repeating)))
+            for k, d in enumerate(full[repeating]):
+                signature[d] += marks[k].tobytes()
+                band_lists[d] = np.union1d(band_lists[d], bands[k])
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(node, pa.binary()), pa.array(signature, pa.binary()), pa.array(band_lists, pa.list_(pa.int64()))],
             ["id", "node", "signature", "bands"],
@@ -290,7 +313,7 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
         rows = []
         for d, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-            if _node_of(values[a:b]) == batch.column("node")[d].as_py():
+            if _node_of(values[a:b], counts[a:b]) == batch.column("node")[d].as_py():
                 _, units, unit = _units(owner[a:b], values[a:b], counts[a:b])
                 rows.append((batch.column("node")[d].as_py(), batch.column("signature")[d].as_py(), values[a:b].tobytes(), np.sort(units[unit > 0]).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in range(4)], ["node", "signature", "first", "more"])

@@ -87,6 +87,24 @@ def test_blocks_join_what_leaders_do_not(workers, monkeypatch):
     assert {r.doc_id: r.class_id for r in found.collect()} == classes_of(dict(rows))
 
 
+def test_copies_with_repeated_passages_are_alike_as_sets(workers):
+    rng = random.Random(11)
+    rows = []
+    for k in range(40):
+        words = [f"t{k}_{rng.randrange(10**6)}" for _ in range(200)]
+        longer = words + words[-50:] * rng.randrange(4, 8)
+        changed = list(longer)
+        changed[rng.randrange(50)] = "new"
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(longer)), (10 * k + 2, " ".join(changed)), (10 * k + 3, " ".join(words + words[-50:]))]
+    # equal sets: near the first of them by counts alone, far from the second
+    part = [[f"e{j}_{k}" for k in range(n)] for j, n in ((0, 100), (1, 30))]
+    rows += [(1000, " ".join(part[0] + part[1] * 9 + part[0])), (1001, " ".join(part[0] * 9 + part[1] + part[0])), (1002, " ".join(part[0] * 9 + [f"z{k}" for k in range(40)]))]
+    found = near_dedup.near_duplicates(workers.createDataFrame(rows, "doc_id long, text string"))
+    classes = {r.doc_id: r.class_id for r in found.collect()}
+    assert classes == classes_of(dict(rows))
+    assert all(classes[10 * k + j] == 10 * k for k in range(40) for j in range(4))
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     found = near_dedup.near_duplicates(odd_docs).collect()
     assert len(found) == len(ROWS)
