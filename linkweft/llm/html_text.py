@@ -4,8 +4,8 @@ The standard library's streaming parser turns a page into lines, one per block,
 its characters, tags and enclosing elements.  Menus, notices, adverts, forms, comments and
 the like are left out by element, role or class.  The text-to-tag ratio of the remaining
 lines is smoothed with a Gaussian; lines over the standard deviation cluster into content
-regions, and the element that holds most of these is the article.  Short lines of the
-article have low ratios, so all its lines are kept, not only those over the threshold.
+regions, and the elements around these are the article.  Short lines of the article have
+low ratios, so all its lines are kept, not only those over the threshold.
 
 Memory and time of a page grow with its length alone.
 """
@@ -28,10 +28,10 @@ from linkweft.llm.frames import without
 # Lines on each side that smooth a line, and the spread of their weights.
 RADIUS, SPREAD = 3, 1.5
 
-# An element is the article if it holds this share of the content's characters.
+# An element left out by name is a layout if it holds this share of the content's characters.
 MOST = 0.8
 
-# Lines of an element that is no article by name are menus if links hold this share.
+# Lines are links if these hold this share of the characters.
 LINKED = 0.8
 
 # Elements and names of HTML (fixed values).
@@ -47,6 +47,7 @@ LEFT_OUT = frozenset(
     "title video".split()
 )
 ARTICLES = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEFT_OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 LEFT_OUT_NAMES = frozenset(
     "ad ads advert advertisement advertising advertorial adsense alert aside banner breadcrumb breadcrumbs byline "
@@ -67,6 +68,13 @@ CLOSED_BY = {
     "th": frozenset(("td", "th", "tr")),
     "option": frozenset(("option",)),
 }
+# Names that end a compound, too, as in site-footer; but not after a word as in has-sidebar.
+LAST_NAMES = frozenset(
+    "ads advertisement banner breadcrumb breadcrumbs comments copyright footer menu nav navbar navigation newsletter "
+    "pagination popup sidebar sponsored widget widgets".split()
+)
+MODIFIERS = frozenset("has hide is no not show with without".split())
+RESULTS = frozenset(("result", "results"))
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -77,6 +85,8 @@ class PageLines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int]] = []
         self.parents, self.names = [-1], [""]
+        # Elements left out by a name alone, and whether an article inside does not undo that.
+        self.named: dict[int, bool] = {}
         # Open elements: name, number, whether left out, and whether an article cannot undo that.
         self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
         self.count: Counter[str] = Counter()
@@ -97,11 +107,16 @@ class PageLines(HTMLParser):
             return
         _, _, out, firm = self.open[-1]
         own, own_firm = self.left_out(tag, attrs)
-        if tag in ARTICLES and not own:
+        by_name, name_firm = (False, False) if own else self.left_out_name(tag, attrs)
+        if by_name and not block:
+            own, own_firm = True, name_firm
+        if tag in ARTICLES and not own and not by_name:
             out = firm
         if block or (own and not out):
             self.parents.append(self.open[-1][1])
             self.names.append(tag)
+            if by_name and block:
+                self.named[len(self.parents) - 1] = name_firm
             self.open.append((tag, len(self.parents) - 1, out or own, firm or own_firm))
             self.count[tag] += 1
 
@@ -148,19 +163,29 @@ class PageLines(HTMLParser):
         inside_article = any(self.count[a] for a in ARTICLES)
         if tag in LEFT_OUT and not (tag == "header" and inside_article):
             return True, tag in KEPT_OUT
-        names: set[str] = set()
         for key, value in attrs:
-            if key in ("class", "id"):
-                names.update(_NAME.findall((value or "").lower()))
-            elif key == "role" and (value or "").lower() in LEFT_OUT_ROLES:
+            if key == "role" and (value or "").lower() in LEFT_OUT_ROLES:
                 return True, False
-            elif key == "hidden" or (key == "aria-hidden" and value == "true"):
+            if key == "hidden" or (key == "aria-hidden" and value == "true"):
                 return True, True
-            elif key == "style" and "display:none" in (value or "").replace(" ", "").lower():
+            if key == "style" and "display:none" in (value or "").replace(" ", "").lower():
                 return True, True
-        if inside_article:
-            names.discard("header")
-        return bool(names & LEFT_OUT_NAMES), bool(names & KEPT_OUT)
+        return False, False
+
+    def left_out_name(self, tag: str, attrs: list) -> tuple[bool, bool]:
+        """Whether class or id name an element no content, and whether that holds for articles inside, too."""
+        if tag in ("html", "body"):
+            return False, False
+        out = firm = False
+        for token in [t for key, value in attrs if key in ("class", "id") for t in (value or "").lower().split()]:
+            runs = _NAME.findall(token)
+            if not runs or runs[0] in MODIFIERS or (len(runs) > 1 and runs[-1] in RESULTS):
+                continue
+            if runs[0] in LEFT_OUT_NAMES and not (runs[0] == "header" and any(self.count[a] for a in ARTICLES)):
+                out, firm = True, firm or runs[0] in KEPT_OUT
+            elif runs[-1] in LAST_NAMES:
+                out, firm = True, firm or runs[-1] == "comments"
+        return out, firm
 
 
 def smoothed(ratio: np.ndarray) -> np.ndarray:
@@ -176,9 +201,20 @@ def main_text(html: str | None) -> str:
     page.feed(html or "")
     page.close()
     page.flush()
-    lines = page.lines
+    lines = _remaining(page)
     if not lines:
         return ""
+    content, held = _clusters(page, lines)
+    article, by_name = _article(page, held)
+    inside = np.zeros(len(held), dtype=bool)
+    inside[article] = True
+    for element in range(article + 1, len(held)):
+        inside[element] = inside[page.parents[element]]
+    return "\n".join(text for text, _, linked, element in lines if inside[element] and (by_name or linked < LINKED * len(text)))
+
+
+def _clusters(page: PageLines, lines: list) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines are content by their smoothed ratio, and the characters of these in each element."""
     ratio = smoothed(np.array([len(text) / tags for text, tags, _, _ in lines]))
     content = ratio >= min(ratio.std(), ratio.max())
     held = np.zeros(len(page.parents))
@@ -187,12 +223,35 @@ def main_text(html: str | None) -> str:
             held[element] += max(1, len(text) - linked)
     for element in range(len(held) - 1, 0, -1):
         held[page.parents[element]] += held[element]
-    article, by_name = _article(page, held)
-    inside = np.zeros(len(held), dtype=bool)
-    inside[article] = True
-    for element in range(article + 1, len(held)):
-        inside[element] = inside[page.parents[element]]
-    return "\n".join(text for text, _, linked, element in lines if inside[element] and (by_name or linked < LINKED * len(text)))
+    return content, held
+
+
+def _remaining(page: PageLines) -> list:
+    """The lines outside elements left out by name; one that holds most of the content is a layout, not left out."""
+    if not page.named or not page.lines:
+        return page.lines
+    _, held = _clusters(page, page.lines)
+    loose = {k for k, firm in page.named.items() if not firm}
+    layouts = {k for k in loose if held[k] >= MOST * held[0]}
+    for taken_back in (layouts, loose, set(page.named)):
+        # 1: left out, unless an article is inside; 2: left out with all that is inside
+        out = np.zeros(len(page.parents), dtype=np.int8)
+        for k in range(1, len(out)):
+            out[k] = out[page.parents[k]]
+            if k in page.named and k not in taken_back:
+                out[k] = max(out[k], 1 + page.named[k])
+            elif page.names[k] in ARTICLES and out[k] == 1:
+                out[k] = 0
+        lines, before = [], 0
+        for text, tags, linked, element in page.lines:
+            if out[element]:
+                before += tags
+            else:
+                lines.append((text, tags + before, linked, element))
+                before = 0
+        if lines:
+            break
+    return lines
 
 
 def _article(page: PageLines, held: np.ndarray) -> tuple[int, bool]:

@@ -119,6 +119,17 @@ PAGES = {
 }
 
 
+P = "<p>A paragraph number {} that is long enough to be the text of a page, as it is.</p>"
+TEXT = [f"A paragraph number {k} that is long enough to be the text of a page, as it is." for k in range(8)]
+
+
+@pytest.mark.parametrize("names", ["class='content has-sidebar'", "class=with-sidebar", "id=post class=no-comments", "class=search-result", "class='content-sidebar'", "class=widget"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_layouts_named_after_what_they_hold_are_kept(names, inner):
+    page = f"<div {names}><{inner}><div class=article-header><h1>T</h1></div>{P.format(0)}{P.format(1)}</{inner}><div class=sidebar><p>Side</p></div></div><div class=site-footer>(c)</div>"
+    assert html_text.main_text(page) == "\n".join(["T", *TEXT[:2]])
+
+
 def test_main_text_of_small_pages():
     for html, text in PAGES.items():
         assert html_text.main_text(html) == text
