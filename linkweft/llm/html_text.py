@@ -205,12 +205,25 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     content, held = _clusters(page, lines)
-    article, by_name = _article(page, held)
-    inside = np.zeros(len(held), dtype=bool)
-    inside[article] = True
-    for element in range(article + 1, len(held)):
-        inside[element] = inside[page.parents[element]]
-    return "\n".join(text for text, _, linked, element in lines if inside[element] and (by_name or linked < LINKED * len(text)))
+    inside, articles = _article(page, lines, content, held)
+    kept = [k for k, line in enumerate(lines) if inside[line[3]] or (articles.any() and page.names[line[3]] == "h1" and not _links(line))]
+    # lines of links before or after all content are menus, unless they are in clusters themselves
+    text_at = [k for k in kept if articles[lines[k][3]] or (content[k] and not _links(lines[k]))]
+    first, last = (text_at[0], text_at[-1]) if text_at else (len(lines), -1)
+    gone: set[int] = set()
+    run: list[int] = []
+    for k in [*kept, None]:
+        if k is not None and _links(lines[k]) and not articles[lines[k][3]]:
+            run.append(k)
+            continue
+        if run and not first < run[0] < last and 2 * sum(content[j] for j in run) <= len(run):
+            gone.update(run)
+        run = []
+    return "\n".join(lines[k][0] for k in kept if k not in gone)
+
+
+def _links(line: tuple[str, int, int, int]) -> bool:
+    return line[2] >= LINKED * len(line[0])
 
 
 def _clusters(page: PageLines, lines: list) -> tuple[np.ndarray, np.ndarray]:
@@ -254,19 +267,32 @@ def _remaining(page: PageLines) -> list:
     return lines
 
 
-def _article(page: PageLines, held: np.ndarray) -> tuple[int, bool]:
-    """The element that holds the content: an article by name, or else the deepest with most of it."""
-    named = [k for k, name in enumerate(page.names) if name in ARTICLES and held[k] > 0]
-    if named:
-        best = max(held[k] for k in named)
-        return max((k for k in named if held[k] >= MOST * best), key=lambda k: (page.names[k] == "article", held[k], -k)), True
-    element, children = 0, {}
-    for k in range(1, len(held)):
-        if held[k] >= MOST * held[0] and page.names[k] not in ("p", "li", "tr", "td", "th", "dd", "pre", "blockquote"):
-            children[page.parents[k]] = k
-    while element in children:
-        element = children[element]
-    return element, False
+def _article(page: PageLines, lines: list, content: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Elements in what holds the content, and those in articles by name.
+
+    All outermost articles by name that hold content; or else the least element around all
+    content and headings, links apart.
+    """
+    n = len(held)
+    inside, articles = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+    for k in range(1, n):
+        named = page.names[k] in ARTICLES and held[k] > 0
+        inside[k] = inside[page.parents[k]] or named
+        articles[k] = articles[page.parents[k]] or (named and page.names[k] == "article")
+    if inside.any():
+        # main without an article is the article
+        return inside, articles if articles.any() else inside
+    wanted = np.zeros(n, dtype=np.int64)
+    for line, chosen in zip(lines, content):
+        if not _links(line) and (chosen or page.names[line[3]] in HEADINGS):
+            wanted[line[3]] += 1
+    for k in range(n - 1, 0, -1):
+        wanted[page.parents[k]] += wanted[k]
+    around = max(np.flatnonzero(wanted == wanted[0])) if wanted[0] else 0
+    inside[around] = True
+    for k in range(around + 1, n):
+        inside[k] = inside[page.parents[k]]
+    return inside, articles
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

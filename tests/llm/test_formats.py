@@ -130,6 +130,22 @@ def test_layouts_named_after_what_they_hold_are_kept(names, inner):
     assert html_text.main_text(page) == "\n".join(["T", *TEXT[:2]])
 
 
+def test_articles_keep_their_headings_and_all_parts():
+    many = "".join(P.format(k) for k in range(6))
+    cases = {
+        f"<nav>x</nav><div id=content><h1>T</h1><div class=body>{many}</div></div>": ["T", *TEXT[:6]],
+        f"<div><div>{many}</div><div>{P.format(6)}</div></div>": TEXT[:7],
+        f"<main><h1>T</h1><article>{many}</article></main>": ["T", *TEXT[:6]],
+        f"<div><h1>T</h1><article>{many}</article></div>": ["T", *TEXT[:6]],
+        f"<div><article>{many}</article><article>{P.format(6)}{P.format(7)}</article></div>": TEXT[:8],
+        f"<div><div>{many}<p><a href=x>A line of the article that is a link and nothing else</a></p>{P.format(6)}</div></div>": [*TEXT[:6], "A line of the article that is a link and nothing else", TEXT[6]],
+        "<div>" + "".join(f"<p><a href=x>Item {k}</a></p>" for k in range(9)) + f"</div><div>{many}</div>": TEXT[:6],
+    }
+    for page, lines in cases.items():
+        found = html_text.main_text(page).split("\n")
+        assert found == lines, page
+
+
 def test_main_text_of_small_pages():
     for html, text in PAGES.items():
         assert html_text.main_text(html) == text
