@@ -14,7 +14,8 @@ Candidates come from item-sized windows of the documents:
     leave most steps equal, which turns edit distance into Hamming distance.
 3.  Bit-sampling LSH: a window meets the item if a few sampled steps are all equal, in
     one of the repeated draws.  The number of draws follows from the target recall.
-4.  What meets is verified by the exact edit distance.
+4.  What meets is verified by the exact edit distance.  Items with many edits, whose walks
+    agree in too few steps for that recall, are verified at all places of 1.
 
 Documents are not moved: items go to every task, in passes of bounded size.
 """
@@ -44,6 +45,9 @@ SAMPLED = 2
 EQUAL_STEPS = 0.4
 WALKS = 4
 
+# Walks of items with more edits, or a larger share of them, agree in fewer steps than these.
+WALKED_EDITS = 12
+
 # What one pass over the documents takes to every task.
 PASS_ITEMS = 20_000
 PASS_BYTES = 8 << 20
@@ -68,6 +72,7 @@ class Items:
                 self.words.append(own)
                 self.edits.append(int(share * len(own)))
         self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.walked = np.array([e <= WALKED_EDITS and share <= SHARE for e in self.edits], dtype=bool)
         seeds: dict[int, list[tuple[int, int, int]]] = {}
         for k, own in enumerate(self.words):
             pieces = self.edits[k] + 1
@@ -94,10 +99,14 @@ class Items:
         if not len(text):
             return []
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        passed = np.concatenate([self._walk_meets(words, h, text[a:b], item[a:b], at[a:b]) for a, b in self._chunks(item)])
-        for d, k, start in zip(text[passed], item[passed], at[passed]):
+        walked = np.flatnonzero(self.walked[item])
+        passed = ~self.walked[item]
+        for a, b in self._chunks(item[walked]):
+            some = walked[a:b]
+            passed[some] = self._walk_meets(words, h, text[some], item[some], at[some])
+        for d, k, start, last in self._places(text[passed], item[passed], at[passed]):
             e = self.edits[k]
-            low, high = max(words.first[d], start - e), min(words.first[d + 1], start + self.sizes[k] + e)
+            low, high = max(words.first[d], start - e), min(words.first[d + 1], last + self.sizes[k] + e)
             edits, first, size = fitting(self.words[k], h[low:high])
             if edits <= e:
                 found = (edits, int(low - words.first[d]) + first, size)
@@ -105,6 +114,16 @@ class Items:
                 best[key] = min(best.get(key, found), found)
         return [(d, k, *found) for (d, k), found in sorted(best.items())]
 
+    def _places(self, text: np.ndarray, item: np.ndarray, at: np.ndarray) -> list[list[int]]:
+        """(text, item, first place, last place): sorted places, of which near ones of items not walked are one."""
+        out: list[list[int]] = []
+        for d, k, start in zip(text.tolist(), item.tolist(), at.tolist()):
+            if out and not self.walked[k] and out[-1][:2] == [d, k] and start - out[-1][3] <= self.edits[k]:
+                out[-1][3] = start
+            else:
+                out.append([d, k, start, start])
+        return out
+
     def _seeded(self, words: W.Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places where a piece of an item occurs: text, item, where the item would begin."""
         owner, parts = words.text_of(), []

@@ -224,6 +224,24 @@ def test_leaks_at_the_edit_limit(workers):
         assert r.edits == least_edits(by_id[1][r.item_id].split(), by_id[0][r.doc_id].lower().split(", "))
 
 
+def test_long_items_at_the_edit_limit():
+    rng = random.Random(8)
+    for n in (120, 250, 500, 1000):
+        items = [rng.choices([f"v{k}" for k in range(5000)], k=n) for _ in range(12)]
+        docs = []
+        for words in items:
+            edited = list(words)
+            for _ in range(n // 5):
+                p = rng.randrange(len(edited))
+                kind = rng.randrange(3)
+                edited[p : p + (kind > 0)] = ["new"] * (kind < 2)
+            docs.append(" ".join(rng.choices(words, k=30) + edited + ["end"] * 30))
+        expected = {k for k, words in enumerate(items) if least_edits(words, docs[k].split()) <= n // 5}
+        found = decontaminate.Items(list(range(len(items))), [" ".join(x) for x in items]).meet(pa.array(docs))
+        assert {(d, k) for d, k, *_ in found} == {(k, k) for k in expected} and len(expected) == len(items)
+        assert n > 250 or all(edits == least_edits(items[k], docs[d].split()) for d, k, edits, _, _ in found)
+
+
 def test_leaks_of_odd_rows(workers, odd_docs, no_docs, monkeypatch):
     items = workers.createDataFrame([(1, PASSAGE), (1, PASSAGE), (None, PASSAGE), (2, None), (3, ""), (4, "x"), (5, "word0x0")], "item_id long, text string")
     monkeypatch.setattr(decontaminate, "PASS_ITEMS", 2)
