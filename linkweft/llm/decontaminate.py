@@ -2,7 +2,8 @@
 
 A document holds an item if some run of its words is within `share` of the item's number
 of words, in edits (words put in, left out or replaced).  Words are compared in lower
-case and without punctuation.
+case and without punctuation; in scripts written without spaces, such as Chinese, Japanese
+or Thai, every code point counts as a word.
 
 Candidates come from item-sized windows of the documents:
 
@@ -37,8 +38,10 @@ from linkweft.llm import words as W
 SHARE = 0.2
 RECALL = 0.995
 
-# Shorter items would be met by chance and are not searched.
+# Shorter items would be met by chance and are not searched: those with fewer words, unless
+# their words have this many characters in all; as no edit is allowed then, they are exact runs.
 LEAST_WORDS = 5
+LEAST_CHARS = 20
 
 # Steps compared in one draw; share of equal steps that the draws are counted for; walks.
 SAMPLED = 2
@@ -67,10 +70,11 @@ class Items:
         self.ids, self.words, self.edits = [], [], []
         for k, item_id in enumerate(ids):
             own = h[words.first[k] : words.first[k + 1]]
-            if len(own) >= LEAST_WORDS:
+            spans = zip(words.starts[words.first[k] : words.first[k + 1]], words.ends[words.first[k] : words.first[k + 1]])
+            if len(own) >= LEAST_WORDS or sum(int(((words.data[a:b] & 0xC0) != 0x80).sum()) for a, b in spans) >= LEAST_CHARS:
                 self.ids.append(item_id)
                 self.words.append(own)
-                self.edits.append(int(share * len(own)))
+                self.edits.append(int(share * len(own)) if len(own) >= LEAST_WORDS else 0)
         self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
         self.walked = np.array([e <= WALKED_EDITS and share <= SHARE for e in self.edits], dtype=bool)
         seeds: dict[int, list[tuple[int, int, int]]] = {}
@@ -210,7 +214,7 @@ def _fit(item: np.ndarray, text: np.ndarray, whole_start: bool = False) -> tuple
 
 
 def _normal(texts: pa.Array) -> W.Words:
-    return W.split(pc.utf8_lower(texts), W.NOT_ALNUM)
+    return W.split(pc.utf8_lower(texts), W.NOT_ALNUM, unspaced=True)
 
 
 def passes(items: DataFrame, share: float = SHARE, recall: float = RECALL) -> Iterator[Items]:
@@ -228,8 +232,8 @@ def passes(items: DataFrame, share: float = SHARE, recall: float = RECALL) -> It
 def find_leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, recall: float = RECALL) -> DataFrame:
     """(doc_id, item_id, edits, start_word, n_words): the best run of each document and item.
 
-    Null and empty texts hold nothing; items with under `LEAST_WORDS` words are not
-    searched; repeated rows and items are reported each.  Ties go to the first run.  An empty
+    Null and empty texts hold nothing; items with under `LEAST_WORDS` words and
+    `LEAST_CHARS` characters are not searched; repeated rows and items are reported each.  Ties go to the first run.  An empty
     table on either side gives no rows.  Other columns are not read.
     """
     spark = docs.sparkSession

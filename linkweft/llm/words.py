@@ -28,6 +28,13 @@ NOT_ALNUM = np.ones(256, dtype=bool)
 for _first, _last in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
     NOT_ALNUM[_first : _last + 1] = False
 
+# Code points of scripts written without spaces, and of their punctuation (first, last).
+UNSPACED = np.array(
+    [(0x0E00, 0x109F), (0x1780, 0x17FF), (0x19E0, 0x19FF), (0x3005, 0x3007), (0x3021, 0x302F), (0x3031, 0x30FA), (0x30FC, 0x312F)]
+    + [(0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)]
+)
+PUNCTUATION = np.array([(0x3000, 0x3004), (0x3008, 0x3020), (0x3030, 0x3030), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)])
+
 
 @dataclass
 class Words:
@@ -82,8 +89,12 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def split(texts: pa.Array, separators: np.ndarray = WHITE) -> Words:
-    """Words of every text: the longest runs of bytes that are no separators."""
+def split(texts: pa.Array, separators: np.ndarray = WHITE, unspaced: bool = False) -> Words:
+    """Words of every text: the longest runs of bytes that are no separators.
+
+    With `unspaced`, every code point of a script written without spaces is a word of its
+    own, and the punctuation of these scripts separates.
+    """
     data, offsets = text_bytes(texts)
     inside = ~separators[data]
     if separators is NOT_ALNUM:
@@ -93,6 +104,17 @@ def split(texts: pa.Array, separators: np.ndarray = WHITE) -> Words:
             inside[np.asarray(lead, dtype=np.int64) + k] = False
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
+    if unspaced:
+        lead = np.flatnonzero(data >= 0xE0)
+        four = data[lead] >= 0xF0
+        point = (data[lead] & np.where(four, 7, 15)).astype(np.int64)
+        for k in (1, 2, 3):
+            more = (k < 3) | four
+            point[more] = (point[more] << 6) | (data[lead[more] + k] & 63)
+        size = 3 + four
+        alone, apart = _within(point, UNSPACED), _within(point, PUNCTUATION)
+        edge[lead[alone]] = edge[(lead + size)[alone]] = True
+        inside[ragged(lead[apart], size[apart])] = False
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | edge[1:-1]
     stops = inside.copy()
@@ -101,6 +123,11 @@ def split(texts: pa.Array, separators: np.ndarray = WHITE) -> Words:
     return Words(data, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets))
 
 
+def _within(values: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(ranges[:, 0], values, side="right") - 1
+    return (at >= 0) & (values <= ranges[np.maximum(at, 0), 1])
+
+
 def hashes(words: Words) -> np.ndarray:
     """A 64-bit hash per word, from its bytes, eight at a time."""
     lengths = words.ends - words.starts

@@ -242,6 +242,24 @@ def test_long_items_at_the_edit_limit():
         assert n > 250 or all(edits == least_edits(items[k], docs[d].split()) for d, k, edits, _, _ in found)
 
 
+def test_short_items_and_unspaced_scripts():
+    items = ["Photosynthesis requires chlorophyll!", "word0x0", "東京の夏はとても暑くて湿度が高いです。", "ประเทศไทยมีประชากรจำนวนมาก", "𠀀𠀁𠀂𠀃𠀄𠀅", "東京"]
+    docs = [
+        "they say photosynthesis, requires: chlorophyll and word0x0",
+        "photosynthesis never requires chlorophyll",
+        "去年聞いた話では「東京の夏はとても暑くて、湿度が高いです」とのこと",
+        "東京の冬はとても寒くて湿度が高いです",
+        "東京の冬はとても暑くて湿度が低いです",
+        "คนรู้ว่าประเทศไทยมีประชากรจำนวนมากจริง",
+        "x𠀀𠀁𠀂𠀃𠀄𠀅y 東京",
+        None,
+    ]
+    searched = decontaminate.Items(list(range(len(items))), items)
+    found = [(x[0], searched.ids[x[1]], *x[2:]) for x in searched.meet(pa.array(docs))]
+    assert [x[:3] for x in found] == [(0, 0, 0), (2, 2, 0), (3, 2, 2), (4, 2, 2), (5, 3, 0), (6, 4, 0)]
+    assert [x[3:] for x in found if x[0] in (0, 6)] == [(2, 3), (1, 6)]
+
+
 def test_leaks_of_odd_rows(workers, odd_docs, no_docs, monkeypatch):
     items = workers.createDataFrame([(1, PASSAGE), (1, PASSAGE), (None, PASSAGE), (2, None), (3, ""), (4, "x"), (5, "word0x0")], "item_id long, text string")
     monkeypatch.setattr(decontaminate, "PASS_ITEMS", 2)
