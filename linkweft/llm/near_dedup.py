@@ -18,8 +18,9 @@ Bands of the signatures are joined in Spark:
     different components, in blocks of bounded size, and the components are taken again.
 
 So every pair of different texts that shares a bucket is either compared or in one class
-already, and no task takes more of a bucket than a block.  Rows grow with the buckets'
-sizes, not with their pairs.  With 24 bands of 5 coordinates a pair at similarity 0.8, be
+already, and no task takes more of a bucket than a block.  Rows of step 2 grow with the
+buckets' sizes; those of step 3 with nodes times nodes outside the largest component,
+divided by the blocks.  With 24 bands of 5 coordinates a pair at similarity 0.8, be
 it the weighted or the plain one, shares a bucket with probability 0.9999.
 """
 
