@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from linkweft.llm import chat, html_text, quality_nbsvm, quality_rules, toxicity, warc
+from linkweft.llm import chat, html_text, quality_nbsvm, quality_rules, token_alignment, toxicity, warc
 from linkweft.llm.decontaminate import find_leaks
 from linkweft.llm.frames import ship, table, unseen
+from linkweft.llm.jaccard_join import jaccard_components
 from linkweft.llm.near_dedup import near_duplicates
 from linkweft.llm.packing import pack_documents
+from linkweft.llm.phrases import collocations
 from linkweft.llm.substring import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,4 +147,72 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query(
+    "op11_ngram_jaccard",
+    r"""with recursive words as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+      from documents),
+    sets as (
+      select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda k : array_to_string(w[k:k + 4], ' ')))) end as s
+      from words),
+    classes as (select s, min(doc_id) as node, len(s) as n from sets where len(s) > 0 group by s),
+    shingles as (select node, n, unnest(s) as g from classes),
+    pairs as (
+      select a.node as x, b.node as y from shingles a join shingles b on a.g = b.g and a.node < b.node
+        and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+      group by a.node, b.node, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    edges as (select x, y from pairs union all select y, x from pairs),
+    reach(node, label) as (
+      select node, node from classes
+      union
+      select e.y, r.label from reach r join edges e on e.x = r.node where r.label < e.y),
+    least_label as (select node, min(label) as component_id from reach group by node)
+    select d.doc_id, len(d.s)::bigint as n_shingles, coalesce(l.component_id, d.doc_id) as component_id
+    from sets d left join classes c on c.s = d.s left join least_label l on l.node = c.node""",
+)
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.summary(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query(
+    "op13_phrase_collocations",
+    r"""with pieces as (
+      select doc_id, coalesce(lang, 'und') as lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+      from documents),
+    words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+    totals as (select lang, sum(len(w))::bigint as n from words group by lang),
+    grams as (
+      select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i : array_to_string(w[i:i + k - 1], ' '))) as g
+      from words, range(1, 5) as r(k) where len(w) >= k),
+    counted as (select lang, k, g, count(*) as f, string_split(g, ' ') as w from grams group by lang, k, g having count(*) >= 30),
+    candidates as (select * from counted where k > 1),
+    parts as (
+      select c.lang, c.f, array_to_string(c.w[i:i + m - 1], ' ') as part
+      from candidates c, range(2, 4) as s(m), range(1, 4) as p(i) where m < c.k and i <= c.k - m + 1),
+    covered as (select lang, part, max(f) as f from parts group by lang, part),
+    cuts as (
+      select c.lang, c.g, c.f as a, j, l.f as l, r.f as r, (2000000::hugeint * c.f) // (l.f + r.f) as score
+      from candidates c, range(1, 4) as s(j), counted l, counted r
+      where j < c.k and l.lang = c.lang and l.g = array_to_string(c.w[1:j], ' ') and r.lang = c.lang and r.g = array_to_string(c.w[j + 1:], ' ')),
+    lowest as (select *, row_number() over (partition by lang, g order by score, j) as cut_no from cuts),
+    kept as (
+      select x.* from lowest x left join covered v on v.lang = x.lang and v.part = x.g
+      where cut_no = 1 and (v.f is null or 100 * v.f < 80 * x.a)),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(g)) as rank from kept)
+    select lang, rank, g as phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000""",
+)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
