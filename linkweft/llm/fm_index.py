@@ -100,8 +100,11 @@ class Index:
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(values, dtype="<i4").tobytes())
+    """Whole numbers as bytes: the first bytes of all of them, then the second ones, and so on, compressed."""
+    data = np.ascontiguousarray(values, dtype="<i8").view(np.uint8).reshape(-1, 8)
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(data.T).tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype="<i4")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<i8")

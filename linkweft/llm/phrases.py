@@ -5,17 +5,17 @@
 2.  A shard becomes an FM-index over the numbers of its frequent words (`fm_index`); rare
     words and punctuation are breaks, as no phrase that is frequent holds a rare word.
 3.  Patterns are extended in each index by one word to the left, to the right, and to the
-    left again, with their counts, which are summed over the shards.  Only patterns whose
-    parts are frequent over all shards are extended: after each length the frequent ones
-    are joined back to the shards they occur in.
+    left again, with their counts.  The patterns of a length are dealt into buckets by a
+    hash, a packed list per shard and bucket; a bucket sums the counts over the shards and
+    tells each of them which of its patterns are frequent.  Only those are extended.
 
 Counts are exact: words are compared as strings, patterns by the numbers of their words.
-What a task holds is one shard: its text, dictionary and patterns.
+What a task holds is one shard, its text, dictionary and patterns, or one bucket, about
+BUCKET_GRAMS patterns of shards; a pattern has one entry per shard there, however frequent.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +36,9 @@ NO_LANG = "und"
 COVERED_PERCENT = 80
 SCORE_UNITS = 2_000_000
 
-# Rows of one Arrow batch that leaves a task.
-BATCH_ROWS = 100_000
+# Entries of a bucket, at most on average; parts in which a language is ranked first.
+BUCKET_GRAMS = 1_000_000
+RANK_PARTS = 16
 
 BREAKS = np.zeros(256, dtype=bool)
 BREAKS[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -47,8 +48,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 PARTS = ("w1", "w2", "w3", "w4")
-SHARDS = "shard string, lang string, words array<string>, counts array<long>, text binary"
-INDEXES = "shard string, symbols array<long>, forward binary, backward binary"
+SHARDS = "lang string, words array<string>, counts array<long>, text binary"
+LISTS = "bucket long, shard long, symbols binary, n binary"
+SUMS = "shard long, grams binary, n binary, occurrences long"
+INDEXES = "shard long, symbols array<long>, forward binary, backward binary"
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST_COUNT, per_lang: int = PER_LANG, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -61,7 +64,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     occurrences, the result is empty.  Further columns of `docs` are not read.
     """
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    shards = written(rows.mapInArrow(_shards(shard_words), SHARDS), "phrase-shards")
+    shards = rows.mapInArrow(_shards(shard_words), SHARDS).withColumn("shard", F.monotonically_increasing_id())
+    shards = written(shards, "phrase-shards")
     words, totals, grams = frequent_grams(shards, least)
     return ranked(words, totals, scored(words, grams), per_lang)
 
@@ -78,14 +82,19 @@ def frequent_grams(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame,
     indexes = written(shards.select("shard", "text").join(known, "shard").mapInArrow(_indexes, INDEXES), "phrase-indexes")
 
     grams: dict[int, DataFrame] = {}
-    alive = None
+    alive, occurrences = None, totals.agg(F.sum("n")).first()[0] or 0
     for length in range(2, DEPTH + 1):
-        parts = list(PARTS[:length])
-        schema = f"shard string, {', '.join(f'{w} long' for w in parts)}, n long"
+        buckets = max(1, -(-occurrences // BUCKET_GRAMS))
         source = indexes if alive is None else indexes.join(alive, "shard")
-        found = written(source.mapInArrow(_extended(length), schema), f"phrase-{length}-grams")
-        grams[length] = written(found.groupBy(*parts).agg(F.sum("n").alias("f")).where(F.col("f") >= least), f"phrase-frequent-{length}-grams")
-        alive = found.join(grams[length].select(*parts), parts, "left_semi").groupBy("shard").agg(*[F.collect_list(w).alias(w) for w in parts])
+        lists = source.mapInArrow(_extended(length, buckets), LISTS)
+        sums = written(lists.groupBy("bucket").applyInArrow(_summed(length, least), SUMS), f"phrase-{length}-grams")
+        parts = PARTS[:length]
+        totals_of = sums.where("shard is null").select("grams", "n")
+        grams[length] = written(totals_of.mapInArrow(_rows_of(length), f"{', '.join(f'{w} long' for w in parts)}, f long"), f"phrase-frequent-{length}-grams")
+        here = sums.where("shard is not null")
+        alive = here.groupBy("shard").agg(F.collect_list("grams").alias("alive"))
+        # a pattern has at most as many extensions as it has occurrences
+        occurrences = here.agg(F.sum("occurrences")).first()[0] or 0
     return words, totals, grams
 
 
@@ -136,8 +145,11 @@ def ranked(words: DataFrame, totals: DataFrame, phrases: DataFrame, per_lang: in
         names = words.select(F.col("id").alias(w), F.col("word").alias(f"{w}_word"), *([F.col("lang")] if w == "w1" else []))
         spelled = spelled.join(names, w, "inner" if w in PARTS[:2] else "left")
     spelled = spelled.withColumn("phrase", F.concat_ws(" ", *[f"{w}_word" for w in PARTS]))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    top = spelled.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
+    best_first = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # each part of a language hands on its best, so one task gets RANK_PARTS * per_lang rows at most
+    part = Window.partitionBy("lang", F.pmod(F.hash("phrase"), F.lit(RANK_PARTS))).orderBy(*best_first)
+    spelled = spelled.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= per_lang)
+    top = spelled.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best_first))).where(F.col("rank") <= per_lang)
     return top.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
@@ -181,8 +193,8 @@ class _Shard:
         names = coded.dictionary.cast(pa.large_string()).cast(pa.string())
         counts = np.bincount(number, minlength=len(names))
         one = pa.array([0, len(names)], pa.int32())
-        columns = [pa.array([uuid.uuid4().hex]), pa.array([lang]), pa.ListArray.from_arrays(one, names), pa.ListArray.from_arrays(one, pa.array(counts)), pa.array([packed(text)], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "words", "counts", "text"])
+        columns = [pa.array([lang]), pa.ListArray.from_arrays(one, names), pa.ListArray.from_arrays(one, pa.array(counts)), pa.array([packed(text)], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "words", "counts", "text"])
 
 
 def _shards(limit: int):
@@ -240,8 +252,13 @@ def _keys(symbols: np.ndarray, base: int) -> np.ndarray:
     return key
 
 
-def _extended(length: int):
-    """Patterns of `length` words of each index, made from the frequent ones that are a word shorter."""
+def _unpacked_grams(data: bytes, length: int) -> np.ndarray:
+    """One row of word numbers per pattern; they are packed column by column."""
+    return unpacked(data).reshape(length, -1).T
+
+
+def _extended(length: int, buckets: int):
+    """Lists of patterns of `length` words per bucket, made from the frequent ones that are a word shorter."""
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,18 +269,67 @@ def _extended(length: int):
                     found = index.left(index.words())
                 else:
                     order = np.argsort(ids)
-                    alive = np.column_stack([order[np.searchsorted(ids, batch.column(w)[d].values.to_numpy(), sorter=order)] + 1 for w in PARTS[: length - 1]])
-                    found = _longer(index, alive, len(ids) + 1)
-                names = ["shard", *PARTS[:length], "n"]
-                for at in range(0, len(found.size), BATCH_ROWS):
-                    to = min(at + BATCH_ROWS, len(found.size))
-                    shard = pa.repeat(batch.column("shard")[d], to - at)
-                    columns = [pa.array(ids[found.symbols[at:to, k] - 1]) for k in range(length)]
-                    yield pa.RecordBatch.from_arrays([shard, *columns, pa.array(found.size[at:to])], names)
+                    known = np.concatenate([_unpacked_grams(x, length - 1) for x in batch.column("alive")[d].as_py()])
+                    found = _longer(index, order[np.searchsorted(ids, known, sorter=order)] + 1, len(ids) + 1)
+                grams = ids[found.symbols - 1]
+                bucket = np.zeros(len(grams), dtype=np.uint64)
+                for k in range(length):
+                    bucket = W.mix(bucket ^ grams[:, k].astype(np.uint64) + np.uint64(k + 1))
+                bucket = (bucket % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((*grams.T[::-1], bucket))
+                grams, size, bucket = grams[order], found.size[order], bucket[order]
+                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else [0]
+                spans = list(zip(edges[:-1], edges[1:]))
+                columns = [
+                    pa.array(bucket[edges[:-1]], pa.int64()),
+                    pa.repeat(batch.column("shard")[d], len(spans)),
+                    pa.array([packed(grams[a:b].T) for a, b in spans], pa.binary()),
+                    pa.array([packed(size[a:b]) for a, b in spans], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "shard", "symbols", "n"])
 
     return extended
 
 
+def _summed(length: int, least: int):
+    """The frequent patterns of a bucket with their counts, and for each shard those it has."""
+
+    def summed(lists: pa.Table) -> pa.Table:
+        shards = lists.column("shard").to_numpy()
+        parts = [_unpacked_grams(x, length) for x in lists.column("symbols").to_pylist()]
+        grams, counts = np.concatenate(parts), np.concatenate([unpacked(x) for x in lists.column("n").to_pylist()])
+        ends = np.cumsum([len(x) for x in parts])
+        order = np.lexsort(grams.T[::-1])
+        grams = grams[order]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (grams[1:] != grams[:-1]).any(axis=1)
+        at = np.flatnonzero(new)
+        total = np.add.reduceat(counts[order], at)
+        frequent = total >= least
+        alive = np.zeros(len(order), dtype=bool)
+        alive[order] = frequent[np.cumsum(new) - 1]
+        rows = [(None, packed(grams[at[frequent]].T), packed(total[frequent]), None)] if frequent.any() else []
+        for shard, part, to in zip(shards.tolist(), parts, ends):
+            kept = alive[to - len(part) : to]
+            if kept.any():
+                rows.append((shard, packed(part[kept].T), None, int(counts[to - len(part) : to][kept].sum())))
+        kinds = {"shard": pa.int64(), "grams": pa.binary(), "n": pa.binary(), "occurrences": pa.int64()}
+        return pa.table({name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(kinds.items())})
+
+    return summed
+
+
+def _rows_of(length: int):
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d in range(batch.num_rows):
+                grams = _unpacked_grams(batch.column("grams")[d].as_py(), length)
+                columns = [pa.array(np.ascontiguousarray(grams[:, k])) for k in range(length)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(unpacked(batch.column("n")[d].as_py()))], [*PARTS[:length], "f"])
+
+    return rows_of
+
+
 def _longer(index: Index, alive: np.ndarray, base: int) -> Grams:
     """One-word extensions of the patterns `alive`, whose other part of that length is alive, too."""
     keys = np.unique(_keys(alive, base))
