@@ -4,11 +4,13 @@ A page is moved once, to the task which holds its `page_id`; tokens are exploded
 there, and every window below is within one page, so nothing is shuffled again.
 Pages are the unit of work: the tree of one page is as long as its text.
 
-Start and end tags are paired one by one.  A stray end tag is passed over.  A container
-without its end (`div`, `article`) reaches to the end of the element around it; any other
-unclosed tag (`br`, a `p` without end) is a leaf, and text after it belongs to the element
-around it.  `html`, `head` and `body` never nest, so that a truncated page has the same
-paths as a whole one.
+Start and end tags are paired one by one.  A stray end tag is passed over.  Elements that
+HTML lets go without their end (`p`, `li`, `td`) end where a start tag that cannot be inside
+them comes next to them (`ENDED_BY`), or with the element around them.  A container without
+its end (`div`, `article`) reaches to the end of the element around it; any other unclosed
+tag (`br`, a `b` without end) is a leaf, and text after it belongs to the element around
+it.  `html`, `head` and `body` never nest, so that a truncated page has the same paths as a
+whole one.
 """
 
 from __future__ import annotations
@@ -36,8 +38,32 @@ VOID_TAGS = (
 # Containers which, left open, reach to the end of the element around them.
 CONTAINERS = (
     "article", "aside", "div", "footer", "form", "header", "main", "nav", "ol", "section",
-    "table", "tbody", "ul",
+    "table", "ul",
 )
+# Elements whose end tag may be left out, and the start tags that end them (the
+# optional tags of HTML).  What ends a group also ends the groups listed after it, which can
+# be inside its elements.
+_ENDS = (
+    (("tbody", "tfoot", "thead"), ("tbody", "tfoot", "thead")),
+    (("tr",), ("tr",)),
+    (("td", "th"), ("td", "th")),
+    (("dd", "dt", "li"), ("dd", "dt", "li")),
+    (("optgroup",), ("optgroup",)),
+    (("option",), ("option",)),
+    (
+        ("p",),
+        (
+            "address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div",
+            "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5",
+            "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search",
+            "section", "summary", "table", "ul",
+        ),
+    ),
+)
+ENDED_BY = {
+    group: sorted({tag for _, own in _ENDS[: at + 1] for tag in own})
+    for at, (group, _) in enumerate(_ENDS)
+}
 # Steps a path may name although the tree lacks the element.
 OPTIONAL_STEPS = (*FRAME_TAGS, "tbody")
 
@@ -67,15 +93,14 @@ def page_structure(
     )
     if "source" not in extra:
         found = found.drop("source")
-    found = _paired(found)
-    in_order = Window.partitionBy("page_id").orderBy("piece_no", "part")
+    found = _with_implied_ends(_paired(found))
+    in_order = Window.partitionBy("page_id").orderBy(*PLACE)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    step = F.when(F.col("nests"), F.when(F.col("kind") == "stag", 1).otherwise(-1)).otherwise(0)
-    found = found.withColumn("level", F.sum(step).over(so_far))
+    found = found.withColumn("level", F.sum(_level_step()).over(so_far))
     # containers left open are closed by the end of the element around them
     left_open = F.col("unclosed") & F.col("tag").isin(*CONTAINERS)
     ends = F.col("nests") & (F.col("kind") == "etag")
-    at_level = Window.partitionBy("page_id", "around").orderBy("piece_no", "part")
+    at_level = Window.partitionBy("page_id", "around").orderBy(*PLACE)
     opened = F.count_if(F.col("left_open")).over(at_level.rowsBetween(Window.unboundedPreceding, 0))
     closed = F.max(F.when(ends, F.col("opened"))).over(at_level.rowsBetween(Window.unboundedPreceding, -1))
     found = (
@@ -94,7 +119,6 @@ def page_structure(
         found.withColumns(
             {
                 "level": F.sum(step).over(so_far).cast("int"),
-                "node_id": (F.row_number().over(in_order) - 1).cast("int"),
                 "seq": F.count_if(F.col("kind") != "etag").over(so_far).cast("int"),
                 "after_tag": F.lag(open_tag).over(in_order),
             }
@@ -116,6 +140,68 @@ def page_structure(
     )
 
 
+# The order of the tokens of a page; implied ends have a lower last item than the tag they precede.
+PLACE = ("piece_no", "part", "after")
+
+
+def _level_step() -> Column:
+    return F.when(F.col("nests"), F.when(F.col("kind") == "stag", 1).otherwise(-1)).otherwise(0)
+
+
+def _with_implied_ends(tokens: DataFrame) -> DataFrame:
+    """Add `node_id`, `after`, and end tags where an unclosed element of `ENDED_BY` ends.
+
+    Start tags next to each other, and the end of the element around them, are the rows of
+    one level.  An unclosed element ends at the first of these after it that is the end of
+    the level, or a start tag that ends it; without one it reaches to the end of the page.
+    """
+    in_order = Window.partitionBy("page_id").orderBy("piece_no", "part")
+    start, end = F.col("kind") == "stag", F.col("kind") == "etag"
+    ends_level = end & (F.col("nests") | F.col("tag").isin(*FRAME_TAGS))
+    level = (
+        F.when(start, F.col("_level") - F.col("nests").cast("int"))
+        .when(end & F.col("nests"), F.col("_level") + 1)
+        .when(ends_level, F.col("_level"))
+    )
+    later = (
+        Window.partitionBy("page_id", "_at")
+        .orderBy(F.desc("piece_no"), F.desc("part"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    place = F.struct("piece_no", "part")
+    ends = F.lit(None)
+    implied = F.lit(False)
+    for group, enders in ENDED_BY.items():
+        own = F.col("unclosed") & F.col("tag").isin(*group)
+        ender = F.when(ends_level | (start & F.col("tag").isin(*enders)), place)
+        ends = F.when(own, F.last(ender, ignorenulls=True).over(later)).otherwise(ends)
+        implied = implied | own
+    found = (
+        tokens.withColumn("_level", F.sum(_level_step()).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("node_id", (F.row_number().over(in_order) - 1).cast("int"))
+        .withColumn("_at", level)
+        .withColumns({"_end": ends, "_implied": F.coalesce(implied, F.lit(False))})
+    )
+    own = F.struct("piece_no", "part", F.lit(1).alias("after"), "kind", "value")
+    end_tag = F.struct(
+        F.col("_end.piece_no").alias("piece_no"),
+        F.col("_end.part").alias("part"),
+        F.lit(0).alias("after"),
+        F.lit("etag").alias("kind"),
+        F.lit(None).cast("string").alias("value"),
+    )
+    rows = F.when(F.col("_end").isNotNull(), F.array(own, end_tag)).otherwise(F.array(own))
+    moved = ("piece_no", "part", "kind", "value")
+    kept = [c for c in tokens.columns if c not in (*moved, "nests", "unclosed")]
+    return found.select(
+        *kept,
+        "node_id",
+        (F.col("nests") | F.col("_implied")).alias("nests"),
+        (F.col("unclosed") & ~F.col("_implied")).alias("unclosed"),
+        F.inline(rows),
+    )
+
+
 def _paired(tokens: DataFrame) -> DataFrame:
     """Add `nests`, whether a tag has its partner, and `unclosed`, whether a start tag has none.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from linkweft.operators.dom import ENDED_BY
+
 SPLIT = (
     r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?//(?:[^/?#]*@)?"
     r"(\[[0-9A-Fa-f:.]+\]|[^/?#:\[\]]*)(?::[^/?#]*)?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
@@ -164,6 +166,15 @@ LINKS = f"""
     from tags where name in ('a', 'area', 'link') and {attribute('tag', 'href')} is not null"""
 
 
+def _quoted(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+def _ended_by(tag: str, ender: str) -> str:
+    cases = [f"{tag} in ({_quoted(group)}) and {ender} in ({_quoted(ends)})" for group, ends in ENDED_BY.items()]
+    return f"({' or '.join(cases)})"
+
+
 def nodes(source: str = "pages", html: str = "html") -> str:
     """CTEs ending in `nodes`: (page_id, node_id, parent_id, kind, tag, text, source, nests,
     level, nth, path, own_path, after_tag); `path` of a text is that of its element."""
@@ -183,13 +194,28 @@ def nodes(source: str = "pages", html: str = "html") -> str:
     flagged as (
       select t.*, coalesce(c.nests, false) as nests
       from toks t left join paired c on c.page_id = t.page_id and c.pos = t.pos),
+    heights as (
+      select *, cast(sum(case when not nests then 0 when kind = 'stag' then 1 else -1 end)
+        over (partition by page_id order by pos) as int) as height from flagged),
+    beside as (
+      select *, case when kind = 'stag' then height - cast(nests as int) when kind = 'etag' and nests then height + 1
+        when kind = 'etag' and value in ('html', 'head', 'body') then height end as at from heights),
+    implied as (
+      select x.page_id, x.pos, x.value, min(e.pos) as end_pos
+      from beside x left join beside e on e.page_id = x.page_id and e.at = x.at and e.pos > x.pos
+        and (e.kind = 'etag' or {_ended_by("x.value", "e.value")})
+      where x.kind = 'stag' and not x.nests and x.value in ({_quoted(t for g in ENDED_BY for t in g)}) group by all),
+    evented as (
+      select t.page_id, t.pos, 1 as after, t.kind, t.value, t.source, t.nests or i.pos is not null as nests
+      from flagged t left join implied i on i.page_id = t.page_id and i.pos = t.pos
+      union all select page_id, end_pos, 0, 'etag', value, '', true from implied where end_pos is not null),
     levelled as (
       select *, cast(sum(case when not nests then 0 when kind = 'stag' then 1 else -1 end)
-          over (partition by page_id order by pos) as int) as level,
+          over (partition by page_id order by pos, after) as int) as level,
         lag(case when kind = 'stag' and not nests and value not in ('html', 'head', 'body', 'area', 'base',
           'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'source', 'track', 'wbr') then value end)
-          over (partition by page_id order by pos) as before
-      from flagged),
+          over (partition by page_id order by pos, after) as before
+      from evented),
     plain as (
       select page_id, pos as node_id, case kind when 'stag' then 'element' else 'text' end as kind,
         case kind when 'stag' then value end as tag, case kind when 'value' then value end as text,
