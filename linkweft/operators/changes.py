@@ -18,6 +18,7 @@ from linkweft.functions.url import (
     url_host,
 )
 from linkweft.operators.lookups import first_sites
+from linkweft.plans.session import written
 from linkweft.plans.skew import HOT_ROWS, number_rows, skew_lookup
 from linkweft.sources.schema import NO_TEXT, conform
 
@@ -144,17 +145,16 @@ def apply_fetch(
     content, plus `captured_html` and `original_id`.
 
     Site by host, type by ending and hash, status 200.  The content to store is
-    `captured_html`, or nothing for a binary page.
+    `captured_html`, or nothing for a binary page.  The hashes are written first, below the
+    shared folder, as they count twice.
     """
-    # the site is looked up before the content joins, so hosts are counted on keys only
+    # all is decided on keys and hashes; the content joins last, so it moves once
     hosts = page.select("id", "url", url_host(F.col("url")).alias("domain"))
     placed = skew_lookup(hosts, first_sites(site), "domain", ["id"], hot_rows=hot_rows)
-    fetched = (
-        placed.select("id", "url", "site_id")
-        .join(captures.select("url", F.col("html").alias("captured_html")), "url")
-        .withColumn("hash_code", content_hash(F.col("captured_html")))
-    )
-    classed = seen_hashes(fetched, settled, hot_rows)
+    hashes = captures.select("url", content_hash(F.col("html")).alias("hash_code"))
+    keys = written(placed.select("id", "url", "site_id").join(hashes, "url"), "fetch-keys")
+    classed = seen_hashes(keys, settled, hot_rows)
+    classed = classed.join(captures.select("url", F.col("html").alias("captured_html")), "url")
     kind = page_class(F.col("url"), F.col("seen_before"))
     return classed.select(
         "id",

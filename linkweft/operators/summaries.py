@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweft.functions.url import url_host
-from linkweft.plans.skew import CHUNK_IDS, number_rows
+from linkweft.plans.skew import number_rows
 from linkweft.sources.schema import Store, is_waiting
 
 def frontier_length(page: DataFrame) -> DataFrame:
@@ -63,14 +63,14 @@ def next_per_host(available: DataFrame) -> DataFrame:
     )
 
 
-def fetch_schedule(available: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+def fetch_schedule(available: DataFrame, parts: int | None = None) -> DataFrame:
     """(id, url, host, start_at): earliest second each row may be fetched.
 
     `available` has (id, url, delay); rows of one host keep `delay` seconds apart
     in id order.
     """
     rows = available.select("id", "url", url_host(F.col("url")).alias("host"), "delay")
-    turns = number_rows(rows, "id", within=["host"], out="turn", chunk_ids=chunk_ids)
+    turns = number_rows(rows, "id", within=["host"], out="turn", parts=parts)
     return turns.select(
         "id", "url", "host", ((F.col("turn") - 1) * F.col("delay")).cast("long").alias("start_at")
     )

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the plans of this package count on.  All are defaults or
 # safe to set per session; nothing here depends on the cluster size.
@@ -67,3 +67,10 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder."""
     return f"{shared_dir(spark)}/linkweft/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of `df` written as Parquet below the shared folder, and read from there."""
+    folder = work_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from linkweft.plans.session import written
+
 # A key is hot from this many rows on.  A table of N rows has at most
 # N / HOT_ROWS hot keys, which bounds what `skew_lookup` broadcasts: of each hot key
 # a 64-bit hash and a number, so 10^12 rows give at most 10^6 rows of 12 bytes.
 HOT_ROWS = 1_000_000
 
-# Ids numbered by one task in `number_rows`.
-CHUNK_IDS = 1_000_000
-
 
 def key_rows(df: DataFrame, on: str, count_col: str = "_n") -> DataFrame:
     """One row per key with its number of rows (combined before the shuffle)."""
@@ -84,42 +83,36 @@ def number_rows(
     within: Sequence[str] = (),
     out: str = "row_no",
     base: Column | int = 0,
-    chunk_ids: int = CHUNK_IDS,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Number rows 1, 2, ... in order of the integer column `by`, then `ties`.
+    """Number rows 1, 2, ... in order of `by`, then `ties`.
 
     The same as `row_number() over (partition by within order by by, ties)`, but
-    no task sorts a whole group: rows are numbered inside fixed ranges of `by`,
-    and the rows of all lower ranges are added as an offset.  Only the row counts
-    per range meet in one window.
+    no task sorts a whole group, and neither equal groups nor equal values of `by` meet in
+    one task: rows are dealt into `parts` ranges of (within, by, ties), as many as the
+    session shuffles to unless given, which sampling makes about even; the rows of all
+    lower ranges are added as an offset.  The sorted rows are written below the shared
+    folder, since their places count twice.  Only row counts per range (and group) meet
+    in one window.
     """
-    chunk = F.floor(F.col(by) / F.lit(chunk_ids)).cast("long")
-    keys = [*within, "_chunk"]
-    df = df.withColumn("_chunk", chunk)
+    order = [*within, by, *ties]
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = written(placed.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    # the upper bits of a place are the number of its range
+    placed = placed.withColumn("_range", F.shiftright("_place", 33))
+    keys = [*within, "_range"]
+    lower = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(
-            "_before",
-            F.coalesce(
-                F.sum("_rows").over(
-                    Window.partitionBy(*within)
-                    .orderBy("_chunk")
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
+        placed.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(lower), F.lit(0)))
         .drop("_rows")
     )
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(by, *ties))
     same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+    number = F.col("_place") - F.col("_first") + 1 + F.col("_before") + base
     return (
-        df.withColumn("_inside", inside)
-        .alias("n")
+        placed.alias("n")
         .join(offsets.alias("o"), same)
-        .select(
-            *[F.col(f"n.{c}") for c in df.columns if c != "_chunk"],
-            (F.col("_inside") + F.col("_before") + base).cast("long").alias(out),
-        )
+        .select(*[F.col(f"n.{c}") for c in df.columns], number.cast("long").alias(out))
     )

@@ -38,9 +38,9 @@ def test_number_rows_equals_row_number(spark):
     expected = left.withColumn(
         "row_no", F.row_number().over(Window.partitionBy("k").orderBy("id")).cast("long")
     )
-    numbered = skew.number_rows(left, "id", within=["k"], chunk_ids=37)
+    numbered = skew.number_rows(left, "id", within=["k"], parts=7)
     assert rows(numbered.select(expected.columns)) == rows(expected)
-    whole = skew.number_rows(left, "id", base=10, chunk_ids=100).agg(F.min("row_no"), F.max("row_no"))
+    whole = skew.number_rows(left, "id", base=10, parts=5).agg(F.min("row_no"), F.max("row_no"))
     assert rows(whole) == [(11, 1010)]
 
 
@@ -182,7 +182,7 @@ def test_schedule_of_a_hot_host(spark):
     frontier = spark.range(50).select(
         "id", F.concat(F.lit("http://h.si/"), "id").alias("url"), F.lit(3).alias("delay")
     )
-    found = summaries.fetch_schedule(frontier, chunk_ids=7)
+    found = summaries.fetch_schedule(frontier, parts=7)
     assert rows(found.select("id", "start_at")) == sorted([(i, 3 * i) for i in range(50)], key=repr)
 
 
