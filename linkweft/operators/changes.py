@@ -1,7 +1,7 @@
 """Set-based changes of crawl tables.
 
 Each operator returns rows to append, or a new version of the rows it was given;
-nothing is written here.
+nothing is written to a store here.
 """
 
 from __future__ import annotations

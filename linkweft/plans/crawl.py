@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweft.functions.robots import robots_valid
-from linkweft.functions.url import FALLBACK_URL, SCOPE
+from linkweft.functions.url import FALLBACK_URL, SCOPE, url_host
 from linkweft.operators import changes, dom, records
 from linkweft.operators.lookups import frontier_available, url_to_page
 from linkweft.operators.pages import page_images, page_links
@@ -23,7 +23,7 @@ from linkweft.operators.template import page_template
 from linkweft.plans.skew import HOT_ROWS
 from linkweft.plans.session import work_dir
 from linkweft.sources.schema import Store, conform, is_waiting
-from linkweft.sources.store import read_store, rounds, save_round, seed_store
+from linkweft.sources.store import COMPACT_ROUNDS, NUMBERED, compact_store, read_store, rounds, save_round, seed_store, state
 
 FORBIDDEN, UNREACHED = 403, 404
 
@@ -73,7 +73,19 @@ def valid_robots(robots: DataFrame) -> DataFrame:
     )
 
 
-def crawl_round(
+def crawl_round(store: Store, captures: DataFrame, now: Column, **options) -> Store:
+    """`crawl_changes` with the whole new frontier in `page` and all sites in `site`."""
+    delta = crawl_changes(store, captures, now, **options)
+    left_over = store["page"].where(is_waiting()).join(delta["page"].select("id"), "id", "left_anti")
+    return {**delta, "page": delta["page"].unionByName(left_over), "site": upserted(store["site"], delta["site"])}
+
+
+def upserted(rows: DataFrame, changes: DataFrame) -> DataFrame:
+    """Rows with the changed ones in place of those of the same id."""
+    return rows.join(changes.select("id"), "id", "left_anti").select(*changes.columns).unionByName(changes)
+
+
+def crawl_changes(
     store: Store,
     captures: DataFrame,
     now: Column,
@@ -87,12 +99,14 @@ def crawl_round(
     one_per_host: bool = False,
     hot_rows: int = HOT_ROWS,
     stage: Stage | None = None,
+    bases: dict[str, int] | None = None,
 ) -> Store:
-    """One turn for every page of the frontier; returns the rows of the round.
+    """One turn for every page of the frontier; returns the rows that change.
 
     `captures` has (url, html), one row per URL.  In the result `page` holds the
-    rows that left the frontier and the whole new frontier, `site` all sites, and
-    `link`, `image`, `page_data` the new rows.  `keep_unreached` leaves pages
+    rows that left the frontier and those new in it, `site` new and changed sites, and
+    `link`, `image`, `page_data` the new rows.  `bases` has the highest id of each table
+    where the caller knows it, else it is looked up.  `keep_unreached` leaves pages
     without capture in the frontier, as a stream of captures needs it; then only the
     frontier rows that have a capture are looked at.  Rows whose URL is in `in_flight`,
     or whose host (or its address by `host_ip`) is in `busy`, wait for the next round;
@@ -104,6 +118,7 @@ def crawl_round(
     unless it says otherwise, so that no result computes them again.
     """
     page, site = store["page"], store["site"]
+    bases = bases or {}
     stage = stage or written_stage(page.sparkSession, work_dir(page.sparkSession, "stage"))
     waiting = is_waiting()
     frontier, settled = page.where(waiting), page.where(~waiting)
@@ -118,13 +133,17 @@ def crawl_round(
         taken = taken.select(*frontier.columns)
     if robots is not None:
         hosts = taken.select("url", F.col("id").alias("seen_at"))
-        known = site.unionByName(changes.add_site(hosts, site))
-        site = stage("robots", changes.set_site_robots(known, valid_robots(robots)))
+        known = site.unionByName(changes.add_site(hosts, site, bases.get("site")))
+        named = stage("named_sites", known.join(hosts.select(url_host(F.col("url")).alias("domain")).distinct(), "domain", "left_semi"))
+        changed = stage("robots", changes.set_site_robots(conform(named, "site"), valid_robots(robots)))
+        site = upserted(site, changed)
     outcomes = stage("outcomes", frontier_outcomes(taken, site, captures, hot_rows))
 
     to_fetch = outcomes.where(F.col("status") == 200)
     found_hosts = to_fetch.select("url", F.col("id").alias("seen_at"))
-    sites = stage("sites", site.unionByName(changes.add_site(found_hosts, site)))
+    site_base = bases.get("site") if robots is None else None
+    new_sites = stage("sites", changes.add_site(found_hosts, site, site_base))
+    sites = site.unionByName(new_sites)
     fetched = stage(
         "fetched", changes.apply_fetch(to_fetch, captures, sites, settled, now, hot_rows)
     )
@@ -135,9 +154,6 @@ def crawl_round(
     failed_pages = changes.set_page_status(
         taken.join(failed.select("id"), "id", "left_semi"), failed.select("url", "status")
     )
-    left_over = frontier.join(
-        fetched.select("id").unionByName(failed.select("id")), "id", "left_anti"
-    )
 
     # pages whose content is new are read for links and images
     fresh = fetched.where(F.col("page_type_code") != "DUPLICATE").select(
@@ -148,7 +164,7 @@ def crawl_round(
     found = links.join(referrer, "page_id").select(
         "url", F.col("page_id").alias("seen_at"), F.col("first_at").alias("tie"), "site_id"
     )
-    new_frontier = stage("new_frontier", changes.add_frontier(found, page, now))
+    new_frontier = stage("new_frontier", changes.add_frontier(found, page, now, bases.get("page")))
 
     known = page.select("id", "url").unionByName(new_frontier.select("id", "url"))
     edges = url_to_page(
@@ -162,14 +178,13 @@ def crawl_round(
     )
     stored_html = F.when(F.col("page_type_code") != "BINARY", F.col("captured_html"))
     return {
-        "site": sites,
+        "site": new_sites if robots is None else upserted(changed, new_sites),
         "page": conform(fetched.withColumn("html_content", stored_html), "page")
         .unionByName(conform(failed_pages, "page"))
-        .unionByName(left_over)
         .unionByName(new_frontier),
         "link": changes.add_link(edges.unionByName(copies), store["link"]),
-        "image": changes.add_image(page_images(fresh), store["image"], now),
-        "page_data": changes.add_page_data(fetched, store["page_data"]),
+        "image": changes.add_image(page_images(fresh), store["image"], now, bases.get("image")),
+        "page_data": changes.add_page_data(fetched, store["page_data"], bases.get("page_data")),
     }
 
 
@@ -191,6 +206,10 @@ def seed_crawl(spark: SparkSession, urls: DataFrame, now: Column) -> Store:
     return {**store, "page": changes.add_frontier(found, store["page"], now, base=0)}
 
 
+def highest_ids(marker: dict) -> dict[str, int]:
+    return {t: marker[f"top_{t}"] for t in NUMBERED}
+
+
 class Crawled(dict):
     """The tables of a crawl; `finished` tells whether its frontier is empty."""
 
@@ -220,19 +239,23 @@ def crawl_rounds(
         save_round(start, root, 0)
     first, number = rounds(spark, root)
     last = None if max_rounds is None else number + max_rounds
-    waiting, before = is_waiting(), None
+    before = None
     while True:
         store = Crawled(read_store(spark, root))
-        counts = store["page"].agg(
-            F.count_if(waiting).alias("frontier"), F.count_if(~waiting).alias("pages")
-        ).first()
-        store.finished = counts["frontier"] == 0
-        used_up = number == last or bool(page_budget and counts["pages"] >= page_budget)
+        known = state(spark, root)
+        counts = known["waiting"], known["settled"]
+        store.finished = counts[0] == 0
+        used_up = number == last or bool(page_budget and counts[1] >= page_budget)
         if store.finished or used_up or counts == before:
             return store
+        if number - known["base"] >= COMPACT_ROUNDS:
+            compact_store(spark, root)
+            number += 1
+            last = last and last + 1
+            store = Crawled(read_store(spark, root))
         before, number = counts, number + 1
         stage = written_stage(spark, f"{root}/stage/round={number}")
-        delta = crawl_round(store, captures, now, stage=stage, **options)
+        delta = crawl_changes(store, captures, now, stage=stage, bases=highest_ids(known), **options)
         save_round(delta, root, number, first)
 
 

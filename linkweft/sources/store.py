@@ -1,9 +1,12 @@
 """Reading and writing: crawl tables, saved pages, records, templates.
 
-A stored crawl is a folder with one parquet folder per table.  Settled rows never
-change, so a crawl round only appends `round=<n>` folders; the frontier and the
-site table, which do change, are small (no page content) and get a new full
-version per round, of which the last one counts.
+A stored crawl is a folder with one parquet folder per table, to which a round only
+appends a `round=<n>` folder.  Settled rows never change.  Of the frontier a round writes the
+rows that are new and the ids of those that left it, of the site table the new and changed
+rows, of which the latest counts; so what a round writes follows what it changes, not what
+is there.  The marker of a round, written last, keeps the highest ids and the numbers of
+rows, and the round from which these changes are to be read, `base`: `compact_store` writes
+frontier and sites as a whole and moves it.
 """
 
 from __future__ import annotations
@@ -27,8 +30,16 @@ from linkweft.sources.schema import (
 )
 
 
-# Columns of the marker of a round.
-MARKER = "first_round int, source string, batch long"
+# Columns of the marker of a round: where its store and its changes begin, the stream and
+# batch that made it, rows in the frontier, settled rows, and the highest ids.
+NUMBERED = ("page", "site", "image", "page_data")
+MARKER = (
+    "first_round int, base int, source string, batch long, waiting long, settled long, "
+    + ", ".join(f"top_{t} long" for t in NUMBERED)
+)
+
+# Rounds of changes after which writers of a store compact it.
+COMPACT_ROUNDS = 64
 
 
 def scan_pages(page: DataFrame) -> DataFrame:
@@ -135,27 +146,76 @@ def save_round(
     source: str | None = None,
     batch: int | None = None,
 ) -> None:
-    """Write the rows of one round; writing a round again replaces it.
+    """Write the changes of one round; writing a round again replaces it.
 
     A round that a stream made keeps the stream's id and the batch it took up.
 
-    `page` holds rows of every state: those still in the frontier make the new
-    frontier version, the others are settled and appended.  The round counts for
+    `page` holds changed rows of every state: those still in the frontier are new there, the
+    others are settled and leave it.  `site` holds new and changed sites.  With `first` the
+    round itself, a store begins anew and these are all its rows.  The round counts for
     readers once its marker is written, which is the last step.
     """
     spark = delta["page"].sparkSession
+    before = None if first == number else state(spark, root)
     waiting = is_waiting()
+    settled = delta["page"].where(~waiting)
+    left = settled.select("id", *[F.lit(None).cast(c.dataType).alias(c.name) for c in delta["page"].schema if c.name != "id"])
     parts = {
-        "page": delta["page"].where(~waiting),
-        "frontier": delta["page"].where(waiting),
+        "page": settled,
+        "frontier": delta["page"].where(waiting).withColumn("gone", F.lit(False)).unionByName(left.withColumn("gone", F.lit(True))),
         **{t: delta[t] for t in ("site", "page_data", "image", "link")},
     }
     for table, rows in parts.items():
         rows.write.mode("overwrite").parquet(f"{root}/{table}/round={number}")
-    marker = spark.createDataFrame([(first, source, batch)], MARKER).coalesce(1)
+
+    def highest(table: str) -> int:
+        return max(_round(spark, root, table, number).agg(F.max("id")).first()[0] or 0, before[f"top_{table}"] if before else 0)
+
+    came = ~F.col("gone")
+    known = F.col("id") <= (before["top_page"] if before else 0)
+    changes = _round(spark, root, "frontier", number).agg(
+        F.count_if(came).alias("came"), F.count_if(~came & known).alias("went"), F.count_if(~came).alias("settled"), F.max("id").alias("top")
+    ).first()
+    row = {
+        "first_round": first,
+        "base": before["base"] if before else number,
+        "source": source,
+        "batch": batch,
+        "waiting": (before["waiting"] if before else 0) + changes["came"] - changes["went"],
+        "settled": (before["settled"] if before else 0) + changes["settled"],
+        "top_page": max(changes["top"] or 0, before["top_page"] if before else 0),
+        **{f"top_{t}": highest(t) for t in NUMBERED if t != "page"},
+    }
+    _mark(spark, root, number, row)
+
+
+def _mark(spark: SparkSession, root: str, number: int, row: dict) -> None:
+    names = [c.split(" ")[0] for c in MARKER.split(", ")]
+    marker = spark.createDataFrame([tuple(row[n] for n in names)], MARKER).coalesce(1)
     marker.write.mode("overwrite").parquet(f"{root}/done/round={number}")
 
 
+def _round(spark: SparkSession, root: str, table: str, number: int) -> DataFrame:
+    """The rows that one round wrote to a table."""
+    columns = f"{COLUMNS['page']}, gone boolean" if table == "frontier" else COLUMNS[table]
+    return spark.read.schema(columns).parquet(f"{root}/{table}/round={number}")
+
+
+def compact_store(spark: SparkSession, root: str) -> None:
+    """Add a round which holds the frontier and the sites as a whole, so that readers begin there."""
+    first, last = rounds(spark, root)
+    store, before = read_store(spark, root), state(spark, root)
+    number = last + 1
+    whole = {
+        "frontier": store["page"].where(is_waiting()).withColumn("gone", F.lit(False)),
+        "site": store["site"],
+        **{t: store[t].where(F.lit(False)) for t in ("page", "page_data", "image", "link")},
+    }
+    for table, rows in whole.items():
+        rows.write.mode("overwrite").parquet(f"{root}/{table}/round={number}")
+    _mark(spark, root, number, {**before, "base": number, "source": None, "batch": None})
+
+
 def _markers(spark: SparkSession, root: str) -> DataFrame | None:
     """The markers of complete rounds, None where no round was ever written."""
     try:
@@ -175,6 +235,13 @@ def rounds(spark: SparkSession, root: str) -> tuple[int, int] | None:
     return None if row[1] is None else (row[0], row[1])
 
 
+def state(spark: SparkSession, root: str) -> dict | None:
+    """The marker of the last complete round."""
+    done = _markers(spark, root)
+    row = None if done is None else done.orderBy(F.desc("round")).first()
+    return None if row is None else {k: v for k, v in row.asDict().items() if k != "round"}
+
+
 def batch_is_done(spark: SparkSession, root: str, source: str, batch: int) -> bool:
     """Whether some complete round has taken up this batch of this stream."""
     done = _markers(spark, root)
@@ -185,17 +252,23 @@ def batch_is_done(spark: SparkSession, root: str, source: str, batch: int) -> bo
 def read_store(spark: SparkSession, root: str) -> Store:
     """The tables as of the last complete round."""
     first, last = rounds(spark, root)
+    base = state(spark, root)["base"]
 
     def appended(table: str) -> DataFrame:
         rows = spark.read.schema(f"{COLUMNS[table]}, round int").parquet(f"{root}/{table}")
         return rows.where(F.col("round").between(first, last)).drop("round")
 
-    def version(table: str, columns: str) -> DataFrame:
-        return spark.read.schema(COLUMNS[columns]).parquet(f"{root}/{table}/round={last}")
+    def changes(table: str, columns: str) -> DataFrame:
+        rows = spark.read.schema(f"{columns}, round int").parquet(f"{root}/{table}")
+        return rows.where(F.col("round").between(base, last))
 
+    frontier = changes("frontier", f"{COLUMNS['page']}, gone boolean")
+    waiting = frontier.where("not gone").join(frontier.where("gone").select("id"), "id", "left_anti")
+    latest = Window.partitionBy("id").orderBy(F.desc("round"))
+    site = changes("site", COLUMNS["site"]).withColumn("_version", F.row_number().over(latest))
     return {
         **{t: enum_table(spark, t) for t in ("data_type", "page_type")},
         **{t: appended(t) for t in ("page_data", "image", "link")},
-        "page": appended("page").unionByName(version("frontier", "page")),
-        "site": version("site", "site"),
+        "page": appended("page").unionByName(conform(waiting, "page")),
+        "site": conform(site.where("_version = 1"), "site"),
     }

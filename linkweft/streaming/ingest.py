@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from linkweft.functions.url import canonical_url
 from linkweft.operators import changes
-from linkweft.plans.crawl import crawl_round, written_stage
-from linkweft.sources.schema import Store, is_waiting
-from linkweft.sources.store import batch_is_done, read_store, rounds, save_round, seed_store
+from linkweft.operators.changes import next_id
+from linkweft.plans.crawl import crawl_changes, highest_ids, written_stage
+from linkweft.sources.schema import Store
+from linkweft.sources.store import COMPACT_ROUNDS, batch_is_done, compact_store, read_store, rounds, save_round, seed_store, state
 
 CAPTURE_COLUMNS = "page_id bigint, url string, html string"
 
@@ -27,13 +28,12 @@ def read_captures(
     )
 
 
-def queue_captures(store: Store, captures: DataFrame, now: Column) -> Store:
-    """Store whose frontier also holds the captured URLs it did not know."""
+def queued_captures(store: Store, captures: DataFrame, now: Column, base: int | None = None) -> DataFrame:
+    """Frontier rows of the captured URLs that the store does not know."""
     found = captures.select(
         "url", F.col("page_id").alias("seen_at"), F.lit(0).alias("tie"), F.lit(1).alias("site_id")
     )
-    new = changes.add_frontier(found, store["page"], now)
-    return {**store, "page": store["page"].unionByName(new)}
+    return changes.add_frontier(found, store["page"], now, base)
 
 
 def stream_id(spark: SparkSession) -> str:
@@ -60,16 +60,22 @@ def ingest_batch(root: str, now: Column, source: str | None = None, **options):
         if batch_is_done(spark, root, name, batch_id):
             return
         first, last = rounds(spark, root)
+        if last - state(spark, root)["base"] >= COMPACT_ROUNDS:
+            compact_store(spark, root)
+            last += 1
         number = last + 1
         store = read_store(spark, root)
         urls = batch.withColumn("url", canonical_url(F.col("url")))
         stage = written_stage(spark, f"{root}/stage/round={number}")
         captures = stage("captures", first_captures(urls))
-        queued = queue_captures(store, captures, now)
-        queued["page"] = stage("queued", queued["page"].where(is_waiting())).unionByName(
-            queued["page"].where(~is_waiting())
-        )
-        delta = crawl_round(queued, captures, now, keep_unreached=True, stage=stage, **options)
+        bases = highest_ids(state(spark, root))
+        queued = stage("queued", queued_captures(store, captures, now, bases["page"]))
+        bases["page"] = max(bases["page"], next_id(queued))
+        store["page"] = store["page"].unionByName(queued)
+        delta = crawl_changes(store, captures, now, keep_unreached=True, stage=stage, bases=bases, **options)
+        # captured URLs that this round did not take stay in the frontier
+        waiting = queued.join(delta["page"].select("id"), "id", "left_anti")
+        delta["page"] = delta["page"].unionByName(waiting.select(*delta["page"].columns))
         save_round(delta, root, number, first, name, batch_id)
 
     return run
