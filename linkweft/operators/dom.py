@@ -40,14 +40,15 @@ CONTAINERS = (
     "article", "aside", "div", "footer", "form", "header", "main", "nav", "ol", "section",
     "table", "ul",
 )
-# Elements whose end tag may be left out, and the start tags that end them (the
-# optional tags of HTML).  What ends a group also ends the groups listed after it, which can
-# be inside its elements.
+# Elements whose end tag may be left out, and the start tags next to them that
+# end them (the optional tags of HTML).  What ends a group also ends the groups listed after
+# it, which can be inside its elements; containers left open are ended by no more than that.
 _ENDS = (
     (("tbody", "tfoot", "thead"), ("tbody", "tfoot", "thead")),
     (("tr",), ("tr",)),
     (("td", "th"), ("td", "th")),
     (("dd", "dt", "li"), ("dd", "dt", "li")),
+    (CONTAINERS, ()),
     (("optgroup",), ("optgroup",)),
     (("option",), ("option",)),
     (
@@ -96,21 +97,6 @@ def page_structure(
     found = _with_implied_ends(_paired(found))
     in_order = Window.partitionBy("page_id").orderBy(*PLACE)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    found = found.withColumn("level", F.sum(_level_step()).over(so_far))
-    # containers left open are closed by the end of the element around them
-    left_open = F.col("unclosed") & F.col("tag").isin(*CONTAINERS)
-    ends = F.col("nests") & (F.col("kind") == "etag")
-    at_level = Window.partitionBy("page_id", "around").orderBy(*PLACE)
-    opened = F.count_if(F.col("left_open")).over(at_level.rowsBetween(Window.unboundedPreceding, 0))
-    closed = F.max(F.when(ends, F.col("opened"))).over(at_level.rowsBetween(Window.unboundedPreceding, -1))
-    found = (
-        found.withColumn("left_open", left_open)
-        .withColumn("around", F.col("level") + F.when(ends, 1).otherwise(0))
-        .withColumn("opened", opened)
-        .withColumn("closes", F.when(ends, F.col("opened") - F.coalesce(closed, F.lit(0))).otherwise(0))
-        .withColumn("nests", F.col("nests") | F.col("left_open"))
-    )
-    step = F.when(~F.col("nests"), 0).when(F.col("kind") == "stag", 1).otherwise(-1 - F.col("closes"))
     open_tag = F.when(
         (F.col("kind") == "stag") & ~F.col("nests") & ~F.col("tag").isin(*FRAME_TAGS, *VOID_TAGS),
         F.col("tag"),
@@ -118,7 +104,7 @@ def page_structure(
     return (
         found.withColumns(
             {
-                "level": F.sum(step).over(so_far).cast("int"),
+                "level": F.sum(_level_step()).over(so_far).cast("int"),
                 "seq": F.count_if(F.col("kind") != "etag").over(so_far).cast("int"),
                 "after_tag": F.lag(open_tag).over(in_order),
             }
@@ -149,11 +135,12 @@ def _level_step() -> Column:
 
 
 def _with_implied_ends(tokens: DataFrame) -> DataFrame:
-    """Add `node_id`, `after`, and end tags where an unclosed element of `ENDED_BY` ends.
+    """Add `node_id`, `after`, and the end tags that are left out.
 
     Start tags next to each other, and the end of the element around them, are the rows of
-    one level.  An unclosed element ends at the first of these after it that is the end of
-    the level, or a start tag that ends it; without one it reaches to the end of the page.
+    one level.  An unclosed element of `ENDED_BY` ends at the first of these after it that
+    is the end of the level, or a start tag that ends it; without one it reaches to the end
+    of the page.
     """
     in_order = Window.partitionBy("page_id").orderBy("piece_no", "part")
     start, end = F.col("kind") == "stag", F.col("kind") == "etag"
@@ -169,18 +156,23 @@ def _with_implied_ends(tokens: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     place = F.struct("piece_no", "part")
+    # a start tag ends the groups from its number on, the end of a level ends all
+    number, ended_from = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for at, (group, own) in reversed(list(enumerate(_ENDS))):
+        number = F.when(F.col("unclosed") & F.col("tag").isin(*group), at).otherwise(number)
+        if own:
+            ended_from = F.when(start & F.col("tag").isin(*own), at).otherwise(ended_from)
+    ended_from = F.when(ends_level, 0).otherwise(ended_from)
     ends = F.lit(None)
-    implied = F.lit(False)
-    for group, enders in ENDED_BY.items():
-        own = F.col("unclosed") & F.col("tag").isin(*group)
-        ender = F.when(ends_level | (start & F.col("tag").isin(*enders)), place)
-        ends = F.when(own, F.last(ender, ignorenulls=True).over(later)).otherwise(ends)
-        implied = implied | own
+    for at in range(len(_ENDS)):
+        ender = F.when(F.col("_ends_from") <= at, place)
+        ends = F.when(F.col("_number") == at, F.last(ender, ignorenulls=True).over(later)).otherwise(ends)
+    implied = F.col("_number").isNotNull()
     found = (
         tokens.withColumn("_level", F.sum(_level_step()).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("node_id", (F.row_number().over(in_order) - 1).cast("int"))
-        .withColumn("_at", level)
-        .withColumns({"_end": ends, "_implied": F.coalesce(implied, F.lit(False))})
+        .withColumns({"_at": level, "_number": number, "_ends_from": ended_from})
+        .withColumns({"_end": ends, "_implied": implied})
     )
     own = F.struct("piece_no", "part", F.lit(1).alias("after"), "kind", "value")
     end_tag = F.struct(
@@ -197,7 +189,6 @@ def _with_implied_ends(tokens: DataFrame) -> DataFrame:
         *kept,
         "node_id",
         (F.col("nests") | F.col("_implied")).alias("nests"),
-        (F.col("unclosed") & ~F.col("_implied")).alias("unclosed"),
         F.inline(rows),
     )
 

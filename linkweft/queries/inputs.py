@@ -244,6 +244,17 @@ select doc_id as page_id, 'Title ' || cast(doc_id as string) as title, 'On ' ||
 from {{documents}}
 """
 
+# paragraphs, list items and cells without their ends, with inline tags in them
+SQL["d_open_page"] = """
+select doc_id as page_id,
+  '<html><body><div><article><p>In ' || lang || ' <b>bold ' || cast(doc_id as string) || '</b> from ' || source
+  || '<p>second<ul><li>' || source || '<ul><li>inner</ul> on<li>last <i>i</i> item</ul>'
+  || '<table><tr><td>' || lang || '<td>' || cast(n_chars as string) || '<tr><td>x</table>'
+  || case doc_id % 3 when 0 then '<p>end' when 1 then 'end' else '<div><p>end' end
+  || '</article></div> after</body></html>' as html, lang, source, n_chars
+from {documents}
+"""
+
 # one book list per order
 BOOK_HTML = f"""
 '<li class="ie-custom-grid tw-relative"><div class="book-item-information tw-relative">'

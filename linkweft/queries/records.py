@@ -208,3 +208,27 @@ def dom_nodes(spark, sf):
 )
 def path_select(spark, sf):
     return D.path_select(table(spark, sf, "pages"), "//nav//li[2]/a/text()").drop("tag")
+
+
+# direct texts of elements that end without an end tag
+_OPEN_PATHS = {
+    "paragraphs": "//article/p/text()",
+    "items": "//article/ul/li/text()",
+    "cells": "//article/table/tr/td/text()",
+    "others": "//article/text()",
+    "inside": "//article/div/p/text()",
+}
+
+
+@query(
+    "open_path_lists",
+    f"""{with_inputs('d_open_page')}
+    select page_id, array_to_string(['In ' || lang || ' ', ' from ' || source, 'second',
+        case page_id % 3 when 0 then 'end' end], '|') as paragraphs,
+      source || '| on|last | item' as items, lang || '|' || n_chars || '|x' as cells,
+      case page_id % 3 when 1 then 'end' else '' end as others, case page_id % 3 when 2 then 'end' else '' end as inside
+    from d_open_page""",
+)
+def open_path_lists(spark, sf):
+    lists = D.path_lists(derived(spark, sf, "d_open_page"), _OPEN_PATHS)
+    return lists.select("page_id", *[F.array_join(c, "|").alias(c) for c in _OPEN_PATHS])

@@ -545,3 +545,48 @@ def fetch_schedule(spark, sf):
     frontier = _page(spark, sf).where(SC.is_waiting()).select("id", "url")
     delays = robots_allowed(frontier, derived(spark, sf, "d_site"), ["id"])
     return A.fetch_schedule(delays)
+
+
+# a store after two rounds of changes with a compaction between them
+@query(
+    "store_changes",
+    f"""{with_inputs('d_page', 'd_site')},
+    waiting as (select * from d_page where page_type_code = 'FRONTIER')
+    select 'page' as table_name, id, concat_ws('|', page_type_code, http_status_code, url) as value
+      from d_page where page_type_code <> 'FRONTIER'
+    union all select 'page', id, concat_ws('|', 'HTML', 404, url) from waiting where id % 3 < 2
+    union all select 'page', id, concat_ws('|', 'FRONTIER', 0, url) from waiting where id % 3 = 2
+    union all select 'page', id + 10000000, concat_ws('|', 'FRONTIER', 0, url || '/next') from waiting where id % 3 = 0
+    union all select 'site', id, domain || '|' || case when id % 2 = 0 then 'new'
+      else coalesce(robots_content, '-') end from d_site
+    union all select 'counts', 0, (select count(*) from waiting where id % 3 <> 1) || '|'
+      || (select count(*) from d_page where page_type_code <> 'FRONTIER' or id % 3 < 2)""",
+)
+def store_changes(spark, sf):
+    store, root = derived_store(spark, sf), work_dir(spark, "changes")
+    ST.save_round(store, root, 0)
+    none = {t: store[t].where(F.lit(False)) for t in ("site", "link", "image", "page_data")}
+    waiting = store["page"].where(SC.is_waiting())
+
+    def settled(rest: int) -> DataFrame:
+        outcomes = waiting.where(F.col("id") % 3 == rest).select("url", F.lit(404).alias("status"))
+        return C.set_page_status(waiting.where(F.col("id") % 3 == rest), outcomes)
+
+    found = waiting.where(F.col("id") % 3 == 0).withColumns(
+        {"id": F.col("id") + 10_000_000, "url": F.concat("url", F.lit("/next"))}
+    )
+    robots = store["site"].where(F.col("id") % 2 == 0).withColumn("robots_content", F.lit("new"))
+    ST.save_round({**none, "page": settled(0).unionByName(found), "site": robots}, root, 1)
+    ST.compact_store(spark, root)
+    ST.save_round({**none, "page": settled(1)}, root, 3)
+    after, known = ST.read_store(spark, root), ST.state(spark, root)
+    page = after["page"].select(
+        F.lit("page").alias("table_name"),
+        "id",
+        F.concat_ws("|", "page_type_code", "http_status_code", "url").alias("value"),
+    )
+    site = after["site"].select(
+        F.lit("site"), "id", F.concat("domain", F.lit("|"), F.coalesce("robots_content", F.lit("-")))
+    )
+    counts = spark.range(1).select(F.lit("counts"), "id", F.lit(f"{known['waiting']}|{known['settled']}"))
+    return page.union(site).union(counts)

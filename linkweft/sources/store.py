@@ -172,7 +172,7 @@ def save_round(
         return max(_round(spark, root, table, number).agg(F.max("id")).first()[0] or 0, before[f"top_{table}"] if before else 0)
 
     came = ~F.col("gone")
-    known = F.col("id") <= (before["top_page"] if before else 0)
+    known = F.col("id") <= before["top_page"] if before else F.lit(False)
     changes = _round(spark, root, "frontier", number).agg(
         F.count_if(came).alias("came"), F.count_if(~came & known).alias("went"), F.count_if(~came).alias("settled"), F.max("id").alias("top")
     ).first()

@@ -1,5 +1,6 @@
 """Crawl rounds, the stored crawl, the stream."""
 
+import os
 import tempfile
 
 from pyspark.sql import functions as F
@@ -169,6 +170,30 @@ def test_a_batch_that_is_run_twice_counts_once(spark):
     assert _fetched(spark, root) == ["http://a.gov.si/", "http://b.gov.si/"]
 
 
+def test_a_batch_writes_what_it_changes(spark):
+    root = f"{tempfile.mkdtemp(prefix='run-')}/store"
+    urls = spark.range(4_000).selectExpr("concat('http://w.gov.si/', id) as url", "id as seen_at")
+    ST.save_round(crawl.seed_crawl(spark, urls, now()), root, 0)
+    batch = [(1, "http://w.gov.si/7", "<a href='/new'>"), (2, "http://w.gov.si/8", "x"), (3, "http://n.gov.si/", "y"), (4, "http://w.gov.si/9", "z")]
+    ingest.ingest_batch(root, now(), source="s")(spark.createDataFrame(batch, ingest.CAPTURE_COLUMNS), 0)
+
+    def written(folder):
+        return {t: spark.read.parquet(f"{folder}/{t}").count() for t in os.listdir(folder)}
+
+    rounds = {t: spark.read.parquet(f"{root}/{t}/round=1").count() for t in ("page", "frontier", "site", "link")}
+    assert rounds == {"page": 4, "frontier": 5, "site": 2, "link": 1}
+    assert max(written(f"{root}/stage/round=1").values()) <= 5
+    known = ST.state(spark, root)
+    assert (known["waiting"], known["settled"], known["top_page"], known["base"]) == (3_998, 4, 4_002, 0)
+    before = ST.read_store(spark, root)
+    ST.compact_store(spark, root)
+    after = ST.read_store(spark, root)
+    assert ST.state(spark, root) == {**known, "base": 2, "source": None, "batch": None}
+    for table in ("page", "site", "link"):
+        assert rows(after[table]) == rows(before[table]), table
+    assert after["page"].where("page_type_code = 'FRONTIER'").count() == 3_998
+
+
 def test_budget_is_told_from_an_empty_frontier(spark):
     chain = [(f"http://gov.si/{k}", f'<a href="/{k + 1}">n</a>') for k in range(3)]
     captures = spark.createDataFrame(chain, "url string, html string")

@@ -1,5 +1,7 @@
 """Operators on small inputs with known results."""
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -231,3 +233,68 @@ def test_unpaired_tags_lose_no_field(spark):
     assert found == {k: whole for k in cases}
     inside = dom.path_lists(data, {"content": '//div[@class="article-body"]/article/p/text()'}).collect()
     assert {r.page_id for r in inside if r.content == whole[2]} == {1, 2, 3, 4, 5, 6}
+
+
+def test_elements_end_without_end_tags(spark):
+    expected = {
+        "<div><p>one <b>two</b> three<p>four</div> x": "div/p one |div/p/b two|div/p  three|div/p four|  x",
+        "<ul><li>a<ul><li>b</ul><li>c <p>d<li>e</ul>f": "ul/li a|ul/li/ul/li b|ul/li c |ul/li/p d|ul/li e| f",
+        "<table><tr><td>1<td>2<p>z<tr><th>3</table>t": "table/tr/td 1|table/tr/td 2|table/tr/td/p z|table/tr/th 3| t",
+        "<p>a<div>b</div>c<p>d</body></html>-": "p a|div b| c|p d| -",
+        "<dl><dt>k<dd>v <i>w</i> u<dt>l<dd>m</dl>": "dl/dt k|dl/dd v |dl/dd/i w|dl/dd  u|dl/dt l|dl/dd m",
+        "<p>x<br>y <b>q<p>r": "p x|p y |p q|p r",
+        "<table><tbody><tr><td><div>a<td>b<tbody><tr><td>c</table>": "table/tbody/tr/td/div a|table/tbody/tr/td b|table/tbody/tr/td c",
+        "<select><option>1<option>2</select>3": "select/option 1|select/option 2| 3",
+        "<p>a</p><p>b<section>c<p>d</section><p>e</p>": "p a|p b|section c|section/p d|p e",
+        "</p><li>a</li></ul><p>b": "li a|p b",
+    }
+    data = spark.createDataFrame(list(enumerate(expected)), "page_id long, html string")
+    found = dom.dom_nodes(data).where("kind = 'text'").orderBy("page_id", "node_id").collect()
+    for number, text in enumerate(expected):
+        here = [r for r in found if r.page_id == number]
+        shown = "|".join(re.sub(r"\[\d+\]", "", r.path)[1:] + " " + r.text for r in here)
+        assert shown == expected[text], text
+    second = [r for r in found if r.page_id == 0][3]
+    assert second.path == "/div[1]/p[2]"
+
+
+def test_article_of_open_paragraphs_loses_no_text(spark):
+    html = (
+        '<h1>T</h1><div class="article-body"><article><p class="Body">one <b>x</b> two <i>y</i> three'
+        '<p class="Body">four<br> five<p>six</article></div>'
+    )
+    content = dom.path_lists(
+        spark.createDataFrame([(1, html)], "page_id long, html string"),
+        {"p": '//div[@class="article-body"]/article/p/text()', "b": "//article/p/b/text()"},
+    ).first()
+    assert content.p == ["one ", " two ", " three", "four", " five", "six"]
+    assert content.b == ["x"]
+
+
+def test_numbers_of_equal_values_come_from_even_ranges(spark, monkeypatch):
+    data = spark.range(16_000).select(F.lit(7).alias("seen_at"), F.concat(F.lit("http://h/"), F.sha2(F.col("id").cast("string"), 256)).alias("url"))
+    placed, write = [], skew.written
+    monkeypatch.setattr(skew, "written", lambda df, name: placed.append(df) or write(df, name))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        numbered = skew.number_rows(data, "seen_at", ["url"], out="id", base=5)
+        urls = [r.url for r in numbered.orderBy("id").collect()]
+        assert urls == sorted(urls) and len(urls) == 16_000
+        assert rows(numbered.agg(F.min("id"), F.max("id"), F.countDistinct("id"))) == [(6, 16_005, 16_000)]
+        sizes = [r["count"] for r in placed[0].groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 16 and max(sizes) < 2_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_template_builds_the_tree_once(spark, monkeypatch):
+    built, structure = [], template.page_structure
+    monkeypatch.setattr(template, "page_structure", lambda *a: built.append(a) or structure(*a))
+    data = spark.createDataFrame([(1, "h", "<p>a</p>"), (2, "h", "<p>b</p><i>c</i>")], "page_id long, host string, html string")
+    plan = template.page_template(data, "host")
+    assert len(built) == 1 and "regexp_extract_all" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    paths = template.group_paths(template.group_nodes(data, "host"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in paths
