@@ -1,7 +1,7 @@
 """Token ids of whole texts, one tokenizer call per distinct word.
 
-The vocabulary file splits at white space before it merges, so the ids of a text are the
-ids of its words in order.  A worker keeps the ids of the words it has met.
+The vocabulary file splits at white space before it merges, and the strings of its special
+tokens hold none, so the ids of a text are the ids of its words in order.  A worker keeps the ids of the words it has met.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
         self.clear()
 
     def clear(self) -> None:

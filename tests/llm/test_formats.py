@@ -70,7 +70,6 @@ def places_are_gapless(rows, capacity):
 def test_packing_of_odd_rows(odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr(packing, "RANKED_ROWS", 3)
     encode = tokenizers.Tokenizer.from_file(VOCABULARY)
-    encode.encode_special_tokens = True
     found = packing.pack_documents(odd_docs, VOCABULARY, 256).collect()
     expected = []
     for doc_id, text, _ in ROWS:
@@ -96,7 +95,6 @@ def test_word_tokens_are_those_of_the_tokenizer():
     import pyarrow as pa
 
     encode = tokenizers.Tokenizer.from_file(VOCABULARY)
-    encode.encode_special_tokens = True
     texts = ["", "Don't STOP 123 me's now", "é é ́x ŉ İI ß ΑΣ Σ", "<|endoftext|> a<|startoftext|>b", "a\x1cb\x85c d", "東京 ｶﾞ １２", "x" * 3000]
     flat, counts = word_tokens(VOCABULARY).encode(pa.array([*texts, None]))
     assert np.split(flat, np.cumsum(counts)[:-1])[-1].tolist() == []
