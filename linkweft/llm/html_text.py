@@ -1,13 +1,16 @@
 """Main text of raw HTML pages, by text-to-tag ratios of the lines of a page.
 
-The standard library's streaming parser turns a page into lines, one per block, each with
-its characters, tags and enclosing elements.  Menus, notices, adverts, forms, comments and
+The standard library's streaming parser is fed with one tag or one run of text at a time and
+turns a page into lines, one per block, each with its characters, tags and enclosing elements.  Menus, notices, adverts, forms, comments and
 the like are left out by element, role or class.  The text-to-tag ratio of the remaining
 lines is smoothed with a Gaussian; lines over the standard deviation cluster into content
 regions, and the elements around these are the article.  Short lines of the article have
 low ratios, so all its lines are kept, not only those over the threshold.
 
-Memory and time of a page grow with its length alone.
+Memory and time of a page grow with its length alone, however bad its markup: the ends of
+tags are found before the parser sees them.  A tag with a quote that is never closed ends at
+the next `>`, and so do all tags after it; a comment, script, style or tag that never ends
+takes the rest of the page.  A `<` in front of no name is text.
 """
 
 from __future__ import annotations
@@ -43,21 +46,33 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LEFT_OUT = frozenset(
     "applet aside audio button canvas datalist dialog embed fieldset footer form head header iframe input label "
-    "legend math menu nav noembed noframes noscript object optgroup option script select style svg template textarea "
+    "legend menu nav noembed noframes noscript object optgroup option script select style svg template textarea "
     "title video".split()
 )
 ARTICLES = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEFT_OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 LEFT_OUT_NAMES = frozenset(
-    "ad ads advert advertisement advertising advertorial adsense alert aside banner breadcrumb breadcrumbs byline "
-    "comment comments consent cookie cookies copyright disclaimer discussion disqus dropdown foot footer gdpr header login "
+    "ad ads advert advertisement advertising advertorial adsense alert aside banner breadcrumb breadcrumbs "
+    "comment comments consent cookie cookies copyright disclaimer disqus dropdown foot footer gdpr header login "
     "masthead menu modal nav navbar navigation newsletter notice notification outbrain overlay pager pagination popup "
-    "promo promoted promotion recommended related replies reply respond responses search share sharing sidebar signup "
+    "promo promoted promotion recommended related replies reply respond search share sharing sidebar signup "
     "skip social sponsor sponsored subscribe subscription taboola teaser toolbar topbar widget widgets".split()
 )
+# Words that say nothing of what an element holds: a name made of one above and these is left
+# out, as in ad-label or site-footer, but not share-price or related-work.
+PLAIN_NAMES = frozenset(
+    "area article articles bar block body bottom box button buttons card cards col column container content desktop details "
+    "entry feed form global group heading icon icons inner item items label left link links list main media message "
+    "mobile more outer page panel popular post posts primary right row secondary section site slot stories story text thread "
+    "title top unit wrap wrapper".split()
+)
+# Those that end a name of any other words, too, as in x-footer.
+LAST_NAMES = frozenset(
+    "ads advertisement breadcrumb breadcrumbs comments footer nav navbar navigation newsletter pagination popup sidebar sponsored".split()
+)
 # Those which an article inside does not undo: it is a comment or a teaser then.
-KEPT_OUT = frozenset("aside comment comments discussion disqus related recommended replies respond responses sidebar".split())
+KEPT_OUT = frozenset("aside comment comments disqus related recommended replies respond sidebar".split())
 CLOSED_BY = {
     "p": BLOCKS,
     "li": frozenset(("li",)),
@@ -68,15 +83,48 @@ CLOSED_BY = {
     "th": frozenset(("td", "th", "tr")),
     "option": frozenset(("option",)),
 }
-# Names that end a compound, too, as in site-footer; but not after a word as in has-sidebar.
-LAST_NAMES = frozenset(
-    "ads advertisement banner breadcrumb breadcrumbs comments copyright footer menu nav navbar navigation newsletter "
-    "pagination popup sidebar sponsored widget widgets".split()
-)
 MODIFIERS = frozenset("has hide is no not show with without".split())
 RESULTS = frozenset(("result", "results"))
 _NAME = re.compile(r"[a-z]+")
 
+# A tag: its name, then attributes with quoted or bare values; none of its parts is tried twice.
+_TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*+)(?:[\s/]++|[^\s/>=]++|=++\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))*+>""")
+_MARKUP = re.compile(r"<(?=[a-zA-Z!?/])")
+_RAW = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in ("script", "style")}
+
+
+def markup(html: str) -> Iterator[str]:
+    """The tags and the runs of text of a page, one by one, in one pass; comments and the like are left out."""
+    at, end, quotes = 0, len(html), True
+    while found := _MARKUP.search(html, at):
+        start = found.start()
+        if start > at:
+            yield html[at:start]
+        mark = html[start + 1]
+        if mark in "!?" or (mark == "/" and not html[start + 2 : start + 3].isalpha()):
+            comment = html.startswith("<!--", start) and not html.startswith(("<!-->", "<!--->"), start)
+            close = html.find("-->" if comment else ">", start + 4 if comment else start)
+            if close < 0:
+                return
+            at = close + (3 if comment else 1)
+            continue
+        tag = _TAG.match(html, start) if quotes else None
+        if tag:
+            at, text, name = tag.end(), tag[0], tag[1].lower()
+        else:
+            quotes = False
+            at = html.find(">", start) + 1
+            if not at:
+                return
+            text = html[start:at].replace('"', " ").replace("'", " ")
+            name = re.split(r"[\s/>]", text[1:], maxsplit=1)[0].lower()
+        yield text
+        if name in _RAW and mark != "/":
+            close = _RAW[name].search(html, at)
+            at = close.start() if close else end
+    if at < end:
+        yield html[at:]
+
 
 class PageLines(HTMLParser):
     """Lines of a page: text, tags, characters in links, and the element around."""
@@ -93,6 +141,14 @@ class PageLines(HTMLParser):
         self.parts: list[str] = []
         self.tags = self.links = self.linked = 0
 
+    def read(self, html: str) -> PageLines:
+        """Parse a whole page; each piece is finished before the next one comes."""
+        for piece in markup(html):
+            self.feed(piece)
+            self.close()
+        self.flush()
+        return self
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         block = tag in BLOCKS
         if block:
@@ -181,10 +237,12 @@ class PageLines(HTMLParser):
             runs = _NAME.findall(token)
             if not runs or runs[0] in MODIFIERS or (len(runs) > 1 and runs[-1] in RESULTS):
                 continue
-            if runs[0] in LEFT_OUT_NAMES and not (runs[0] == "header" and any(self.count[a] for a in ARTICLES)):
-                out, firm = True, firm or runs[0] in KEPT_OUT
-            elif runs[-1] in LAST_NAMES:
-                out, firm = True, firm or runs[-1] == "comments"
+            names = [run for run in runs if run in LEFT_OUT_NAMES]
+            # article-header and page-header may hold the article's own
+            if names == ["header"] and (runs[0] != "header" or any(self.count[a] for a in ARTICLES)):
+                continue
+            if runs[-1] in LAST_NAMES or (names and all(run in LEFT_OUT_NAMES or run in PLAIN_NAMES for run in runs)):
+                out, firm = True, firm or runs[0] in KEPT_OUT or runs[-1] == "comments"
         return out, firm
 
 
@@ -197,10 +255,7 @@ def smoothed(ratio: np.ndarray) -> np.ndarray:
 
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by newlines; empty for a page without any text."""
-    page = PageLines()
-    page.feed(html or "")
-    page.close()
-    page.flush()
+    page = PageLines().read(html or "")
     lines = _remaining(page)
     if not lines:
         return ""
@@ -209,7 +264,9 @@ def main_text(html: str | None) -> str:
     kept = [k for k, line in enumerate(lines) if inside[line[3]] or (articles.any() and page.names[line[3]] == "h1" and not _links(line))]
     # lines of links before or after all content are menus, unless they are in clusters themselves
     text_at = [k for k in kept if articles[lines[k][3]] or (content[k] and not _links(lines[k]))]
-    first, last = (text_at[0], text_at[-1]) if text_at else (len(lines), -1)
+    if not text_at:
+        return "\n".join(lines[k][0] for k in kept if not _links(lines[k]))
+    first, last = text_at[0], text_at[-1]
     gone: set[int] = set()
     run: list[int] = []
     for k in [*kept, None]:
@@ -299,7 +356,7 @@ def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> Data
     """`pages` with the main text of each whole page in `out` instead of its html.
 
     Character references are decoded, white space inside a block becomes one space, and
-    blocks are joined by a newline.  A null or empty page gives an empty text.  Input columns
+    blocks are joined by a newline.  A null or empty page, and one of links alone, gives an empty text.  Input columns
     named like `out` are replaced; equal pages give equal texts.
     """
     kept = without(pages, [out, html_col])

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -150,6 +151,82 @@ def test_main_text_of_small_pages():
     assert html_text.main_text(None) == ""
 
 
+BAD = ["<a ", "<!--", "<", "</a ", "<a b=", "<a b=\"", "<a b='x> c=", "<a b=\">\" ", "<?", "<!x", "<![CDATA[", "<script>", "<p", "&", "&#", "</", "<a =", "<p/ "]
+
+
+@pytest.mark.parametrize("bad", BAD)
+def test_bad_markup_takes_linear_time(bad):
+    long = "<article><p>before" + bad * (1_000_000 // len(bad))
+    begun = time.process_time()
+    found = html_text.main_text(long)
+    assert time.process_time() - begun < 10
+    assert found.startswith("before")
+
+
+def test_unfinished_markup_takes_the_rest():
+    cases = {
+        "<p>one <a hre": "one",
+        "<p>one <!-- two <p>three": "one",
+        "<p>one <!----> two<!--> x": "one two x",
+        "<p>one <script> two </scripts> <p>three": "one",
+        "<p>one <SCRIPT> '</p>' </Script >two": "one two",
+        "<p>one <b title='x>two</b> <p>three": "one two\nthree",
+        "<p>one <b title='x>y'>two</b> <i a=b'c>three</i>": "one two three",
+        "a < b <3 </ c> <> d": "a < b <3 <> d",
+        "<p>one <?php echo 1 ?>two <!DOCTYPE x>three": "one two three",
+    }
+    for page, text in cases.items():
+        assert html_text.main_text(page) == text, page
+
+
+def test_names_of_parts_of_an_article():
+    line = "A sentence of the article that goes on for long enough to be seen as its content. " * 3
+    kept = ["class=byline", "class=share-price", "class=related-work", "id=search-history", "class=menu-prices", "class='ad-hoc'", "id=discussion", "class='social-contract'"]
+    gone = ["class=ad", "class='box ad-slot'", "class=related-posts", "id=site-footer", "class='share-buttons'", "class=newsletter-box", "id=comments", "class=cookie-banner"]
+    for tag in ("p", "div", "span"):
+        for name in kept + gone:
+            page = f"<article><p>{line}</p><{tag} {name}>A part <math>x+y</math>.</{tag}><p>{line}</p></article>"
+            assert ("A part x+y." in html_text.main_text(page)) == (name in kept), page
+    assert html_text.main_text("<ul><li><a href=x>Home</a><li><a href=y>About</a></ul>") == ""
+    assert html_text.main_text("<p>Hi<ul><li><a href=x>Home page of the site</a><li><a href=y>About us all</a></ul>") == "Hi"
+
+
+def generated_page(rng):
+    """A page and the text it was made of."""
+    words = "river stone light garden window market summer letter & é 漢 <b> 'x' \"y\"".split()
+    blocks = [" ".join(rng.choices(words, k=rng.choice([1, 2, 30, 60]))) for _ in range(rng.randrange(2, 12))]
+    blocks[0], blocks[-1] = "The heading", " ".join(rng.choices(words[:8], k=50))
+
+    def escaped(text):
+        text = text.replace("&", rng.choice(["&amp;", "&#38;"])).replace("<", "&lt;").replace("é", rng.choice(["é", "&eacute;", "&#xe9;"]))
+        parts = text.split(" ")
+        k = rng.randrange(len(parts))
+        parts[k] = rng.choice(["<i>{}</i>", "<a href='?a=1&b=2'>{}</a>", "{}<!-- no -->", "{}", "<span title='a > b'>{}</span>", "{}<script>if (1 < 2) '<p>'</script>"]).format(parts[k])
+        return rng.choice([" ", "\n  ", "\t "]).join(parts)
+
+    junk = [
+        "<nav><ul><li><a href=/>Home</a><li><a href=/a>About</a></ul></nav>", "<div class='ad'>Buy now, it is cheap today</div>", "<aside><p>Read this instead of that</p></aside>",
+        "<form><p>Your mail</p><input name=m></form>", "<style>p { color: red }</style>", "<div class=cookie-banner><p>We use cookies to make this site better for you</p></div>",
+        "<section id=comments><p>First! I have read the whole of it and I like it a lot, really.</p></section>", "<footer>(c) The site</footer>",
+    ]
+    body = [f"<h1>{escaped(blocks[0])}</h1>"]
+    for block in blocks[1:]:
+        body.append(rng.choice(["<p>{}</p>", "<p class=byline>{}</p>", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>", "<div>{}</div>"]).format(escaped(block)))
+        if rng.random() < 0.3:
+            body.append(rng.choice(junk))
+    inside = "".join(body)
+    around = rng.choice(["<article>{}</article>", "<main><article>{}</article></main>", "<main>{}</main>"]).format(inside)
+    page = "<!DOCTYPE html><html><head><title>T</title></head><body>" + "".join(rng.sample(junk, 2)) + around + "".join(rng.sample(junk, 2)) + "</body></html>"
+    return page, "\n".join(blocks)
+
+
+def test_generated_pages_give_the_text_they_were_made_of():
+    rng = random.Random(5)
+    for _ in range(400):
+        page, text = generated_page(rng)
+        assert html_text.main_text(page) == text, page
+
+
 def test_extraction_of_odd_rows(workers):
     rows = [(1, "u", "<p>a", "kept", 5), (1, "u", "<p>a", "kept", 5), (None, None, None, None, None), (2, "v", "<article><p>" + "long text " * 50_000, "x", 0)]
     pages = workers.createDataFrame(rows, "page_id long, url string, html string, Text string, n_chars int")
