@@ -1,6 +1,7 @@
 """Similarity join, token alignment and phrases, against brute force."""
 
 import hashlib
+import json
 import random
 import re
 from collections import Counter, defaultdict
@@ -9,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tokenizers
 
 from linkweft.llm import jaccard_join, phrases, token_alignment
 from linkweft.llm.fm_index import DEPTH, Index, packed, unpacked
@@ -151,6 +153,27 @@ def test_alignment_is_that_of_token_ends(workers, sf_dir, vocabularies):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
 
 
+def test_byte_level_ids_are_those_of_the_file(vocabularies, sf_dir, spark):
+    tokenizer = tokenizers.Tokenizer.from_file(vocabularies[0])
+    tokenizer.encode_special_tokens = True
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    texts += ["", " ", "\x1c#" * 5000, "a" * 100_000, " " * 100_000, "\u3000 \u00a0x", "<|endoftext|>", "I'LL we'll '\u017f", "\U0001F468\u200d\U0001F469", "漢字" * 20_000, "1234567", "\r\n\t z"]
+    side = token_alignment.ByteLevel(vocabularies[0])
+    assert side.ranked and side.encode(texts) == [e.ids for e in tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert all(side.vocabulary.tokens[k] == token_alignment.Vocabulary([side.vocabulary.tokens[k]]).bytes_of(np.array([0])).tobytes() for k in (0, 300, 50_256))
+
+
+def test_other_byte_level_files_go_to_their_tokenizer(vocabularies, tmp_path):
+    with open(vocabularies[0], encoding="utf-8") as file:
+        parts = json.load(file)
+    merges = parts["model"]["merges"]
+    parts["model"]["merges"] = [*merges[1000:], *merges[:1000]]
+    with open(tmp_path / "other.json", "w", encoding="utf-8") as file:
+        json.dump(parts, file)
+    other = token_alignment.ByteLevel(str(tmp_path / "other.json"))
+    assert other.ranked is None and b"".join(other.vocabulary.tokens[k] for k in other.encode(["so it is"])[0]) == b" so it is"
+
+
 def test_alignment_keeps_rows(odd_docs, no_docs, vocabularies):
     found = token_alignment.align(odd_docs, *vocabularies)
     assert found.columns == [*odd_docs.columns, "n_a", "n_b", "n_groups", "groups", "links"]
