@@ -121,6 +121,36 @@ def test_group_template(spark):
     ]
 
 
+def _lines(spark, *pages):
+    data = spark.createDataFrame([(k, "h", page) for k, page in enumerate(pages)], "page_id long, host string, html string")
+    lines = template.template_lines(template.page_template(data, "host")).orderBy("line_no").collect()
+    runs = template.template_runs(data, "host").orderBy("path", "unit").collect()
+    return [r.line.strip() for r in lines], [tuple(r)[1:] for r in runs]
+
+
+def test_siblings_that_repeat_together(spark):
+    lines, runs = _lines(spark, "<dl><dt>a</dt><dd>b</dd><dt>c</dt><dd>d</dd></dl>")
+    assert runs == [("/dl", "dt dd", 1, 2)]
+    assert lines == ["<dl>", "( <dt>", "#PCDATA", "</dt>", "<dd>", "#PCDATA", "</dd> )+", "</dl>"]
+    # equal neighbours inside, a hr before on one page, one unit only on another
+    lines, runs = _lines(
+        spark,
+        "<dl><hr><dt>a</dt><dd>b</dd><dd>e</dd><dt>c</dt><dd>d</dd><dt>g<i>x</i></dt><dd>h</dd></dl>",
+        "<dl><dt>a</dt><dd>b</dd></dl>",
+    )
+    assert runs == [("/dl", "dt dd", 1, 3)]
+    assert lines == [
+        "<dl>", "( <dt>", "#PCDATA", "( <i>", "x", "</i> )?", "</dt>", "( <dd>", "#PCDATA", "</dd> )+ )+",
+        "( <hr> )?", "</dl>",
+    ]
+    # half a unit behind the run, and tags in two units: marks of their own
+    lines, runs = _lines(spark, "<b>1</b><i>2</i><b>3</b><i>4</i><b>5</b>")
+    assert runs == [("", "b i", 1, 2)]
+    assert lines == ["( <b>", "#PCDATA", "</b> )+", "( <i>", "#PCDATA", "</i> )+"]
+    assert _lines(spark, "<p>a</p><p>b</p><b>c</b><p>d</p>")[1] == []
+    assert _lines(spark, "", "plain")[1] == []
+
+
 def test_template_is_in_tree_order(spark):
     data = spark.createDataFrame(
         [(1, "h", "<div><a>x</a></div><p>y</p>"), (2, "h", "<p>z</p>")],
