@@ -272,6 +272,21 @@ from (
   group by page_id) g
 """
 
+# one list of terms per order; a third of the terms have two descriptions, some lists a heading,
+# and those of one group a term without any at the end
+_TERM = """
+'<dt>' || title || '</dt><dd>' || price || '</dd>' || case record_no % 3 when 0 then '<dd>' || content || '</dd>' else '' end
+"""
+SQL["d_term_page"] = f"""
+select page_id, 't' || cast(page_id % 10 as string) as host,
+  '<html><body>' || case page_id % 20 when 2 then '<h2>Parts</h2>' else '' end || '<dl>' || list_html
+  || case page_id % 10 when 3 then '<dt>more</dt>' else '' end || '</dl><p>end</p></body></html>' as html
+from (
+  select page_id, {{join_items}} as list_html
+  from (select page_id, record_no, {_TERM} as item from ({SQL["d_product"]}) p) i
+  group by page_id) g
+"""
+
 # documents as captures: English ones are stored already, the others are fetched
 SQL["d_doc"] = """
 select doc_id as id, 'http://' || source || '.example.com/' || lang || '/' || cast(doc_id as string)
