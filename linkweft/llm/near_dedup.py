@@ -67,8 +67,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     where no row of the class has an id, in a class named null.  Rows with equal ids are
     nodes of their own, unless their shingles and the counts of these are equal.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sketches = written(rows.mapInArrow(_sketches, "id long, node binary, signature binary, bands array<long>"), "sketches")
+    return _classes(docs, id_col, text_col).drop("copy")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`near_duplicates` with `copy`, the hash of a row's text, which tells rows of one id apart."""
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("copy"), text.alias("text"))
+    sketches = written(rows.mapInArrow(_sketches, "id long, copy long, node binary, signature binary, bands array<long>"), "sketches")
     # the least id of a node, with what was made of its text; a null id only if there is no other
     named = F.struct(F.col("id").isNull().alias("unnamed"), "id", "signature", "bands")
     nodes = written(sketches.groupBy("node").agg(F.min(named).alias("x")).select("node", "x.id", "x.signature", "x.bands"), "nodes")
@@ -78,21 +84,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = written(labels, "labels")
     class_ids = written(labels.groupBy("label").agg(F.min("id").alias("class_id")), "class-ids")
     classes = written(labels.join(class_ids, "label").select("node", "class_id"), "classes")
-    return sketches.select(F.col("id").alias("doc_id"), "node").join(classes, "node").select("doc_id", "class_id")
+    return sketches.select(F.col("id").alias("doc_id"), "copy", "node").join(classes, "node").select("doc_id", "copy", "class_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose id names their class: one document of each group.
 
-    Rows with the same id and text are kept once.  Rows with a null id all stay, as no
-    decision can name them.
+    Of several texts with that id in the class one stays; the id's texts in other classes
+    stay only where they name these.  Rows with the same id and text are kept once.  Rows
+    with a null id all stay, as no decision can name them.  Input columns may have any names.
     """
-    classes = near_duplicates(docs, id_col, text_col)
-    kept = written(classes.where("doc_id = class_id").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids")
+    found = _classes(docs, id_col, text_col).where("doc_id = class_id")
+    kept = written(found.groupBy("doc_id").agg(F.min("copy").alias("copy")), "kept-rows")
     own_id = F.col(f"`{id_col}`")
-    copy = Window.partitionBy(own_id, F.xxhash64(F.col(f"`{text_col}`"))).orderBy(F.lit(0))
-    named = docs.join(kept, own_id.cast("long") == F.col("_kept_id"), "left_semi").withColumn("_copy_no", F.row_number().over(copy))
-    return named.where("_copy_no = 1").drop("_copy_no").unionByName(docs.where(own_id.isNull()))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own_id.cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("copy"))
+    number = F.row_number().over(Window.partitionBy("doc_id", "copy").orderBy(F.lit(0)))
+    named = rows.join(kept, ["doc_id", "copy"], "left_semi").withColumn("number", number).where("number = 1")
+    return named.select("row.*").unionByName(docs.where(own_id.isNull()))
 
 
 def _labels(rows: DataFrame, nodes: DataFrame) -> DataFrame | None:
@@ -303,8 +311,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 signature[d] += marks[k].tobytes()
                 band_lists[d] = np.union1d(band_lists[d], bands[k])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(node, pa.binary()), pa.array(signature, pa.binary()), pa.array(band_lists, pa.list_(pa.int64()))],
-            ["id", "node", "signature", "bands"],
+            [batch.column("id"), batch.column("copy"), pa.array(node, pa.binary()), pa.array(signature, pa.binary()), pa.array(band_lists, pa.list_(pa.int64()))],
+            ["id", "copy", "node", "signature", "bands"],
         )
 
 

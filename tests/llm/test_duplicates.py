@@ -117,6 +117,13 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 10, 2, 5, 6, 9, None, None]
 
 
+def test_kept_rows_are_those_that_name_their_class(workers):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [(1, a, "x", 0), (5, b, "x", 1), (5, a, "x", 2), (9, b, "x", 3), (5, b, "x", 1)]
+    docs = workers.createDataFrame(rows, "doc_id long, text string, row string, _copy_no int")
+    assert sorted(map(tuple, near_dedup.keep_one(docs).collect())) == [(1, a, "x", 0), (5, b, "x", 1)]
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(2)
     a = [f"w{k}" for k in range(300)]
