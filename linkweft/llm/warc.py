@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweft.llm.frames import new_folder
+from linkweft.llm.frames import new_folder, written
 
 # Smallest payload that is stored once for several records.
 SHARED_BYTES = 1000
@@ -35,7 +35,7 @@ ARCHIVE_BYTES = 1 << 30
 # of an archive that are one piece of work.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 16 << 20
 
 INDEX = "page_id long, url string, archive string, offset long, length long, payload_digest string, payload_bytes long, record_type string, refers_to long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
@@ -54,6 +54,8 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[DataFra
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     keyed = rows.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.octet_length("payload").cast("long"))
     groups = keyed.where(F.col("bytes") >= SHARED_BYTES).groupBy("digest").agg(F.max("page_id").alias("last_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a written table, so that Spark can split the rows of a digest that most pages have
+    groups = written(groups, "copies")
     revisits = F.col("last_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last_id"))
     typed = keyed.join(groups, "digest", "left").select(
         "page_id",
@@ -143,11 +145,13 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
     """The records of the given index rows, read from the archives by joined byte ranges.
 
     A payload whose digest is not the record's raises an error.  A revisit record has no
-    payload of its own: payload and payload_bytes are null; see `resolved`.
+    payload of its own: payload and payload_bytes are null; see `resolved`.  The number of
+    tasks follows from the bytes to be read, not from those of the index.
     """
+    asked = index.agg(F.sum("length")).first()[0] or 0
     ordered = (
         index.select("archive", "offset", "length", F.floor(F.col("offset") / BLOCK_BYTES).alias("block"))
-        .repartition("archive", "block")
+        .repartition(1 + asked // BLOCK_BYTES, "archive", "block")
         .sortWithinPartitions("archive", "offset")
     )
     return ordered.mapInArrow(_reader(f"{folder}/archives", with_payload), RECORD)
@@ -204,5 +208,7 @@ def resolved(index: DataFrame, folder: str, with_payload: bool = False) -> DataF
         .groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
         .agg(F.max("payload_bytes").alias("payload_bytes"), F.first("payload").alias("payload"))
     )
+    # written, so that Spark can split the revisits of one response
+    wanted = written(wanted, "responses")
     found = revisits.join(wanted, ["refers_to", "payload_digest"]).select(responses.columns)
     return responses.unionByName(found)
