@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkweft.functions.url import url_host
 from linkweft.plans.skew import number_rows
@@ -63,6 +64,23 @@ def next_per_host(available: DataFrame) -> DataFrame:
     )
 
 
+def rows_in_time(available: DataFrame, seconds: float, least_delay: float = 1.0) -> DataFrame:
+    """The rows of `available` (id, url, delay, maybe busy_key) whose turn comes within `seconds`.
+
+    The first row of a host is taken at once, the others follow in id order, `delay` seconds
+    apart, and `least_delay` at least.  That bounds the turns of any host by a constant, so a
+    task hands on at most so many rows of a host, whatever its share of the frontier (Spark
+    does this for constants up to `spark.sql.optimizer.windowGroupLimitThreshold`).
+    """
+    host = F.col("busy_key") if "busy_key" in available.columns else url_host(F.col("url"))
+    gap = F.greatest(F.coalesce(F.col("delay").cast("double"), F.lit(0.0)), F.lit(float(least_delay)))
+    turn = F.row_number().over(Window.partitionBy("_host").orderBy("id"))
+    ranked = available.withColumn("_host", host).withColumn("_turn", turn)
+    most = int(seconds // least_delay) + 1
+    in_time = (F.col("_turn") <= most) & ((F.col("_turn") - 1) * gap <= seconds)
+    return ranked.where(in_time).select(*available.columns)
+
+
 def fetch_schedule(available: DataFrame, parts: int | None = None) -> DataFrame:
     """(id, url, host, start_at): earliest second each row may be fetched.
 

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from linkweft.functions.robots import robots_valid
 from linkweft.functions.url import FALLBACK_URL, SCOPE, url_host
 from linkweft.operators import changes, dom, records
-from linkweft.operators.lookups import frontier_available, url_to_page
+from linkweft.operators.lookups import frontier_available, url_to_page, with_politeness_key
 from linkweft.operators.pages import page_images, page_links
 from linkweft.operators.robots import robots_allowed
-from linkweft.operators.summaries import next_per_host
+from linkweft.operators.summaries import next_per_host, rows_in_time
 from linkweft.operators.template import page_template
 from linkweft.plans.skew import HOT_ROWS
 from linkweft.plans.session import work_dir
@@ -97,6 +97,7 @@ def crawl_changes(
     host_ip: DataFrame | None = None,
     robots: DataFrame | None = None,
     one_per_host: bool = False,
+    turn_seconds: float | None = None,
     hot_rows: int = HOT_ROWS,
     stage: Stage | None = None,
     bases: dict[str, int] | None = None,
@@ -113,7 +114,9 @@ def crawl_changes(
     each of the two may be given alone.  `robots` has the fetched texts (domain,
     robots_content, sitemap_content); the hosts of the frontier become sites with them
     before their pages are decided.  `one_per_host` takes the earliest row of each host (or
-    address) only, as a polite turn does.
+    address) only, as a polite turn does.  `turn_seconds` is the time of the round: of each
+    host it takes the rows that the delay of its robots rules leaves time for; rows that the
+    rules forbid need no turn.
     Steps which several results need are written by `stage`, below the shared folder
     unless it says otherwise, so that no result computes them again.
     """
@@ -137,6 +140,12 @@ def crawl_changes(
         named = stage("named_sites", known.join(hosts.select(url_host(F.col("url")).alias("domain")).distinct(), "domain", "left_semi"))
         changed = stage("robots", changes.set_site_robots(conform(named, "site"), valid_robots(robots)))
         site = upserted(site, changed)
+    if turn_seconds is not None:
+        keyed = with_politeness_key(taken, host_ip).select("id", "url", "busy_key")
+        ruled = stage("ruled", robots_allowed(keyed, site, ["id"], hot_rows))
+        forbidden = F.coalesce(~F.col("allowed"), F.lit(False))
+        in_turn = rows_in_time(ruled.where(~forbidden), turn_seconds).unionByName(ruled.where(forbidden))
+        taken = taken.join(in_turn.select("id"), "id", "left_semi").select(*frontier.columns)
     outcomes = stage("outcomes", frontier_outcomes(taken, site, captures, hot_rows))
 
     to_fetch = outcomes.where(F.col("status") == 200)

@@ -14,7 +14,7 @@ from linkweft.queries.inputs import derived, table, with_inputs
 from linkweft.queries.pages import LINKS, PAGE_HOST
 from linkweft.queries.registry import query
 from linkweft.queries.store import derived_store, now
-from linkweft.sources.schema import SEED_SITE
+from linkweft.sources.schema import SEED_SITE, is_waiting
 from linkweft.streaming import ingest as I
 
 SCOPE = "example."
@@ -216,3 +216,52 @@ def stream_url_dedupe(spark, sf):
     sink = unique.writeStream.format("parquet").option("checkpointLocation", f"{folder}-state")
     sink.trigger(availableNow=True).start(folder).awaitTermination()
     return spark.read.parquet(folder)
+
+
+# documents fetched again as a stream with times, while the English ones are stored
+@query(
+    "stream_new_urls",
+    f"""{with_inputs('d_doc')},
+    urls as (select {S.canonical('url')} as url, lang from d_doc)
+    select distinct url from urls where url not in (select url from urls where lang = 'en')""",
+)
+def stream_new_urls(spark, sf):
+    folder, files = work_dir(spark, "new-urls"), max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    docs = derived(spark, sf, "d_doc")
+    seen = docs.select("url", F.timestamp_seconds(F.col("id") + 1_000_000_000).alias("seen_at"))
+    seen.repartition(files, "url").write.parquet(f"{folder}/in")
+    stored = docs.where("lang = 'en'").select(canonical_url(F.col("url")).alias("url"))
+    stored.write.parquet(f"{folder}/known")
+    stream = spark.readStream.schema(seen.schema).option("maxFilesPerTrigger", -(-files // 2)).parquet(f"{folder}/in")
+    known = spark.read.schema(stored.schema).parquet(f"{folder}/known")
+    unique = I.stream_url_dedupe(stream, "seen_at", "36500 days", known).select("url")
+    sink = unique.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state")
+    sink.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return spark.read.schema(unique.schema).parquet(f"{folder}/out")
+
+
+# seconds of a round in which hosts keep the delays of their robots rules
+TURN_SECONDS = 12
+
+
+@query(
+    "crawl_polite_round",
+    f"""{with_inputs('d_site', 'd_page', 'd_capture')}, {S.robots()},
+    waiting as (select id, url, host, {S.robots_path('url')} as path from d_page where page_type_code = 'FRONTIER'),
+    decided as (
+      select w.id, min_by(r.allow, r.rule_no) as allow
+      from waiting w join rules r on r.domain = w.host and starts_with(w.path, r.prefix) group by w.id),
+    ruled as (select w.*, coalesce(d.allow, true) as allow from waiting w left join decided d using (id)),
+    turns as (
+      select p.id, (row_number() over (partition by p.host order by p.id) - 1) * greatest(coalesce(d.delay, 5), 1) as start_at
+      from ruled p left join delays d on d.domain = p.host where p.allow)
+    select r.id, cast(case when not r.allow then 403 when t.start_at > {TURN_SECONDS} then 0
+      when c.url is null then 404 else 200 end as int) as status
+    from ruled r left join turns t using (id) left join d_capture c on c.url = r.url""",
+)
+def crawl_polite_round(spark, sf):
+    store, captures = derived_store(spark, sf), derived(spark, sf, "d_capture")
+    waiting = store["page"].where(is_waiting()).select("id")
+    after = C.crawl_round(store, captures, now(), scope=SCOPE, turn_seconds=TURN_SECONDS)
+    status = F.coalesce("http_status_code", F.lit(0)).cast("int").alias("status")
+    return after["page"].join(waiting, "id", "left_semi").select("id", status)

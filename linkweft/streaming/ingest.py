@@ -107,14 +107,24 @@ def ingest_stream(
 
 
 def stream_url_dedupe(
-    captures: DataFrame, time_col: str | None = None, delay: str = "1 day"
+    captures: DataFrame,
+    time_col: str | None = None,
+    delay: str = "1 day",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Stream in which each canonical URL enters once.
 
     On an endless stream give `time_col`: the URLs kept in state are then bounded
-    by the watermark.
+    by the watermark, and rows that come later than `delay` are left out.  URLs of `known`,
+    a table with a column `url` such as the stored pages, do not enter; they are taken off
+    before the state, as they stand when the query starts.
     """
     canonical = captures.withColumn("url", canonical_url(F.col("url")))
+    if time_col is not None:
+        canonical = canonical.withWatermark(time_col, delay)
+    if known is not None:
+        new = canonical.join(known.select("url"), "url", "left_anti")
+        canonical = new.select(*captures.columns)
     if time_col is None:
         return canonical.dropDuplicates(["url"])
-    return canonical.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["url"])
+    return canonical.dropDuplicatesWithinWatermark(["url"])

@@ -1,5 +1,6 @@
 """Crawl rounds, the stored crawl, the stream."""
 
+import datetime
 import os
 import tempfile
 
@@ -244,6 +245,48 @@ def test_robots_texts_and_polite_turns_inside_the_rounds(spark):
     assert sites["b.gov.si"] == ("NULL", "NULL")
 
 
+def test_rounds_keep_the_delays_of_hosts(spark):
+    texts = [("a.gov.si", "User-agent: *\nDisallow: /no\nCrawl-delay: 4\n", None), ("b.gov.si", "User-agent: *\nCrawl-delay: 0\n", None)]
+    robots = spark.createDataFrame(texts, "domain string, robots_content string, sitemap_content string")
+    urls = [f"http://{h}.gov.si/{k}" for h in ("a", "b", "c") for k in range(5)] + ["http://a.gov.si/no"]
+    seeds = spark.createDataFrame([(u, k) for k, u in enumerate(urls)], "url string, seen_at long")
+    captures = spark.createDataFrame([(u, f"<p>{u}</p>") for u in urls], "url string, html string")
+    after = crawl.crawl_round(crawl.seed_crawl(spark, seeds, now()), captures, now(), robots=robots, turn_seconds=9)
+    settled = [r.url[7:] for r in after["page"].where("page_type_code <> 'FRONTIER'").collect()]
+    # 4, 1 and 5 seconds apart; what is forbidden takes no turn
+    assert sorted(settled) == sorted(["a.gov.si/0", "a.gov.si/1", "a.gov.si/2", "a.gov.si/no", *[f"b.gov.si/{k}" for k in range(5)], "c.gov.si/0", "c.gov.si/1"])
+    store = crawl.crawl_rounds(spark, captures, now(), seeds=seeds, robots=robots, turn_seconds=9)
+    assert store.finished and store["page"].where("http_status_code = 200").count() == 15
+
+
+def test_turns_are_limited_before_the_shuffle(spark):
+    url = F.concat(F.lit("http://h"), F.col("id") % 3, F.lit(".si/"))
+    frontier = spark.range(1000).select("id", url.alias("url"), F.lit(2).alias("delay"))
+    in_time = summaries.rows_in_time(frontier, 60)
+    assert in_time.count() == 3 * 31
+    assert in_time._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+
+
+def test_stream_of_urls_leaves_out_known_and_late_rows(spark):
+    folder = tempfile.mkdtemp(prefix="run-")
+    schema = "url string, seen_at timestamp"
+    stamp = lambda text: datetime.datetime.fromisoformat(f"2024-01-01 {text}")
+    batches = [
+        [("http://A.si/a#x", stamp("00:00:00")), ("http://a.si/a", stamp("00:00:01")), ("http://a.si/stored", stamp("10:00:00")), ("http://a.si/b", stamp("10:00:00"))],
+        [("http://a.si/late", stamp("08:00:00")), ("http://a.si/a", stamp("10:01:00")), ("http://a.si/b", stamp("10:02:00")), ("http://a.si/c", stamp("09:30:00"))],
+    ]
+    known = spark.createDataFrame([("http://a.si/stored",)], "url string")
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        unique = ingest.stream_url_dedupe(stream, "seen_at", "1 hour", known)
+        sink = unique.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state")
+        sink.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    found = [r.url for r in spark.read.schema(schema).parquet(f"{folder}/out").collect()]
+    # the first of a is older than the watermark's hour by the second batch, so its state is gone
+    assert sorted(found) == ["http://a.si/a", "http://a.si/a", "http://a.si/b", "http://a.si/c"]
+
+
 def test_saved_files_records_and_template(spark):
     from linkweft.operators.template import page_template
 
