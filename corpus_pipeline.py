@@ -65,7 +65,7 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-# SQL cannot express the classifier and the tokenizer; tests hold the operators, but not yet the stages, against brute force.
+# SQL cannot express the classifier and the tokenizer; tests hold every stage and the run against plain Python.
 ORACLE_SQL = None
 
 
