@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweft.operators import dom as D
 from linkweft.operators import records as R
+from linkweft.operators.template import template_lines
 from linkweft.plans.crawl import extract_all as extract
 from linkweft.queries import checksql as S
 from linkweft.queries.inputs import CONTENT_LINK, derived, table, with_inputs
 from linkweft.queries.registry import query
+from linkweft.queries.templates import TERM_LINES
 from linkweft.sources.store import records_to_json as to_json
 
 
@@ -155,15 +160,31 @@ def records_to_json(spark, sf):
     return to_json(rows, ["Title", "Price", "Saving"])
 
 
-# all kinds by both strategies, one count per page
+def _digested(kind: str, strategy: str, source: str, *fields: str) -> str:
+    return f"""
+    select '{kind}' as kind, '{strategy}' as strategy, page_id, count(*) as records,
+      sha256(string_agg(concat_ws(chr(9), {', '.join(fields)}), chr(10) order by record_no)) as digest
+    from {source} group by page_id"""
+
+
+_RECORD = ("title", "list_price", "price", "saving", "percent", "content")
+_ARTICLE_START = ("published", "lead")
+_ALL = [
+    _digested("article", "regex", "articles", "title", "subtitle || ' &amp; more'", "author", *_ARTICLE_START, "escaped"),
+    _digested("article", "path", "articles", "title", "subtitle || ' & more'", "author", *_ARTICLE_START, "content || chr(10) || chr(10)"),
+    *[_digested("product", strategy, "d_product", *_RECORD) for strategy in ("regex", "path")],
+    *[_digested("book", strategy, "d_product", "title", "percent || ' Č'", "list_price", "price") for strategy in ("regex", "path")],
+]
+
+
+# all kinds by all strategies: the records of a page, or the template lines of a group, as one digest
 @query(
     "extract_all",
-    f"""{with_inputs('d_product', 'd_article_record')},
-    lists as (select page_id, count(*) as records from d_product group by page_id)
-    select kind, strategy, page_id, records
-    from (values ('product'), ('book')) k(kind), (values ('regex'), ('path')) s(strategy), lists
-    union all select 'article', strategy, page_id, 1
-    from (values ('regex'), ('path')) s(strategy), d_article_record""",
+    f"""{with_inputs('d_product', 'd_article_record', 'd_term_page')}, {TERM_LINES},
+    articles as (select *, 1 as record_no from d_article_record)
+    {' union all '.join(_ALL)}
+    union all select 'any', 'template', cast(substr(grp, 2) as bigint), len(texts), sha256(array_to_string(texts, chr(10)))
+    from lines""",
 )
 def extract_all(spark, sf):
     sources = {"article": "d_article", "product": "d_product_page", "book": "d_book_page"}
@@ -171,18 +192,22 @@ def extract_all(spark, sf):
     for kind, source in sources.items():
         pages = derived(spark, sf, source)
         for strategy in ("regex", "path"):
-            counted = extract(pages, kind, strategy).groupBy("page_id").agg(
-                F.count(F.lit(1)).alias("records")
-            )
-            parts.append(
-                counted.select(
-                    F.lit(kind).alias("kind"), F.lit(strategy).alias("strategy"), "page_id", "records"
-                )
-            )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+            found = extract(pages, kind, strategy)
+            fields = [c for c in found.columns if c not in ("page_id", "record_no")]
+            number = F.col("record_no") if "record_no" in found.columns else F.lit(1)
+            record = F.concat_ws("\t", *fields)
+            parts.append(_digests(found.select("page_id", number.alias("no"), record.alias("line")), kind, strategy))
+    template = template_lines(extract(derived(spark, sf, "d_term_page"), "any", "template", "host"))
+    group = F.substring("grp", 2, 20).cast("long").alias("page_id")
+    parts.append(_digests(template.select(group, F.col("line_no").alias("no"), "line"), "any", "template"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _digests(lines: DataFrame, kind: str, strategy: str) -> DataFrame:
+    in_order = F.array_sort(F.collect_list(F.struct("no", "line")))
+    made = lines.groupBy("page_id").agg(F.count(F.lit(1)).alias("records"), in_order.alias("all"))
+    digest = F.sha2(F.array_join("all.line", "\n"), 256).alias("digest")
+    return made.select(F.lit(kind).alias("kind"), F.lit(strategy).alias("strategy"), "page_id", "records", digest)
 
 
 @query(
