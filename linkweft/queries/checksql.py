@@ -117,6 +117,17 @@ def attribute(tag: str, name: str) -> str:
     return f"(case when list_contains({names}, '{name}') then {decode(bare)} end)"
 
 
+def attributes(tag: str) -> str:
+    """All attributes of a start tag as `name=value`, sorted; of a name given twice the first."""
+    body = f"regexp_replace({tag}, '^<[A-Za-z][^\\s/>]*', '')"
+    names = f"list_transform(regexp_extract_all({body}, '{ATTRIBUTE}', 1), lambda x: lower(x))"
+    values = f"regexp_extract_all({body}, '{ATTRIBUTE}', 2)"
+    bare = f"regexp_replace({values}[i], '^[\"'']|[\"'']$', '', 'g')"
+    pairs = f"""list_transform(list_filter(generate_series(1, len({names})),
+      lambda i: list_position({names}, {names}[i]) = i), lambda i: {names}[i] || '=' || {decode(bare)})"""
+    return f"array_to_string(list_sort({pairs}), '|')"
+
+
 def tags(source: str) -> str:
     """CTE body: (page_id, url, pos, tag, name) of the start tags in `source`."""
     return f"""

@@ -215,12 +215,15 @@ def _digests(lines: DataFrame, kind: str, strategy: str) -> DataFrame:
     f"""with {S.nodes()}
     select page_id, node_id, parent_id, kind, tag, case kind when 'element' then cast(nth as int) end as nth, level,
       case when nests or kind = 'text' then path else path || '/' || tag || '[' || nth || ']' end as path,
-      {S.attribute('source', 'href')} as href, after_tag, text
+      {S.attribute('source', 'href')} as href, case kind when 'element' then {S.attributes('source')} end as attrs,
+      after_tag, text
     from nodes""",
 )
 def dom_nodes(spark, sf):
     nodes = D.dom_nodes(table(spark, sf, "pages"))
-    return nodes.withColumn("href", F.col("attrs")["href"]).drop("attrs")
+    pairs = F.transform(F.map_entries("attrs"), lambda x: F.concat(x["key"], F.lit("="), x["value"]))
+    joined = F.array_join(F.array_sort(pairs), "|")
+    return nodes.withColumns({"href": F.col("attrs")["href"], "attrs": joined})
 
 
 @query(
