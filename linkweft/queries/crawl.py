@@ -118,27 +118,31 @@ def crawl_round(spark, sf):
     return _rows(C.crawl_round(store, captures, now(), scope=SCOPE, stage=stage))
 
 
-def _counts(store) -> DataFrame:
-    by_type = store["page"].groupBy(F.col("page_type_code").alias("what"), "http_status_code").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    others = [
-        store[n].agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(n).alias("what"), F.lit(None).cast("int").alias("http_status_code"), "rows"
-        )
-        for n in ("site", "link", "image", "page_data")
-    ]
-    return _union([by_type, *others])
+# what a crawl of all pages holds: links lead to pages without a capture, which only a batch crawl settles
+_CRAWLED = f"""{LINKS},
+    urls as (select min(page_id) as page_id, {S.canonical('url')} as url, min({S.host('url')}) as host from pages group by 2),
+    targets as (
+      select distinct u.url as source, target from (
+        select page_id, {S.resolve('link', PAGE_HOST, "(kind = 'link')", SCOPE)} as target from links) l
+      join urls u using (page_id) where target is not null)
+    select 'page' as table_name, url as key, 'HTML|200' as value from urls
+    union all select distinct 'page', target, '{{new_page}}' from targets where target not in (select url from urls)
+    union all select 'link', source, target from targets
+    union all select distinct 'site', host, null from urls
+    union all select 'site', '{SEED_SITE}', null
+    union all select 'image', u.url, src
+      from (select page_id, {S.attribute('tag', 'src')} as src from tags where name = 'img') join urls u using (page_id)
+      where length(src) <= 255 and length(split_part(src, '.', -1)) <= 50
+    union all select 'page_data', url, upper(split_part(url, '.', -1)) from urls
+      where upper(split_part(url, '.', -1)) in ('PDF', 'DOC', 'DOCX', 'PPT', 'PPTX')"""
 
 
-@query("crawl_rounds")
+@query("crawl_rounds", _CRAWLED.format(new_page="HTML|404"))
 def crawl_rounds(spark, sf):
     captures = derived(spark, sf, "d_rich").withColumn("url", canonical_url(F.col("url")))
     captures = captures.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
-    store = C.crawl_rounds(
-        spark, captures, now(), seeds=_seeds(spark, sf), scope=SCOPE
-    )
-    return _counts(store)
+    store = C.crawl_rounds(spark, captures, now(), seeds=_seeds(spark, sf), scope=SCOPE)
+    return _by_url(store)
 
 
 def _captured(spark, sf) -> DataFrame:
@@ -153,25 +157,7 @@ def _captured(spark, sf) -> DataFrame:
     return I.read_captures(spark, folder, files_per_batch=-(-files // 2))
 
 
-@query(
-    "ingest_stream",
-    f"""{LINKS},
-    urls as (select min(page_id) as page_id, {S.canonical('url')} as url, min({S.host('url')}) as host from pages group by 2),
-    targets as (
-      select distinct u.url as source, target from (
-        select page_id, {S.resolve('link', PAGE_HOST, "(kind = 'link')", SCOPE)} as target from links) l
-      join urls u using (page_id) where target is not null)
-    select 'page' as table_name, url as key, 'HTML|200' as value from urls
-    union all select distinct 'page', target, 'FRONTIER|0' from targets where target not in (select url from urls)
-    union all select 'link', source, target from targets
-    union all select distinct 'site', host, null from urls
-    union all select 'site', '{SEED_SITE}', null
-    union all select 'image', u.url, src
-      from (select page_id, {S.attribute('tag', 'src')} as src from tags where name = 'img') join urls u using (page_id)
-      where length(src) <= 255 and length(split_part(src, '.', -1)) <= 50
-    union all select 'page_data', url, upper(split_part(url, '.', -1)) from urls
-      where upper(split_part(url, '.', -1)) in ('PDF', 'DOC', 'DOCX', 'PPT', 'PPTX')""",
-)
+@query("ingest_stream", _CRAWLED.format(new_page="FRONTIER|0"))
 def ingest_stream(spark, sf):
     root = work_dir(spark, "stream")
     I.ingest_stream(_captured(spark, sf), root, now(), scope=SCOPE).awaitTermination()
