@@ -50,6 +50,9 @@ LEAST_SHARE = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / COORDINATES) **
 # Bytes of a signature column: the weighted signature, then the plain one if it is another.
 WEIGHTED, PLAIN = slice(0, COORDINATES), slice(-COORDINATES, None)
 
+# Texts sketched at once: each takes at least COORDINATES * (log(COORDINATES) + 2) cells, however short.
+STEP_TEXTS = 1000
+
 # Most nodes of a bucket on the two sides of one block.
 LEFT_BLOCK, RIGHT_BLOCK = 256, 4096
 
@@ -291,7 +294,8 @@ def _banded(made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in W.slices(batches, "text"):
+    steps = (piece.slice(at, STEP_TEXTS) for piece in W.slices(batches, "text") for at in range(0, piece.num_rows, STEP_TEXTS))
+    for batch in steps:
         owner, values, counts = shingles(batch.column("text"))
         bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
         node = [_node_of(values[a:b], counts[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
