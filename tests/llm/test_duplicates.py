@@ -124,6 +124,16 @@ def test_kept_rows_are_those_that_name_their_class(workers):
     assert sorted(map(tuple, near_dedup.keep_one(docs).collect())) == [(1, a, "x", 0), (5, b, "x", 1)]
 
 
+def test_sketches_do_not_depend_on_the_steps(monkeypatch):
+    rng = random.Random(5)
+    texts = [None, "", "x", *(" ".join(rng.choices("abcdefgh", k=rng.randrange(60))) for _ in range(40))]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], ["id", "copy", "text"])
+    whole = pa.Table.from_batches(near_dedup._sketches(iter([rows]))).to_pylist()
+    monkeypatch.setattr(near_dedup, "STEP_TEXTS", 3)
+    steps = pa.Table.from_batches(near_dedup._sketches(iter([rows]))).to_pylist()
+    assert steps == whole and len(whole) == len(texts)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(2)
     a = [f"w{k}" for k in range(300)]
