@@ -329,3 +329,14 @@ def test_template_builds_the_tree_once(spark, monkeypatch):
     assert len(built) == 1 and "regexp_extract_all" not in plan._jdf.queryExecution().optimizedPlan().toString()
     paths = template.group_paths(template.group_nodes(data, "host"))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in paths
+
+
+def test_element_tree_is_built_within_the_row(spark):
+    data = spark.createDataFrame([(1, "h", PAGE), (2, "h", "<p>b</p><i>c</i>")], "page_id long, host string, html string")
+    lists = {"b": "//table//b/text()", "k": "//ul/li[2]/i/text()"}
+    for made in (dom.path_lists(data, lists), dom.dom_nodes(data), template.group_nodes(data, "host")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Window|Exchange|\bSort\b|Aggregate", plan)
+    # rows that share an id are one page, their tokens side by side
+    twice = dom.path_lists(data.unionByName(data.where("page_id = 1")), lists).orderBy("page_id").collect()
+    assert [r.b for r in twice] == [["q", "q"], []]
