@@ -340,3 +340,12 @@ def test_element_tree_is_built_within_the_row(spark):
     # rows that share an id are one page, their tokens side by side
     twice = dom.path_lists(data.unionByName(data.where("page_id = 1")), lists).orderBy("page_id").collect()
     assert [r.b for r in twice] == [["q", "q"], []]
+
+
+def test_first_match_tells_an_empty_group_from_no_match(spark):
+    data = spark.createDataFrame([("<b></b>",), ("<b>x</b>",), ("<i>",), (None,)], "html string")
+    found = records.first_match(F.col("html"), "<b>([^<]*)</b>")
+    assert [r[0] for r in data.select(found).collect()] == ["", "x", None, None]
+    # the pattern is searched again only where its group is empty
+    plan = data.select(records.first_match(F.col("html"), "<b>([^<]*)</b>"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("REGEXP_EXTRACT" if "REGEXP_EXTRACT" in plan else "regexp_extract") < plan.index("RLIKE")
