@@ -153,6 +153,24 @@ def test_alignment_is_that_of_token_ends(workers, sf_dir, vocabularies):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
 
 
+def test_words_are_aligned_once_as_in_their_text(vocabularies, monkeypatch):
+    aligner = token_alignment.Aligner(*vocabularies)
+    rng = random.Random(5)
+    parts = [" ", " ", " ", "  ", "\n", "\t", "\r", "\x1c", "\x85", "\u00a0", "\u3000", "\u200b", "a", "the", "word", "'s", "'", "é", "e\u0301", "12", "...", "東京", "👍🏽", "<s>", "Ａ"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(3000)] + ["a ▁ b", " ▁", "", " ", "a the word"]
+    expected, found = aligner.whole(texts), aligner.align(texts)
+    assert all(list(x) == list(y) for x, y in zip(found, expected, strict=True))
+    assert expected[0][-5] == expected[0][-4] == 0 < expected[0][-1]
+    with monkeypatch.context() as patched:
+        patched.setattr(aligner, "whole", None)
+        assert list(aligner.align(["word the a", *texts])[4][-3:]) == list(expected[4][-3:])
+    # with few words kept, results are the same
+    monkeypatch.setattr(token_alignment, "KEPT_WORDS", 300)
+    found = [aligner.align(texts[k : k + 100]) for k in range(0, len(texts), 100)]
+    assert len(aligner.known) < 1000
+    assert [g for x in found for g in x[3]] == expected[3] and np.concatenate([x[4] for x in found]).tolist() == expected[4].tolist()
+
+
 def test_byte_level_ids_are_those_of_the_file(vocabularies, sf_dir, spark):
     tokenizer = tokenizers.Tokenizer.from_file(vocabularies[0])
     tokenizer.encode_special_tokens = True
