@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweft.functions.url import url_host
-from linkweft.plans.skew import HOT_ROWS, skew_lookup
+from linkweft.plans.skew import HOT_ROWS, skew_lookup, task_parts
 from linkweft.sources.schema import MAX_LENGTHS, REFERENCES, UNIQUE_KEYS, Store
 
 
@@ -121,16 +121,18 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def fk_violations(store: Store) -> DataFrame:
-    """(constraint_name, value, child_rows) of references without parent."""
+    """(constraint_name, value, child_rows) of references without parent.
+
+    Rows of one value meet in one task, which keeps a count of them.
+    """
 
     def check(child: str, column: str, parent: str, key: str) -> DataFrame:
-        values = (
-            store[child]
-            .where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("value"))
-            .agg(F.count(F.lit(1)).alias("child_rows"))
-        )
+        values = store[child].select(F.col(column).alias("value")).where(F.col("value").isNotNull())
         parents = store[parent].select(F.col(key).alias("value"))
+        parts = task_parts(values, parents)
+        if parts > 1:
+            values, parents = values.repartition(parts, "value"), parents.repartition(parts, "value")
+        values = values.groupBy("value").agg(F.count(F.lit(1)).alias("child_rows"))
         return values.join(parents, "value", "left_anti").select(
             F.lit(f"{child}.{column}").alias("constraint_name"),
             F.col("value").cast("string").alias("value"),
@@ -154,7 +156,10 @@ def unique_violations(store: Store) -> DataFrame:
     """(constraint_name, value, rows) of keys held by more than one row."""
 
     def check(table: str, keys: tuple[str, ...]) -> DataFrame:
-        grouped = store[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        rows = store[table].select(*keys)
+        parts = task_parts(rows)
+        rows = rows.repartition(parts, *keys) if parts > 1 else rows
+        grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
         return grouped.where(F.col("rows") > 1).select(
             F.lit(f"{table}({','.join(keys)})").alias("constraint_name"),
             F.concat_ws(",", *[F.col(k).cast("string") for k in keys]).alias("value"),

@@ -16,6 +16,20 @@ from linkweft.plans.session import written
 HOT_ROWS = 1_000_000
 
 
+# Rows that `task_parts` means for a task; at most a few hundred MB where each is a key of its own.
+TASK_ROWS = 1_000_000
+
+
+def task_parts(*tables: DataFrame) -> int:
+    """How many tasks the largest of some tables needs, by its number of rows (a job each).
+
+    For `repartition` by a key, after which Spark neither shuffles again for that key nor
+    merges parts.  Left alone it merges them to about as many as there are cores, over all
+    sides of a union together, so that what a task holds grows with the table.
+    """
+    return max(1, *(-(-t.count() // TASK_ROWS) for t in tables))
+
+
 def key_rows(df: DataFrame, on: str, count_col: str = "_n") -> DataFrame:
     """One row per key with its number of rows (combined before the shuffle)."""
     return df.groupBy(on).agg(F.count(F.lit(1)).alias(count_col))
