@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkweft.functions.text import content_hash
 from linkweft.functions.url import (
@@ -28,6 +29,24 @@ def next_id(table: DataFrame, key: str = "id") -> int:
     return table.agg(F.max(key)).first()[0] or 0
 
 
+# Types whose values, and one for NULL, are told apart by 64 and 33 bits.
+_LONGS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_INTS = _LONGS[:3]
+
+
+def _discovery(found: DataFrame) -> Column:
+    """The order of (seen_at, tie), NULL first, as one number if both are whole numbers, else as a struct.
+
+    Spark combines numbers by hashing; of structs it would sort all rows with their URLs.
+    """
+    kinds = found.schema["seen_at"].dataType, found.schema["tie"].dataType
+    if not (isinstance(kinds[0], _LONGS) and isinstance(kinds[1], _INTS)):
+        return F.struct("seen_at", "tie")
+    high = F.coalesce(F.col("seen_at").cast("decimal(20,0)"), F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)"))
+    low = F.coalesce(F.col("tie").cast("long"), F.lit(-(1 << 31) - 1)) + F.lit(1 << 32)
+    return (high * F.lit(1 << 34).cast("decimal(11,0)") + low.cast("decimal(11,0)")).cast("decimal(38,0)")
+
+
 def add_frontier(
     found: DataFrame,
     page: DataFrame,
@@ -41,13 +60,9 @@ def add_frontier(
     discovery, `tie` orders rows of one `seen_at`.  A URL found often counts once,
     where it was seen first.  URLs of 3000 characters or more are left out.
     """
-    order = F.struct("seen_at", "tie")
-    first = (
-        found.where(url_fits(F.col("url")))
-        .groupBy("url")
-        .agg(F.min(order).alias("o"), F.min_by(site_col, order).alias("site_id"))
-        .select("url", "site_id", "o.seen_at", "o.tie")
-    )
+    seen = found.where(url_fits(F.col("url"))).withColumn("_order", _discovery(found))
+    kept = {"site_id": site_col, "seen_at": "seen_at", "tie": "tie"}
+    first = seen.groupBy("url").agg(*[F.min_by(c, "_order").alias(k) for k, c in kept.items()])
     new = first.join(page.select("url"), "url", "left_anti")
     start = next_id(page) if base is None else base
     numbered = number_rows(new, "seen_at", ["tie", "url"], out="id", base=start)

@@ -219,6 +219,16 @@ def test_schedule_of_a_hot_host(spark):
     assert rows(found.select("id", "start_at")) == sorted([(i, 3 * i) for i in range(50)], key=repr)
 
 
+def test_attributes_are_told_by_their_decoded_value(spark):
+    html = (
+        '<div class="a&#98;"><p>one</p></div><div class="ab"><p>two</p></div><div title="ab"><p>no</p></div>'
+        "<div class=ab><p>three</p></div><div><p>no</p></div><div class='b a'><p>no</p></div><b><i>ab</i></b>"
+    )
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    lists = dom.path_lists(pages, {"x": '//div[@class="ab"]/p/text()', "y": '//div[contains(@class, "a")][@class="b a"]/p/text()', "z": "//div[5]/p/text()"})
+    assert [tuple(r) for r in lists.collect()] == [(1, ["one", "two", "three"], ["no"], ["no"])]
+
+
 def test_changes_are_idempotent(spark):
     page = spark.createDataFrame([(1, "http://a/")], "id long, url string")
     found = spark.createDataFrame(
@@ -236,6 +246,38 @@ def test_changes_are_idempotent(spark):
     assert changes.add_link(edges, link).count() == 0
 
 
+def test_checks_of_keys_take_tasks_by_rows(spark, monkeypatch):
+    page = spark.range(1, 90).selectExpr("id", "id % 4 as site_id", "concat('u', id % 80) as url")
+    store = {"page": page, "site": spark.createDataFrame([(1,), (2,), (3,), (None,)], "id long")}
+    store["page"] = page.unionByName(spark.createDataFrame([(None, None, None)], "id long, site_id long, url string"))
+    found = []
+    for size in (10, 1_000_000):
+        monkeypatch.setattr(skew, "TASK_ROWS", size)
+        keys, references = lookups.unique_violations(store), lookups.fk_violations(store)
+        found.append((rows(keys), rows(references)))
+        tasks = references.rdd.getNumPartitions()
+    assert found[0] == found[1] and found[0][1] == [("page.site_id", "0", 22)]
+    assert [r[1:] for r in found[0][0]] == [(f"u{k}", 2) for k in range(1, 10)]
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)
+    assert lookups.fk_violations(store).rdd.getNumPartitions() == 9 > tasks
+
+
+def test_first_seen_urls_are_combined_by_hashing(spark):
+    big, small = (1 << 63) - 1, -(1 << 63)
+    found = spark.createDataFrame(
+        [("a", big, (1 << 31) - 1, 1), ("a", big, 5, 2), ("b", 7, 0, 3), ("b", 7, -1, 4), ("b", 7, None, 5), ("c", small, -(1 << 31), 6),
+         ("c", small, 0, 7), ("d", None, 9, 8), ("d", small, None, 9), ("d", None, None, 10), ("e", -1, 3, 11), ("e", -2, (1 << 31) - 1, 12)],
+        "url string, seen_at long, tie int, site_id long",
+    )
+    page, now = spark.createDataFrame([], "id long, url string"), F.lit("2024-01-01").cast("timestamp_ntz")
+    expected = [(1, "d", 10), (2, "c", 6), (3, "e", 12), (4, "b", 5), (5, "a", 2)]
+    assert rows(changes.add_frontier(found, page, now).select("id", "url", "site_id")) == expected
+    long_ties = found.withColumn("tie", F.col("tie").cast("long"))
+    assert rows(changes.add_frontier(long_ties, page, now).select("id", "url", "site_id")) == expected
+    first = found.groupBy("url").agg(F.min_by("site_id", changes._discovery(found)))
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+
+
 ARTICLE = (
     '<html><body><header class="article-header"><h1>T</h1></header><div class="author"><div class="author-name">A</div>'
     '</div><div class="article-body"><article><p>one</p><p> two</p><p>three</p></article></div></body></html>'
