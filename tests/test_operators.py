@@ -384,6 +384,22 @@ def test_element_tree_is_built_within_the_row(spark):
     assert [r.b for r in twice] == [["q", "q"], []]
 
 
+def test_runs_of_siblings_are_found_within_the_row(spark):
+    lists = [
+        (1, "h", "<dl><dt>a</dt><dd>b</dd><dd>c</dd><dt>d</dt><dd>e</dd></dl><b>1</b><i>2</i><b>3</b><u>4</u><i>5</i>"),
+        (2, "h", "<p><i>x</i>text</p>"),
+        (3, "h", "<i>1</i><b>2</b><u>3</u><i>4</i><b>5</b><u>6</u><i>7</i><b>8</b><dl><dt>a</dt><dd>b</dd></dl>"),
+    ]
+    data = spark.createDataFrame(lists, "page_id long, host string, html string")
+    found = template.template_runs(data, "host")
+    assert rows(found) == [("h", "", "i b u", 1, 2), ("h", "/dl", "dt dd", 1, 2)]
+    nodes = template.group_nodes(data, "host", runs=True)
+    assert not re.search("Window|Exchange", nodes._jdf.queryExecution().executedPlan().toString())
+    noted = nodes.where("again or loose").select("page_id", "path", "again", "loose")
+    assert rows(noted) == [(1, "/b", False, True), (1, "/b", False, True), (1, "/dl/dd", True, False), (1, "/i", False, True), (1, "/i", False, True), (3, "/b", False, True), (3, "/i", False, True)]
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_first_match_tells_an_empty_group_from_no_match(spark):
     data = spark.createDataFrame([("<b></b>",), ("<b>x</b>",), ("<i>",), (None,)], "html string")
     found = records.first_match(F.col("html"), "<b>([^<]*)</b>")
