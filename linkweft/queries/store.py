@@ -125,8 +125,7 @@ def scan_links(spark, sf):
 )
 def load_html_files(spark, sf):
     folder = work_dir(spark, "html")
-    html = table(spark, sf, "pages").select("html")
-    html.write.option("maxRecordsPerFile", 1).option("lineSep", "\r").text(folder)
+    ST.save_html_files(table(spark, sf, "pages"), folder)
     saved = ST.load_html_files(spark, folder)
     body = F.regexp_replace("html", "\r$", "")
     return saved.select(T.content_hash(body).alias("content_hash"), F.length(body).alias("n_chars"))

@@ -11,6 +11,11 @@ frontier and sites as a whole and moves it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +68,32 @@ def scan_links(link: DataFrame) -> DataFrame:
     return link.orderBy("from_page", "to_page")
 
 
+def save_html_files(pages: DataFrame, folder: str, end: str = "\r") -> int:
+    """Write the `html` of each page as a file of its own, with `end` after it; the number of files.
+
+    Tasks write through the file system of the folder: Spark's writer makes a new committed part
+    of every page, ten times as slow.  A file is named by partition and row, so a task that
+    is run again replaces its files.  Without html a file holds `end` only, which keeps it from
+    being empty, as readers pass over empty files.
+    """
+    system, path = fs.FileSystem.from_uri(folder)
+    system.create_dir(path, recursive=True)
+    tail = end.encode()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, path = fs.FileSystem.from_uri(folder)
+        system.create_dir(path, recursive=True)
+        part, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for html in batch.column(0).cast(pa.binary()):
+                with system.open_output_stream(f"{path}/page-{part:06d}-{number:09d}.html", compression=None) as out:
+                    out.write((html.as_py() or b"") + tail)
+                number += 1
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["files"])
+
+    return pages.select("html").mapInArrow(write, "files long").agg(F.sum("files")).first()[0] or 0
+
+
 def load_html_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, html) of saved pages, one row per file."""
     return (

@@ -302,3 +302,18 @@ def test_saved_files_records_and_template(spark):
     assert [(r.grp, r.line) for r in lines.collect()] == [("g", "<p>"), ("g", "  #PCDATA"), ("g", "</p>")]
     records = spark.createDataFrame([("a", None), ("b", "č")], "k string, v string")
     assert rows(ST.records_to_json(records, ["k", "v"])) == [('{"k":"a"}',), ('{"k":"b","v":"č"}',)]
+
+
+def test_saved_pages_are_one_file_each(spark, tmp_path):
+    texts = ["<p>a\nb</p>", None, "", "č\n\n", "<p>a\nb</p>"]
+    pages = spark.createDataFrame([(t,) for t in texts], "html string").repartition(3)
+    folder = f"file://{tmp_path}/new/html"
+    assert ST.save_html_files(pages, folder) == 5
+    files = sorted((tmp_path / "new/html").iterdir())
+    assert sorted(f.read_bytes().decode() for f in files) == sorted(f"{t or ''}\r" for t in texts)
+    assert sorted(r.html for r in ST.load_html_files(spark, folder).collect()) == sorted(f"{t or ''}\r" for t in texts)
+    # written again, as by a task that is run twice, they are the same files
+    ST.save_html_files(pages, folder)
+    assert sorted((tmp_path / "new/html").iterdir()) == files
+    assert ST.save_html_files(pages.where("false"), f"{tmp_path}/none") == 0
+    assert ST.load_html_files(spark, f"{tmp_path}/none").count() == 0
