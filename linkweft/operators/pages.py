@@ -42,10 +42,10 @@ def onclick_target(script: Column) -> Column:
     return F.when(moves & F.rlike(script, F.lit(r"(?s)^[^']*'[^']*'")), quoted)
 
 
-def _link_values(html: Column) -> Column:
-    """ARRAY<STRUCT<kind, rank, pos, value>>: attributes of a page which may hold a link."""
+def _link_values(tags: Column) -> Column:
+    """ARRAY<STRUCT<kind, rank, pos, value>>: attributes of start tags which may hold a link."""
     wanted = r"(?is)^<(?:a|area|link)[\s/>]|\sonclick\s*="
-    tags = F.filter(H.opening_tags(html), lambda t: F.rlike(t, F.lit(wanted)))
+    tags = F.filter(tags, lambda t: F.rlike(t, F.lit(wanted)))
 
     def found(tag: Column, pos: Column) -> Column:
         def one(kind: Column, rank: Column, value: Column) -> Column:
@@ -53,16 +53,51 @@ def _link_values(html: Column) -> Column:
                 kind.alias("kind"), rank.alias("rank"), pos.alias("pos"), value.alias("value")
             )
 
-        name = H.tag_name(tag)
-        rank = F.array_position(F.array(*map(F.lit, LINK_KINDS)), name).cast("int")
-        return F.array(
-            one(F.lit("onclick"), F.lit(1), H.raw_attribute(tag, "onclick")),
-            one(name, rank, F.when(rank > 1, H.raw_attribute(tag, "href"))),
-        )
+        def of_name(name: Column) -> Column:
+            rank = F.array_position(F.array(*map(F.lit, LINK_KINDS)), name).cast("int")
+            return F.array(
+                one(F.lit("onclick"), F.lit(1), H.raw_attribute(tag, "onclick")),
+                one(name, rank, F.when(rank > 1, H.raw_attribute(tag, "href"))),
+            )
+
+        return let(H.tag_name(tag), of_name)
 
     return F.filter(F.flatten(F.transform(tags, found)), lambda c: c["value"].isNotNull())
 
 
+def _image_values(tags: Column) -> Column:
+    """ARRAY<STRING>: the source of each image among start tags, NULL if it has none."""
+    images = F.filter(tags, lambda t: F.rlike(t, F.lit(r"(?is)^<img[\s/>]")))
+    return F.transform(images, lambda t: decode_entities(H.raw_attribute(t, "src")))
+
+
+def _link_text(kind: Column, value: Column) -> Column:
+    """A link as written on a page, references decoded, NULL for a script that holds none."""
+    return let(decode_entities(value), lambda v: F.when(kind == "onclick", onclick_target(v)).otherwise(v))
+
+
+def _link_order(rank: Column, pos: Column) -> Column:
+    return rank.cast("long") * F.lit(1 << 32) + pos
+
+
+def page_references(pages: DataFrame, scope: str = SCOPE, fallback: str = FALLBACK_URL) -> DataFrame:
+    """(page_id, links, images): what the tags of each page refer to, as arrays.
+
+    The page is cut into tags once for both; `reference_links` and `reference_images` give the
+    rows of `page_links` and `page_images`.
+    """
+    host = url_host(F.col("url")).alias("page_host")
+    tags = compute_once(pages.select("page_id", host, "html"), {"tags": H.opening_tags(F.col("html"))})
+
+    def link(c: Column) -> Column:
+        on_page = lambda text: resolve_link(text, F.col("page_host"), c["kind"] == "link", scope, fallback)
+        url = let(_link_text(c["kind"], c["value"]), on_page)
+        return F.struct(url.alias("url"), _link_order(c["rank"], c["pos"]).alias("at"))
+
+    links = F.filter(F.transform(_link_values(F.col("tags")), link), lambda c: c["url"].isNotNull())
+    return tags.select("page_id", links.alias("links"), _image_values(F.col("tags")).alias("images"))
+
+
 def page_hrefs(
     pages: DataFrame, kinds: tuple[str, ...] = LINK_KINDS, keep: tuple[str | Column, ...] = ()
 ) -> DataFrame:
@@ -71,10 +106,10 @@ def page_hrefs(
     `pos` counts the link tags of a page, `rank` the kinds in the order in which
     they are taken up.
     """
-    values = F.filter(_link_values(F.col("html")), lambda c: c["kind"].isin(*kinds))
-    rows = pages.select("page_id", *keep, F.explode(values).alias("_c"))
-    kind, value = F.col("_c.kind"), decode_entities(F.col("_c.value"))
-    link = let(value, lambda v: F.when(kind == "onclick", onclick_target(v)).otherwise(v))
+    values = _link_values(H.opening_tags(F.col("html")))
+    wanted = F.filter(values, lambda c: c["kind"].isin(*kinds))
+    rows = pages.select("page_id", *keep, F.explode(wanted).alias("_c"))
+    link = _link_text(F.col("_c.kind"), F.col("_c.value"))
     rows = compute_once(rows.select("*", "_c.kind", "_c.rank", "_c.pos"), {"link": link})
     return rows.where(F.col("link").isNotNull()).drop("_c")
 
@@ -109,13 +144,18 @@ def page_links(
     """
     page_host = (F.col(host) if host else url_host(F.col("url"))).alias("page_host")
     url = resolve_link(F.col("link"), F.col("page_host"), F.col("kind") == "link", scope, fallback)
-    at = F.col("rank").cast("long") * F.lit(1 << 32) + F.col("pos")
+    at = _link_order(F.col("rank"), F.col("pos"))
     resolved = compute_once(page_hrefs(pages, keep=(page_host,)), {"url": url, "at": at})
-    return (
-        resolved.where(F.col("url").isNotNull())
-        .groupBy("page_id", "url")
-        .agg(F.min("at").alias("first_at"))
-    )
+    return _first_links(resolved.where(F.col("url").isNotNull()))
+
+
+def reference_links(references: DataFrame) -> DataFrame:
+    """`page_links` of pages from their `page_references`."""
+    return _first_links(references.select("page_id", F.inline("links")))
+
+
+def _first_links(resolved: DataFrame) -> DataFrame:
+    return resolved.groupBy("page_id", "url").agg(F.min("at").alias("first_at"))
 
 
 def page_images(pages: DataFrame) -> DataFrame:
@@ -125,11 +165,16 @@ def page_images(pages: DataFrame) -> DataFrame:
     """
     if "page_type_code" in pages.columns:
         pages = pages.where(F.col("page_type_code") != "DUPLICATE")
-    tags = F.filter(
-        H.opening_tags(F.col("html")), lambda t: F.rlike(t, F.lit(r"(?is)^<img[\s/>]"))
-    )
-    sources = F.transform(tags, lambda t: decode_entities(H.raw_attribute(t, "src")))
-    images = pages.select("page_id", F.posexplode(sources).alias("pos", "filename"))
+    sources = _image_values(H.opening_tags(F.col("html")))
+    return _image_rows(pages.select("page_id", F.posexplode(sources).alias("pos", "filename")))
+
+
+def reference_images(references: DataFrame) -> DataFrame:
+    """`page_images` of pages from their `page_references`."""
+    return _image_rows(references.select("page_id", F.posexplode("images").alias("pos", "filename")))
+
+
+def _image_rows(images: DataFrame) -> DataFrame:
     return images.where(image_fits(F.col("filename"))).select(
         "page_id", "pos", "filename", ending(F.col("filename")).alias("content_type")
     )

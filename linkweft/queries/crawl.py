@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from linkweft.functions.url import canonical_url, url_host
 from linkweft.operators.lookups import _union
 from linkweft.plans import crawl as C
-from linkweft.plans.session import work_dir
+from linkweft.plans.session import work_dir, written
 from linkweft.queries import checksql as S
 from linkweft.queries.inputs import derived, table, with_inputs
 from linkweft.queries.pages import LINKS, PAGE_HOST
 from linkweft.queries.registry import query
 from linkweft.queries.store import derived_store, now
-from linkweft.sources.schema import SEED_SITE, is_waiting
+from linkweft.sources.schema import SEED_SITE, Store, is_waiting
 from linkweft.streaming import ingest as I
 
 SCOPE = "example."
@@ -39,6 +39,12 @@ def seed_crawl(spark, sf):
     return store["page"].select("id", "site_id", "page_type_code", "url")
 
 
+def _stored(spark, sf) -> tuple[Store, DataFrame]:
+    """The derived store and its captures; pages and captures are written, as a round reads them several times."""
+    store, captures = derived_store(spark, sf), derived(spark, sf, "d_capture")
+    return {**store, "page": written(store["page"], "pages")}, written(captures, "captures")
+
+
 def _rows(store) -> DataFrame:
     """The tables of a store as (table_name, key, value)."""
 
@@ -112,9 +118,8 @@ def _rows(store) -> DataFrame:
       concat_ws('|', id, upper(split_part(url, '.', -1))) from fetched where kind = 'BINARY'""",
 )
 def crawl_round(spark, sf):
-    captures = derived(spark, sf, "d_capture")
+    store, captures = _stored(spark, sf)
     stage = C.written_stage(spark, work_dir(spark, "stage"))
-    store = derived_store(spark, sf)
     return _rows(C.crawl_round(store, captures, now(), scope=SCOPE, stage=stage))
 
 
@@ -246,7 +251,7 @@ TURN_SECONDS = 12
     from ruled r left join turns t using (id) left join d_capture c on c.url = r.url""",
 )
 def crawl_polite_round(spark, sf):
-    store, captures = derived_store(spark, sf), derived(spark, sf, "d_capture")
+    store, captures = _stored(spark, sf)
     waiting = store["page"].where(is_waiting()).select("id")
     after = C.crawl_round(store, captures, now(), scope=SCOPE, turn_seconds=TURN_SECONDS)
     status = F.coalesce("http_status_code", F.lit(0)).cast("int").alias("status")

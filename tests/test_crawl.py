@@ -317,3 +317,30 @@ def test_saved_pages_are_one_file_each(spark, tmp_path):
     assert sorted((tmp_path / "new/html").iterdir()) == files
     assert ST.save_html_files(pages.where("false"), f"{tmp_path}/none") == 0
     assert ST.load_html_files(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_a_round_cuts_its_pages_into_tags_once(spark, monkeypatch):
+    from linkweft.functions import html as H
+    from linkweft.operators import pages as P
+
+    cut, whole = [], H.opening_tags
+    monkeypatch.setattr(H, "opening_tags", lambda html: cut.append(1) or whole(html))
+    captures = spark.createDataFrame(CAPTURES, "url string, html string")
+    start = ST.seed_store(spark)
+    delta = crawl.crawl_round(start, captures, now())
+    assert rows(delta["image"].select("filename")) == [("/i.png",), ("/i.png",)]
+    assert len(cut) == 1
+    # the same rows as with a pass for links and one for images, odd pages included
+    odd = [
+        (1, "http://a.gov.si/", '<a href="/x?b&amp;a">1</a><a href="/x?a&b">2</a><a>3</a><img><img src=\'/i&amp;j.png\'>'),
+        (1, "http://a.gov.si/2", "<LINK HREF=/no><area href=/m><div onclick=\"location.href='/y'\" HREF=/n><div onclick='go()'>"),
+        (2, "no host", '<a href="/x">1</a><a href="http://b.gov.si/">2</a><img src="' + "z" * 256 + '">'),
+        (None, "http://a.gov.si/3", '<a href="/x">1</a><img src="/k.gif">'),
+        (4, None, '<a href="/x">1</a><a href="http://gov.si">2</a>'),
+        (5, "http://a.gov.si/5", None),
+        (6, "http://a.gov.si/6", '<script>"<a href=/s>"</script><a title="href=/t" x="">no</a><a href="">e</a>'),
+    ]
+    pages = spark.createDataFrame(odd, "page_id long, url string, html string")
+    found = P.page_references(pages)
+    assert rows(P.reference_links(found)) == rows(P.page_links(pages)) != []
+    assert rows(P.reference_images(found)) == rows(P.page_images(pages)) != []
