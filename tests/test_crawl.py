@@ -344,3 +344,17 @@ def test_a_round_cuts_its_pages_into_tags_once(spark, monkeypatch):
     found = P.page_references(pages)
     assert rows(P.reference_links(found)) == rows(P.page_links(pages)) != []
     assert rows(P.reference_images(found)) == rows(P.page_images(pages)) != []
+
+
+def test_a_polite_round_applies_the_rules_of_hosts_once(spark, monkeypatch):
+    applied, robots_allowed = [], crawl.robots_allowed
+    monkeypatch.setattr(crawl, "robots_allowed", lambda *a, **k: applied.append(1) or robots_allowed(*a, **k))
+    seeds = spark.createDataFrame([("http://a.gov.si/1", 1), ("http://a.gov.si/no", 2), ("http://b.gov.si/", 3)], "url string, seen_at long")
+    robots = spark.createDataFrame([("a.gov.si", "User-agent: *\nDisallow: /no\n", None)], "domain string, robots_content string, sitemap_content string")
+    captures = spark.createDataFrame([("http://a.gov.si/1", "x"), ("http://a.gov.si/no", "y")], "url string, html string")
+    # several rows of a host with addresses make no further rows of the round
+    host_ip = spark.createDataFrame([("a.gov.si", "10.0.0.1"), ("a.gov.si", "10.0.0.2")], "host string, ip string")
+    after = crawl.crawl_round(crawl.seed_crawl(spark, seeds, now()), captures, now(), robots=robots, host_ip=host_ip, turn_seconds=1)
+    status = rows(after["page"].select("url", "http_status_code"))
+    assert status == [("http://a.gov.si/1", 200), ("http://a.gov.si/no", 403), ("http://b.gov.si/", 404)]
+    assert len(applied) == 1
