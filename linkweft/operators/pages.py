@@ -76,26 +76,16 @@ def _link_text(kind: Column, value: Column) -> Column:
     return let(decode_entities(value), lambda v: F.when(kind == "onclick", onclick_target(v)).otherwise(v))
 
 
-def _link_order(rank: Column, pos: Column) -> Column:
-    return rank.cast("long") * F.lit(1 << 32) + pos
-
-
-def page_references(pages: DataFrame, scope: str = SCOPE, fallback: str = FALLBACK_URL) -> DataFrame:
-    """(page_id, links, images): what the tags of each page refer to, as arrays.
+def page_references(pages: DataFrame) -> DataFrame:
+    """(page_id, page_host, links, images): what the tags of each page refer to, as arrays.
 
     The page is cut into tags once for both; `reference_links` and `reference_images` give the
     rows of `page_links` and `page_images`.
     """
     host = url_host(F.col("url")).alias("page_host")
     tags = compute_once(pages.select("page_id", host, "html"), {"tags": H.opening_tags(F.col("html"))})
-
-    def link(c: Column) -> Column:
-        on_page = lambda text: resolve_link(text, F.col("page_host"), c["kind"] == "link", scope, fallback)
-        url = let(_link_text(c["kind"], c["value"]), on_page)
-        return F.struct(url.alias("url"), _link_order(c["rank"], c["pos"]).alias("at"))
-
-    links = F.filter(F.transform(_link_values(F.col("tags")), link), lambda c: c["url"].isNotNull())
-    return tags.select("page_id", links.alias("links"), _image_values(F.col("tags")).alias("images"))
+    values = {"links": _link_values(F.col("tags")), "images": _image_values(F.col("tags"))}
+    return tags.select("page_id", "page_host", *[v.alias(k) for k, v in values.items()])
 
 
 def page_hrefs(
@@ -108,7 +98,11 @@ def page_hrefs(
     """
     values = _link_values(H.opening_tags(F.col("html")))
     wanted = F.filter(values, lambda c: c["kind"].isin(*kinds))
-    rows = pages.select("page_id", *keep, F.explode(wanted).alias("_c"))
+    return _hrefs(pages.select("page_id", *keep, F.explode(wanted).alias("_c")))
+
+
+def _hrefs(rows: DataFrame) -> DataFrame:
+    """Rows with a link value `_c` as those of `page_hrefs`."""
     link = _link_text(F.col("_c.kind"), F.col("_c.value"))
     rows = compute_once(rows.select("*", "_c.kind", "_c.rank", "_c.pos"), {"link": link})
     return rows.where(F.col("link").isNotNull()).drop("_c")
@@ -143,19 +137,24 @@ def page_links(
     taken from `url`, or from the column named by `host`.
     """
     page_host = (F.col(host) if host else url_host(F.col("url"))).alias("page_host")
-    url = resolve_link(F.col("link"), F.col("page_host"), F.col("kind") == "link", scope, fallback)
-    at = _link_order(F.col("rank"), F.col("pos"))
-    resolved = compute_once(page_hrefs(pages, keep=(page_host,)), {"url": url, "at": at})
-    return _first_links(resolved.where(F.col("url").isNotNull()))
+    return _first_links(page_hrefs(pages, keep=(page_host,)), scope, fallback)
 
 
-def reference_links(references: DataFrame) -> DataFrame:
+def reference_links(references: DataFrame, scope: str = SCOPE, fallback: str = FALLBACK_URL) -> DataFrame:
     """`page_links` of pages from their `page_references`."""
-    return _first_links(references.select("page_id", F.inline("links")))
+    hrefs = _hrefs(references.select("page_id", "page_host", F.explode("links").alias("_c")))
+    return _first_links(hrefs, scope, fallback)
 
 
-def _first_links(resolved: DataFrame) -> DataFrame:
-    return resolved.groupBy("page_id", "url").agg(F.min("at").alias("first_at"))
+def _first_links(hrefs: DataFrame, scope: str, fallback: str) -> DataFrame:
+    url = resolve_link(F.col("link"), F.col("page_host"), F.col("kind") == "link", scope, fallback)
+    at = F.col("rank").cast("long") * F.lit(1 << 32) + F.col("pos")
+    resolved = compute_once(hrefs, {"url": url, "at": at})
+    return (
+        resolved.where(F.col("url").isNotNull())
+        .groupBy("page_id", "url")
+        .agg(F.min("at").alias("first_at"))
+    )
 
 
 def page_images(pages: DataFrame) -> DataFrame:
