@@ -171,6 +171,20 @@ def test_words_are_aligned_once_as_in_their_text(vocabularies, monkeypatch):
     assert [g for x in found for g in x[3]] == expected[3] and np.concatenate([x[4] for x in found]).tolist() == expected[4].tolist()
 
 
+def test_every_text_is_tokenised_as_a_whole(vocabularies, monkeypatch):
+    texts = ["the word the word", "", None, "word  the", "the word the word", "x" * 70]
+    aligner, seen = token_alignment.Aligner(*vocabularies), []
+    for side in (aligner.a, aligner.b):
+        monkeypatch.setattr(side, "encode", lambda given, encode=side.encode: seen.append(list(given)) or encode(given))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["row", "text"])
+    for _ in range(2):
+        rows = [r for b in token_alignment.aligned_batches(iter([batch]), aligner) for r in b.to_pylist()]
+    assert seen == [[t or "" for t in texts]] * 4
+    assert [r["row"] for r in rows] == list(range(len(texts)))
+    expected = aligned_by_brute_force(texts, aligner.a, aligner.b)
+    assert [(r["n_a"], r["n_b"], r["n_groups"]) for r in rows] == [tuple(x[:3]) for x in expected]
+
+
 def test_byte_level_ids_are_those_of_the_file(vocabularies, sf_dir, spark):
     tokenizer = tokenizers.Tokenizer.from_file(vocabularies[0])
     tokenizer.encode_special_tokens = True
