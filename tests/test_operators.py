@@ -384,6 +384,52 @@ def test_element_tree_is_built_within_the_row(spark):
     assert [r.b for r in twice] == [["q", "q"], []]
 
 
+def test_paths_are_states_along_the_page(spark):
+    deep = "<div>" * 3000 + "<p class='x'>a<br>b<p>c&amp;d" + "</div>" * 3000 + "<table><tr><td>1</td><td><i>2</i>3</td></tr></table><script>if (a&amp;b)</script>"
+    data = spark.createDataFrame([(1, deep), (2, ""), (3, None), (4, "<!-- -->"), (5, "x")], "page_id long, html string")
+    lists = {
+        "all": "//div/p/text()",
+        "x": '//div//p[@class="x"]/text()',
+        "far": "//div[2]/p/text()",
+        "cells": "/html/body/table/tbody/tr/td[2]/text()",
+        "inside": "//tbody//text()",
+        "raw": "//script/text()",
+        "root": "/text()",
+        "any": "//tr/*[1]/text()",
+    }
+    found = dom.path_lists(data, lists)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # chains of elements are neither spelled nor searched, and only the selected nodes leave the function
+    assert "zip_with" not in plan.lower() and "aggregate(" not in plan
+    rows = {r.page_id: r for r in found.collect()}
+    assert set(rows) == {1, 5}
+    one = rows[1]
+    assert [one.all, one.x, one.far] == [["a", "b", "c&d"], ["a", "b"], []]
+    assert [one.cells, one.raw, one.any, one.root] == [["3"], ["if (a&amp;b)"], ["1"], []]
+    # the tree may lack a tbody, so this path asks for nothing
+    assert one.inside == ["a", "b", "c&d", "1", "2", "3", "if (a&amp;b)"]
+    assert rows[5].root == ["x"] and rows[5].all == []
+
+
+def test_nodes_come_as_flat_rows(spark):
+    html = "<dl class=z><dt>a &amp; b</dt><dd/>c<script>x&amp;y</script></dl>"
+    data = spark.createDataFrame([(1, "h", html), (2, "h", None), (None, "g", "t")], "page_id long, host string, html string")
+    nodes = template.group_nodes(data, "host")
+    plan = nodes._jdf.queryExecution().executedPlan().toString()
+    # the array of the nodes of a page is never made
+    assert "MapInArrow" in plan and "inline" not in plan
+    assert rows(nodes.select("page_id", "grp", "path", "node_id", "parent_id", "nth", "text")) == [
+        (1, "h", "/dl", 0, None, 1, None),
+        (1, "h", "/dl/#text", 6, 0, 1, "c"),
+        (1, "h", "/dl/dd", 4, 0, 1, None),
+        (1, "h", "/dl/dt", 1, 0, 1, None),
+        (1, "h", "/dl/dt/#text", 2, 1, 1, "a & b"),
+        (1, "h", "/dl/script", 7, 0, 1, None),
+        (1, "h", "/dl/script/#text", 8, 7, 1, "x&amp;y"),
+        (None, "g", "/#text", 0, None, 1, "t"),
+    ]
+
+
 def test_runs_of_siblings_are_found_within_the_row(spark):
     lists = [
         (1, "h", "<dl><dt>a</dt><dd>b</dd><dd>c</dd><dt>d</dt><dd>e</dd></dl><b>1</b><i>2</i><b>3</b><u>4</u><i>5</i>"),
